@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import truthy
+from tidemark.functions.values import Node, truthy
 
 
-def contact_array(node: Column, path: str, field: str) -> Column:
+def contact_array(node: Node, path: str, field: str) -> Column:
     """Contacts at `path` as array<struct<field string, primary variant>>."""
-    return F.try_variant_get(node, f"$.{path}", f"array<struct<{field} string, primary variant>>")
+    return node.typed(path, f"array<struct<{field} string, primary variant>>")
 
 
 def _filled(contact: Column, field: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import is_object
+from tidemark.functions.values import Node, is_object, variant_at
 
 COUNT_MAP = "map<string,bigint>"
 
@@ -37,12 +37,11 @@ def total_of_counts(counts: Column) -> Column:
     )
 
 
-def edge_nodes(node: Column, path: str) -> Column:
+def edge_nodes(node: Node, path: str) -> Column:
     """Nodes of a connection that are objects, as array<variant>."""
-    edges = F.try_variant_get(node, f"$.{path}.edges", "array<variant>")
-    nodes = F.transform(edges, lambda e: F.try_variant_get(e, "$.node", "variant"))
-    return F.filter(nodes, is_object)
+    edges = node.typed(f"{path}.edges", "array<variant>")
+    return F.filter(F.transform(edges, lambda e: variant_at(e, "node")), is_object)
 
 
-def edge_nodes_json(node: Column, path: str) -> Column:
+def edge_nodes_json(node: Node, path: str) -> Column:
     return json_or_empty_list(edge_nodes(node, path))

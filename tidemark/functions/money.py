@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import is_number, raw
+from tidemark.functions.values import Node
 
 
 def cents_truncated(amount: Column) -> Column:
@@ -24,19 +24,18 @@ def cents_rounded(amount: Column) -> Column:
     return F.coalesce(scaled.try_cast("bigint"), F.lit(0))
 
 
-def node_cents_truncated(node: Column, path: str) -> Column:
-    as_double = F.try_variant_get(node, f"$.{path}", "double")
-    as_text = F.try_variant_get(node, f"$.{path}", "string")
-    return F.when(is_number(raw(node, path)), cents_truncated(as_double)).otherwise(
-        cents_truncated_text(as_text)
+def node_cents_truncated(node: Node, path: str) -> Column:
+    number = node.number(path)
+    return F.when(number.isNotNull(), cents_truncated(number)).otherwise(
+        cents_truncated_text(node.string(path))
     )
 
 
-def node_cents_rounded(node: Column, path: str) -> Column:
-    return cents_rounded(F.try_variant_get(node, f"$.{path}", "double"))
+def node_cents_rounded(node: Node, path: str) -> Column:
+    return cents_rounded(node.number(path))
 
 
-def not_a_number(node: Column, path: str) -> Column:
+def not_a_number(node: Node, path: str) -> Column:
     """Present, not null and not a number: the rounding policy refuses such a node."""
-    value = raw(node, path)
-    return value.isNotNull() & ~F.is_variant_null(value) & ~is_number(value)
+    kind = node.kind(path)
+    return kind.isNotNull() & (kind != "VOID") & node.number(path).isNull()

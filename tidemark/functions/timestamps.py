@@ -5,52 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_PATTERN = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:.(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)?"
-    r"(?:([+-])(\d{2}):?(\d{2})(?::?(\d{2}))?)?)?$"
-)
+DATE = r"\d{4}-\d{2}-\d{2}"
+CLOCK = r"(?:[01]\d|2[0-3]):[0-5]\d:[0-5]\d"
+OFFSET = r"(?:[+-](?:[01]\d|2[0-3]):[0-5]\d)"
+NORMAL = rf"^{DATE}T{CLOCK}(?:\.\d{{6}})?{OFFSET}?$"
+PLAIN = rf"^{DATE}T{CLOCK}(?:Z|\+(?:[01]\d|2[0-3]):[0-5]\d)?$"
+
+# Rewrites that fill in what a shorter or looser form leaves out, in this order.
+FILL_IN = [
+    (rf"^({DATE}).(\d{{2}})([+-].*)?$", "$1T$2:00:00$3"),
+    (rf"^({DATE}).(\d{{2}}:\d{{2}})([+-].*)?$", "$1T$2:00$3"),
+    (rf"^({DATE}).(\d{{2}}:\d{{2}}:\d{{2}})", "$1T$2"),
+    (r"(T[^+-]*[+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"[.,](?<digits>\d+)", ".${digits}000000"),
+    (r"\.(\d{6})\d*", ".$1"),
+    (r"\.000000", ""),
+    (r"(T.*)-00:00$", "$1+00:00"),
+]
 
 
 def iso_normalized(value: Column) -> Column:
     """Z becomes +00:00 and missing parts are filled; text that is no timestamp stays."""
-    source = F.replace(value, F.lit("Z"), F.lit("+00:00"))
-
-    def part(group: int) -> Column:
-        return F.regexp_extract(source, ISO_PATTERN, group)
-
-    def two(group: int) -> Column:
-        return F.when(part(group) == "", F.lit("00")).otherwise(part(group))
-
-    micros = F.rpad(F.substring(part(5), 1, 6), 6, "0")
-    fraction = F.when(
-        (part(5) == "") | (micros == "000000"), F.lit("")
-    ).otherwise(F.concat(F.lit("."), micros))
-    offset_seconds = F.when(
-        (part(9) == "") | (part(9) == "00"), F.lit("")
-    ).otherwise(F.concat(F.lit(":"), part(9)))
-    sign = F.when(
-        (part(7) == "00") & (part(8) == "00") & (offset_seconds == ""), F.lit("+")
-    ).otherwise(part(6))
-    offset = F.when(part(6) == "", F.lit("")).otherwise(
-        F.concat(sign, part(7), F.lit(":"), part(8), offset_seconds)
-    )
-    valid = (
-        source.rlike(ISO_PATTERN)
-        & part(1).try_cast("date").isNotNull()
-        & (two(2) < "24")
-        & (two(3) < "60")
-        & (two(4) < "60")
-        & (F.coalesce(part(7).try_cast("int"), F.lit(0)) < 24)
-        & (F.coalesce(part(8).try_cast("int"), F.lit(0)) < 60)
-    )
-    normalized = F.concat(
-        part(1), F.lit("T"), two(2), F.lit(":"), two(3), F.lit(":"), two(4), fraction, offset
-    )
+    zoned = F.replace(value, F.lit("Z"), F.lit("+00:00"))
+    filled = zoned
+    for pattern, replacement in FILL_IN:
+        filled = F.regexp_replace(filled, F.lit(pattern), F.lit(replacement))
+    real_date = value.rlike(rf"^{DATE}") & F.substring(value, 1, 10).try_cast("date").isNotNull()
     return (
-        F.when(value.isNull() | (value == ""), F.lit(""))
-        .when(valid, normalized)
-        .otherwise(value)
+        F.when(F.coalesce(value, F.lit("")) == "", F.lit(""))
+        .when(~real_date, value)
+        .when(F.length(value) == 10, F.concat(value, F.lit("T00:00:00")))
+        .when(value.rlike(PLAIN), zoned)
+        .otherwise(F.coalesce(F.nullif(F.regexp_extract(filled, NORMAL, 0), F.lit("")), value))
     )
 
 

@@ -6,38 +6,18 @@ present with JSON null; the mapping rules treat the two differently.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # JSON texts of the values that count as false in a condition.
 FALSY_JSON = ["null", "false", "0", "0.0", "-0.0", '""', "{}", "[]"]
 
 
-def raw(node: Column, path: str) -> Column:
-    """The value at `path` as VARIANT: NULL when absent, variant null when JSON null."""
-    return F.try_variant_get(node, f"$.{path}", "variant")
-
-
-def is_json_null(value: Column) -> Column:
-    return F.coalesce(F.is_variant_null(value), F.lit(False))
-
-
-def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
-
-
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind(value).startswith("OBJECT"), F.lit(False))
-
-
-def is_fraction(value: Column) -> Column:
-    return kind(value).startswith("DECIMAL") | kind(value).isin("DOUBLE", "FLOAT")
-
-
-def is_number(value: Column) -> Column:
-    return F.coalesce(
-        is_fraction(value) | kind(value).isin("BIGINT", "BOOLEAN"), F.lit(False)
-    )
+def variant_at(value: Column, path: str) -> Column:
+    """The value at `path`: NULL when absent, variant null when JSON null."""
+    return F.try_variant_get(value, f"$.{path}", "variant")
 
 
 def truthy(value: Column) -> Column:
@@ -45,72 +25,146 @@ def truthy(value: Column) -> Column:
     return F.coalesce(~F.to_json(value).isin(FALSY_JSON), F.lit(False))
 
 
-def text(node: Column, path: str, absent: str | None = "") -> Column:
-    """Text at `path`; `absent` only when the key is missing, NULL for JSON null."""
-    value = F.try_variant_get(node, f"$.{path}", "string")
-    return F.when(raw(node, path).isNull(), F.lit(absent)).otherwise(value)
-
-
-def text_or_blank(node: Column, path: str) -> Column:
-    """Text at `path`; blank when the key is missing or JSON null."""
-    return F.coalesce(F.try_variant_get(node, f"$.{path}", "string"), F.lit(""))
-
-
-def flag01(node: Column, path: str) -> Column:
-    return F.when(truthy(raw(node, path)), 1).otherwise(0).cast("int")
+def is_object(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
 
 
 def float_text(value: Column) -> Column:
     """Shortest text of a double with fixed notation from 1e-4 up to 1e16."""
     plain = value.cast("string")
-    size = F.abs(value)
-    fixed = F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), "0+$", "")
-    fixed = F.when(fixed.endswith("."), F.concat(fixed, F.lit("0"))).otherwise(fixed)
-    mantissa = F.regexp_replace(F.substring_index(plain, "E", 1), r"\.0$", "")
-    power = F.substring_index(plain, "E", -1).try_cast("int")
-    digits = F.lpad(F.abs(power).cast("string"), 2, "0")
-    digits = F.when(F.abs(power) >= 100, F.abs(power).cast("string")).otherwise(digits)
-    scientific = F.concat(
-        mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")), digits
-    )
+    digits = value.try_cast("decimal(38,20)").cast("string")
+    fixed = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
+    signed = F.regexp_replace(F.regexp_replace(plain, r"(\.0)?E(\d)", "e+$2"), r"(\.0)?E", "e")
+    scientific = F.regexp_replace(signed, r"e([+-])(\d)$", "e$10$2")
     return (
-        F.when(F.instr(plain, "E") == 0, plain)
-        .when((size >= 1e-4) & (size < 1e16), fixed)
+        F.when(~F.contains(plain, F.lit("E")), plain)
+        .when((F.abs(value) >= 1e-4) & (F.abs(value) < 1e16), fixed)
         .otherwise(scientific)
     )
 
 
-def stringified(value: Column, absent: str) -> Column:
-    """What stringifying a loosely typed value gives: None, True, 25.0, 7, text."""
-    return (
-        F.when(value.isNull(), F.lit(absent))
-        .when(F.is_variant_null(value), F.lit("None"))
-        .when(kind(value) == "BOOLEAN", F.initcap(F.try_variant_get(value, "$", "string")))
-        .when(is_fraction(value), float_text(F.try_variant_get(value, "$", "double")))
-        .otherwise(F.try_variant_get(value, "$", "string"))
-    )
-
-
-def flag_text(node: Column, path: str, absent: bool) -> Column:
-    """true/false as text; JSON null gives `none`."""
-    return F.lower(stringified(raw(node, path), str(absent)))
-
-
-def relation_id(node: Column, path: str, key: str = "id") -> Column:
-    """Foreign key out of a relation object; blank when there is no relation."""
-    return stringified(raw(node, f"{path}.{key}"), "")
-
-
-def whole_number(node: Column, path: str) -> Column:
-    """Numbers cut to whole; anything else gives 0."""
-    value = raw(node, path)
-    number = F.try_variant_get(node, f"$.{path}", "double").try_cast("bigint")
-    return F.when(is_number(value), F.coalesce(number, F.lit(0))).otherwise(0).cast("bigint")
-
-
-def strict_integer(node: Column, path: str) -> Column:
-    """Integers as they are; fractions and anything else give 0."""
-    value = raw(node, path)
-    number = F.try_variant_get(node, f"$.{path}", "bigint")
-    integer = F.coalesce(kind(value).isin("BIGINT", "BOOLEAN"), F.lit(False))
-    return F.when(integer, number).otherwise(0).cast("bigint")
+class Node:
+    """Reads fields of a node column and remembers which ones.
+
+    Rules ask for fields by path and get column references; `select` then pulls each
+    asked field out of the node once, converts it once, and applies the rules to the
+    converted columns. Without that, every rule would walk the node again.
+    """
+
+    def __init__(self, column: str) -> None:
+        self._column = column
+        self._values: dict[str, Column] = {}
+        self._typed: dict[str, Column] = {}
+
+    def value(self, path: str) -> Column:
+        """VARIANT at `path`: NULL when absent, variant null when JSON null."""
+        name = f"{self._column}.{path}"
+        self._values.setdefault(name, variant_at(F.col(self._column), path).alias(name))
+        return F.col(f"`{name}`")
+
+    def typed(self, path: str, kind: str) -> Column:
+        """The value as `kind`; NULL when absent, null or not convertible."""
+        name = f"{self._column}.{path}:{kind}"
+        self._typed.setdefault(name, F.try_variant_get(self.value(path), "$", kind).alias(name))
+        return F.col(f"`{name}`")
+
+    def kind(self, path: str) -> Column:
+        """BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, STRING, OBJECT<..>, ARRAY<..> or VOID."""
+        name = f"{self._column}.{path}:kind"
+        self._typed.setdefault(name, F.schema_of_variant(self.value(path)).alias(name))
+        return F.col(f"`{name}`")
+
+    def select(
+        self,
+        df: DataFrame,
+        keep: Sequence[str],
+        columns: Mapping[str, Column],
+        carry: Sequence[str] = (),
+    ) -> DataFrame:
+        """`keep` and the rule columns built from this node's fields.
+
+        Rules may use `carry` columns of `df` too; those are not put out.
+        """
+        through = dict.fromkeys([*keep, *carry])
+        values = df.select(*through, *self._values.values())
+        typed = values.select("*", *self._typed.values())
+        return typed.select(*keep, *[column.alias(name) for name, column in columns.items()])
+
+    def number(self, path: str) -> Column:
+        """The value as double when it is a number; texts are not tried."""
+        name = f"{self._column}.{path}:number"
+        if name not in self._typed:
+            value = self.value(path)
+            kind = F.schema_of_variant(value)
+            numeric = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN")
+            self._typed[name] = F.when(numeric, F.try_variant_get(value, "$", "double")).alias(name)
+        return F.col(f"`{name}`")
+
+    def is_object(self, path: str) -> Column:
+        return F.coalesce(self.kind(path).startswith("OBJECT"), F.lit(False))
+
+    def is_fraction(self, path: str) -> Column:
+        kind = self.kind(path)
+        return kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
+
+    def truthy(self, path: str) -> Column:
+        """The rule of `truthy`, decided on the kind where that is cheaper."""
+        filled = (
+            F.when(self.kind(path) == "STRING", self.string(path) != "")
+            .when(self.number(path).isNotNull(), self.number(path) != 0)
+            .otherwise(truthy(self.value(path)))
+        )
+        return F.coalesce(filled, F.lit(False))
+
+    def string(self, path: str) -> Column:
+        return self.typed(path, "string")
+
+    def text(self, path: str, absent: str | None = "") -> Column:
+        """Text at `path`; `absent` only when the key is missing, NULL for JSON null."""
+        return F.when(self.value(path).isNull(), F.lit(absent)).otherwise(self.string(path))
+
+    def text_or_blank(self, path: str) -> Column:
+        """Text at `path`; blank when the key is missing or JSON null."""
+        return F.coalesce(self.string(path), F.lit(""))
+
+    def flag01(self, path: str) -> Column:
+        return F.when(self.truthy(path), 1).otherwise(0).cast("int")
+
+    def stringified(self, path: str, absent: str) -> Column:
+        """What stringifying a loosely typed value gives: None, True, 25.0, 7, text."""
+        kind = self.kind(path)
+        return (
+            F.when(kind.isNull(), F.lit(absent))
+            .when(kind == "STRING", self.string(path))
+            .when(kind == "VOID", F.lit("None"))
+            .when(kind == "BOOLEAN", F.initcap(self.string(path)))
+            .when(self.is_fraction(path), float_text(self.number(path)))
+            .otherwise(self.string(path))
+        )
+
+    def flag_text(self, path: str, absent: bool) -> Column:
+        """true/false as text; JSON null gives `none`."""
+        kind = self.kind(path)
+        return (
+            F.when(kind.isNull(), F.lit(str(absent).lower()))
+            .when(kind == "VOID", F.lit("none"))
+            .otherwise(F.lower(self.string(path)))
+        )
+
+    def relation_id(self, path: str, key: str = "id") -> Column:
+        """Foreign key out of a relation object; blank when there is no relation."""
+        return self.stringified(f"{path}.{key}", "")
+
+    def lacks(self, path: str) -> Column:
+        """Absent or blank text; JSON null stringifies to a text and is not blank."""
+        kind = self.kind(path)
+        return kind.isNull() | ((kind == "STRING") & (self.string(path) == ""))
+
+    def whole_number(self, path: str) -> Column:
+        """Numbers cut to whole; anything else gives 0."""
+        return F.coalesce(self.number(path).try_cast("bigint"), F.lit(0))
+
+    def strict_integer(self, path: str) -> Column:
+        """Integers as they are; fractions and anything else give 0."""
+        whole = self.kind(path).isin("BIGINT", "BOOLEAN")
+        return F.coalesce(F.when(whole, self.typed(path, "bigint")), F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsontext import count_map, total_of_counts
-from tidemark.functions.values import is_object, raw
+from tidemark.functions.values import Node
 from tidemark.operators.ranking import top_per_key
 from tidemark.operators.specs import EntitySpec
 
@@ -17,48 +17,34 @@ KEY = ["entity_type", "entity_id"]
 RELATIONS = "estimated_relations_json"
 
 
-def relation_counts(node: Column, spec: EntitySpec) -> Column:
+def relation_counts(node: Node, spec: EntitySpec) -> Column:
     """Map of relation -> announced total of its connection."""
-
-    def count(path: str) -> Column:
-        total = F.try_variant_get(node, f"$.{path}.totalCount", "bigint")
-        return F.coalesce(total, F.lit(0).cast("bigint"))
-
     if not spec.relations:
         return F.create_map().cast("map<string,bigint>")
-    pairs = [F.lit(name) for name in spec.relations]
-    full = F.map_from_arrays(
-        F.array(*pairs), F.array(*[count(path) for path in spec.relations.values()])
-    )
-    if not spec.sparse_relations:
-        return full
-    present = F.array(
-        *[
-            F.when(is_object(raw(node, path)), F.lit(name))
-            for name, path in spec.relations.items()
-        ]
-    )
-    return F.map_filter(full, lambda name, _: F.array_contains(F.array_compact(present), name))
+    zero = F.lit(0).cast("bigint")
+    pairs = []
+    for name, path in spec.relations.items():
+        count = F.coalesce(node.typed(f"{path}.totalCount", "bigint"), zero)
+        pair = F.struct(F.lit(name).alias("key"), count.alias("value"))
+        pairs.append(F.when(node.is_object(path), pair) if spec.sparse_relations else pair)
+    return F.map_from_entries(F.array_compact(F.array(*pairs)))
 
 
 def inventory_of_nodes(
     nodes: DataFrame, spec: EntitySpec, snapshot_id: str, as_of: str, node: str = "node"
 ) -> DataFrame:
     """Inventory rows of one record kind."""
-    column = F.col(node)
-    updated = (
-        F.try_variant_get(column, f"$.{spec.updated_path}", "string")
-        if spec.updated_path
-        else F.lit(None).cast("string")
-    )
-    return nodes.select(
-        F.lit(spec.root).alias("entity_type"),
-        F.try_variant_get(column, "$.id", "string").alias("entity_id"),
-        F.lit(as_of).alias("discovered_at"),
-        F.lit(snapshot_id).alias("map_snapshot_id"),
-        updated.alias("updated_at"),
-        F.to_json(relation_counts(column, spec)).alias(RELATIONS),
-    )
+    reader = Node(node)
+    updated = reader.string(spec.updated_path) if spec.updated_path else F.lit(None).cast("string")
+    columns = {
+        "entity_type": F.lit(spec.root),
+        "entity_id": reader.string("id"),
+        "discovered_at": F.lit(as_of),
+        "map_snapshot_id": F.lit(snapshot_id),
+        "updated_at": updated,
+        RELATIONS: F.to_json(relation_counts(reader, spec)),
+    }
+    return reader.select(nodes, [], columns)
 
 
 def combine(inventories: Sequence[DataFrame]) -> DataFrame:

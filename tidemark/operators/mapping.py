@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import iso_passthrough
-from tidemark.functions.values import is_object, raw, strict_integer, text, text_or_blank, truthy
+from tidemark.functions.values import Node
 from tidemark.operators.specs import EntitySpec
 
 REJECT_REASON = "reject_reason"
@@ -36,25 +36,23 @@ def first_problem(problems: Mapping[str, Column]) -> Column:
     return reason
 
 
-def with_reject_reason(
+def map_with(
     nodes: DataFrame,
+    node: Node,
     columns: Mapping[str, Column],
     problems: Mapping[str, Column],
     keep: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Mapped columns plus `reject_reason`, NULL for accepted nodes."""
-    return nodes.select(
-        *keep,
-        *[column.alias(name) for name, column in columns.items()],
-        first_problem(problems).alias(REJECT_REASON),
-    )
+    return node.select(nodes, keep, {**columns, REJECT_REASON: first_problem(problems)}, carry)
 
 
 def map_entities(
     nodes: DataFrame, spec: EntitySpec, node: str = "node", keep: Sequence[str] = ()
 ) -> DataFrame:
-    column = F.col(node)
-    return with_reject_reason(nodes, spec.columns(column), spec.problems(column), keep)
+    reader = Node(node)
+    return map_with(nodes, reader, spec.columns(reader), spec.problems(reader), keep)
 
 
 def split_mapped(mapped: DataFrame) -> Mapped:
@@ -64,7 +62,7 @@ def split_mapped(mapped: DataFrame) -> Mapped:
     )
 
 
-def note_parent(node: Column, given_type: Column, given_id: Column) -> tuple[Column, Column]:
+def note_parent(node: Node, given_type: Column, given_id: Column) -> tuple[Column, Column]:
     """(entity_type, entity_id) of a note; a given parent joins the chain of its kind.
 
     A parent of an earlier kind already in the node wins over a given one.
@@ -73,8 +71,8 @@ def note_parent(node: Column, given_type: Column, given_id: Column) -> tuple[Col
     parent_id = F.lit(None).cast("string")
     for name in reversed(NOTE_PARENTS):
         given = F.coalesce(given_type == name, F.lit(False))
-        here = given | is_object(raw(node, name))
-        this_id = F.when(given, given_id).otherwise(text(node, f"{name}.id"))
+        here = given | node.is_object(name)
+        this_id = F.when(given, given_id).otherwise(node.text(f"{name}.id"))
         parent_type = F.when(here, F.lit(name)).otherwise(parent_type)
         parent_id = F.when(here, this_id).otherwise(parent_id)
     return parent_type, parent_id
@@ -83,21 +81,20 @@ def note_parent(node: Column, given_type: Column, given_id: Column) -> tuple[Col
 def map_notes(
     nodes: DataFrame,
     node: str = "node",
-    parent_type: Column | None = None,
-    parent_id: Column | None = None,
+    given: tuple[str, str] | None = None,
     lenient: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Notes; lenient mapping fills placeholders instead of refusing a node."""
-    column = F.col(node)
+    """Notes; lenient mapping fills placeholders instead of refusing a node.
+
+    `given` names two columns with the parent's type and id, if it is known.
+    """
+    reader = Node(node)
     nothing = F.lit(None).cast("string")
-    entity_type, entity_id = note_parent(
-        column,
-        nothing if parent_type is None else parent_type,
-        nothing if parent_id is None else parent_id,
-    )
-    has_id = truthy(raw(column, "id"))
-    note_id = F.try_variant_get(column, "$.id", "string")
+    given_type, given_id = (F.col(c) for c in given) if given else (nothing, nothing)
+    entity_type, entity_id = note_parent(reader, given_type, given_id)
+    has_id = reader.truthy("id")
+    note_id = reader.string("id")
     problems: dict[str, Column] = {}
     no_parent_id = F.coalesce(entity_id, F.lit("")) == ""
     if lenient:
@@ -114,26 +111,29 @@ def map_notes(
         "id": note_id,
         "entity_type": entity_type,
         "entity_id": entity_id,
-        "message": text(column, "message"),
-        "created_at": iso_passthrough(F.try_variant_get(column, "$.createdAt", "string")),
-        "updated_at": iso_passthrough(F.try_variant_get(column, "$.updatedAt", "string")),
+        "message": reader.text("message"),
+        "created_at": iso_passthrough(reader.string("createdAt")),
+        "updated_at": iso_passthrough(reader.string("updatedAt")),
     }
-    return with_reject_reason(nodes, columns, problems, keep)
+    return map_with(nodes, reader, columns, problems, keep, given or ())
 
 
 def map_attachments(
     nodes: DataFrame,
     node: str = "node",
-    note_id: Column | None = None,
-    parent_id: Column | None = None,
+    note_id: str | None = None,
+    parent_id: str | None = None,
     lenient: bool = False,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Attachment metadata; without a note, lenient mapping files it under its parent."""
-    column = F.col(node)
-    has_id = truthy(raw(column, "id"))
-    attachment_id = F.try_variant_get(column, "$.id", "string")
-    note = text_or_blank(column, "note.id") if note_id is None else note_id
+    """Attachment metadata; without a note, lenient mapping files it under its parent.
+
+    `note_id` and `parent_id` name columns that carry them outside the node.
+    """
+    reader = Node(node)
+    has_id = reader.truthy("id")
+    attachment_id = reader.string("id")
+    note = reader.text_or_blank("note.id") if note_id is None else F.col(note_id)
     no_note = F.coalesce(note, F.lit("")) == ""
     problems: dict[str, Column] = {}
     if lenient:
@@ -141,26 +141,26 @@ def map_attachments(
         note = F.when(no_note, F.lit(ORPHAN)).otherwise(note)
     else:
         problems = {"missing id": ~has_id, "missing note id": no_note}
-    file_name = text(column, "fileName")
-    owner = F.lit("") if parent_id is None else F.coalesce(parent_id, F.lit(""))
+    file_name = reader.text("fileName")
+    owner = F.lit("") if parent_id is None else F.coalesce(F.col(parent_id), F.lit(""))
     folder = F.when(
         (note == ORPHAN) & (owner != ""), F.concat(F.lit(f"{ORPHAN}/"), owner)
     ).otherwise(note)
     path = F.concat(F.lit(f"{ATTACHMENT_ROOT}/"), folder, F.lit("/"), file_name)
+    no_name = F.coalesce(file_name, F.lit("")) == ""
     columns = {
         "id": attachment_id,
         "note_id": note,
         "file_name": file_name,
-        "content_type": text(column, "contentType"),
-        "original_url": text(column, "url"),
-        "local_file_path": F.when(F.coalesce(file_name, F.lit("")) == "", F.lit("")).otherwise(
-            path
-        ),
-        "file_size": strict_integer(column, "fileSize"),
-        "created_at": iso_passthrough(F.try_variant_get(column, "$.createdAt", "string")),
+        "content_type": reader.text("contentType"),
+        "original_url": reader.text("url"),
+        "local_file_path": F.when(no_name, F.lit("")).otherwise(path),
+        "file_size": reader.strict_integer("fileSize"),
+        "created_at": iso_passthrough(reader.string("createdAt")),
         "download_status": F.lit("pending"),
         "hash": F.lit(None).cast("string"),
         "downloaded_at": F.lit(None).cast("string"),
         "download_error": F.lit(None).cast("string"),
     }
-    return with_reject_reason(nodes, columns, problems, keep)
+    carry = [c for c in (note_id, parent_id) if c]
+    return map_with(nodes, reader, columns, problems, keep, carry)

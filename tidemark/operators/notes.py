@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import raw, truthy
+from tidemark.functions.values import truthy, variant_at
 from tidemark.operators.mapping import (
     ATTACHMENT_ROOT,
     ORPHAN,
@@ -30,7 +30,7 @@ def collect_references(
     note_id = F.try_variant_get(F.col("edge"), "$.node.id", "string")
     return (
         parents.select(F.col(parent_id).alias("entity_id"), F.explode(edges).alias("edge"))
-        .where(truthy(raw(F.col("edge"), "node.id")))
+        .where(truthy(variant_at(F.col("edge"), "node.id")))
         .select(note_id.alias("note_id"), F.lit(entity_type).alias("entity_type"), "entity_id")
     )
 
@@ -51,7 +51,7 @@ def deferred_notes(references: DataFrame, note_nodes: DataFrame, node: str = "no
     `note_nodes` has note_id and the node, one row per id.
     """
     fetched = references.join(note_nodes.select("note_id", node), "note_id", "inner")
-    return map_notes(fetched, node, F.col("entity_type"), F.col("entity_id"), keep=["note_id"])
+    return map_notes(fetched, node, given=("entity_type", "entity_id"), keep=["note_id"])
 
 
 def note_attachments(
@@ -63,7 +63,7 @@ def note_attachments(
         note_id, F.try_variant_get(F.col("edge"), "$.node", "variant").alias("file")
     )
     return map_attachments(
-        files.where(truthy(F.col("file"))), "file", note_id=F.col(note_id)
+        files.where(truthy(F.col("file"))), "file", note_id=note_id
     )
 
 
@@ -72,9 +72,11 @@ def inline_notes(children: DataFrame, entity_type: str, parent_id: str, child: s
 
     A parent kind notes cannot hang on still keeps its notes, as orphans.
     """
-    with_id = children.where(truthy(raw(F.col(child), "id")))
+    with_id = children.where(truthy(variant_at(F.col(child), "id"))).withColumn(
+        "_parent_type", F.lit(entity_type)
+    )
     strict = split_mapped(
-        map_notes(with_id, child, F.lit(entity_type), F.col(parent_id), keep=[child])
+        map_notes(with_id, child, given=("_parent_type", parent_id), keep=[child])
     )
     lenient = map_notes(strict.rejects.select(child), child, lenient=True)
     return (
@@ -90,11 +92,11 @@ def inline_attachments(children: DataFrame, parent_id: str, child: str = "child"
     Those without a note are kept under the parent; those without an id are refused.
     One pass decides both ways, because lenient mapping only adds placeholders.
     """
-    has_id = truthy(raw(F.col(child), "id"))
+    has_id = truthy(variant_at(F.col(child), "id"))
     mapped = map_attachments(
         children.where(truthy(F.col(child))).select(parent_id, child, has_id.alias("_has_id")),
         child,
-        parent_id=F.col(parent_id),
+        parent_id=parent_id,
         lenient=True,
         keep=[parent_id, "_has_id"],
     ).drop(REJECT_REASON)

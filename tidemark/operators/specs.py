@@ -1,6 +1,6 @@
 """What each kind of record looks like: columns, required fields, children, inventory.
 
-A spec holds functions from the node column to column expressions, so users can
+A spec holds functions from a node reader to column expressions, so users can
 add their own record kinds the same way.
 """
 
@@ -16,22 +16,9 @@ from tidemark.functions.contacts import additional_values, contact_array, primar
 from tidemark.functions.jsontext import edge_nodes_json, json_or_empty_list
 from tidemark.functions.money import node_cents_rounded, node_cents_truncated, not_a_number
 from tidemark.functions.timestamps import iso_normalized, iso_passthrough
-from tidemark.functions.values import (
-    flag01,
-    flag_text,
-    is_object,
-    kind,
-    raw,
-    relation_id,
-    strict_integer,
-    stringified,
-    text,
-    text_or_blank,
-    truthy,
-    whole_number,
-)
-
-Columns = Callable[[Column], Mapping[str, Column]]
+from tidemark.functions.values import Node
+
+Columns = Callable[[Node], Mapping[str, Column]]
 
 
 @dataclass(frozen=True)
@@ -57,79 +44,79 @@ class EntitySpec:
 NOTE_RELATIONS = {"notes": "notes", "attachments": "noteAttachments"}
 
 
-def _iso(node: Column, path: str) -> Column:
-    return iso_normalized(F.try_variant_get(node, f"$.{path}", "string"))
+def _iso(node: Node, path: str) -> Column:
+    return iso_normalized(node.string(path))
 
 
-def _as_is(node: Column, path: str) -> Column:
-    return iso_passthrough(F.try_variant_get(node, f"$.{path}", "string"))
+def _as_is(node: Node, path: str) -> Column:
+    return iso_passthrough(node.string(path))
 
 
-def _id(node: Column) -> Column:
-    return F.try_variant_get(node, "$.id", "string")
+def _id(node: Node) -> Column:
+    return node.string("id")
 
 
 def _blank() -> Column:
     return F.lit("")
 
 
-def _no_id(node: Column) -> dict[str, Column]:
-    return {"missing id": ~truthy(raw(node, "id"))}
+def _no_id(node: Node) -> dict[str, Column]:
+    return {"missing id": ~node.truthy("id")}
 
 
 def _no_relation(*paths: str) -> Columns:
-    def problems(node: Column) -> dict[str, Column]:
+    def problems(node: Node) -> dict[str, Column]:
         found = _no_id(node)
         for path in paths:
-            found[f"missing {path} id"] = relation_id(node, path) == ""
+            found[f"missing {path} id"] = node.lacks(f"{path}.id")
         return found
 
     return problems
 
 
-def _no_client_value(node: Column) -> dict[str, Column]:
+def _no_client_value(node: Node) -> dict[str, Column]:
     """Invoices and quotes refuse a null client id too."""
-    return {**_no_id(node), "missing client id": text_or_blank(node, "client.id") == ""}
+    return {**_no_id(node), "missing client id": node.text_or_blank("client.id") == ""}
 
 
-def _client(node: Column) -> dict[str, Column]:
+def _client(node: Node) -> dict[str, Column]:
     emails = contact_array(node, "emails", "address")
     phones = contact_array(node, "phones", "number")
     return {
         "id": _id(node),
-        "first_name": text(node, "firstName"),
-        "last_name": text(node, "lastName"),
+        "first_name": node.text("firstName"),
+        "last_name": node.text("lastName"),
         "email": primary_value(emails, "address"),
         "phone": primary_value(phones, "number"),
         "created_at": _iso(node, "createdAt"),
         "additional_emails": json_or_empty_list(additional_values(emails, "address")),
         "additional_phones": json_or_empty_list(additional_values(phones, "number")),
-        "company_name": text_or_blank(node, "companyName"),
+        "company_name": node.text_or_blank("companyName"),
         "balance_cents": node_cents_truncated(node, "balance"),
-        "is_archivable": flag01(node, "isArchivable"),
-        "is_company": flag01(node, "isCompany"),
-        "billing_street": text_or_blank(node, "billingAddress.street"),
-        "billing_city": text_or_blank(node, "billingAddress.city"),
-        "billing_province": text_or_blank(node, "billingAddress.province"),
-        "billing_postal_code": text_or_blank(node, "billingAddress.postalCode"),
-        "billing_country": text_or_blank(node, "billingAddress.country"),
+        "is_archivable": node.flag01("isArchivable"),
+        "is_company": node.flag01("isCompany"),
+        "billing_street": node.text_or_blank("billingAddress.street"),
+        "billing_city": node.text_or_blank("billingAddress.city"),
+        "billing_province": node.text_or_blank("billingAddress.province"),
+        "billing_postal_code": node.text_or_blank("billingAddress.postalCode"),
+        "billing_country": node.text_or_blank("billingAddress.country"),
     }
 
 
-def _invoice(node: Column) -> dict[str, Column]:
-    net = F.try_variant_get(node, "$.invoiceNet", "bigint")
+def _invoice(node: Node) -> dict[str, Column]:
+    net = node.typed("invoiceNet", "bigint")
     return {
         "id": _id(node),
-        "client_id": text(node, "client.id"),
-        "number": text(node, "invoiceNumber"),
+        "client_id": node.text("client.id"),
+        "number": node.text("invoiceNumber"),
         "total_cents": node_cents_truncated(node, "amounts.total"),
-        "status": text(node, "invoiceStatus"),
+        "status": node.text("invoiceStatus"),
         "issued_at": _as_is(node, "issuedDate"),
         "due_date": _iso(node, "dueDate"),
         "subtotal": node_cents_truncated(node, "amounts.subtotal"),
         "line_items": edge_nodes_json(node, "lineItems"),
-        "subject": text_or_blank(node, "subject"),
-        "message": text_or_blank(node, "message"),
+        "subject": node.text_or_blank("subject"),
+        "message": node.text_or_blank("message"),
         "tax_cents": node_cents_truncated(node, "amounts.taxAmount"),
         "discount_cents": node_cents_truncated(node, "amounts.discountAmount"),
         "deposit_cents": node_cents_truncated(node, "amounts.depositAmount"),
@@ -145,187 +132,185 @@ QUOTE_AMOUNTS = {
 }
 
 
-def _quote(node: Column) -> dict[str, Column]:
-    on_property = is_object(raw(node, "property"))
+def _quote(node: Node) -> dict[str, Column]:
+    on_property = node.is_object("property")
     return {
         "id": _id(node),
-        "client_id": text(node, "client.id"),
-        "property_id": F.when(on_property, text(node, "property.id")).otherwise(""),
-        "quote_number": text(node, "quoteNumber"),
-        "title": text(node, "title"),
+        "client_id": node.text("client.id"),
+        "property_id": F.when(on_property, node.text("property.id")).otherwise(""),
+        "quote_number": node.text("quoteNumber"),
+        "title": node.text("title"),
         **{name: node_cents_rounded(node, path) for name, path in QUOTE_AMOUNTS.items()},
-        "disclaimer": text(node, "message"),
+        "disclaimer": node.text("message"),
         "line_items": edge_nodes_json(node, "lineItems"),
         "created_at": _as_is(node, "createdAt"),
         "transitioned_at": _as_is(node, "transitionedAt"),
         "updated_at": _as_is(node, "updatedAt"),
-        "quote_status": text_or_blank(node, "quoteStatus"),
+        "quote_status": node.text_or_blank("quoteStatus"),
         "sent_at": _as_is(node, "sentAt"),
     }
 
 
-def _quote_problems(node: Column) -> dict[str, Column]:
+def _quote_problems(node: Node) -> dict[str, Column]:
     bad = F.lit(False)
     for path in QUOTE_AMOUNTS.values():
         bad = bad | not_a_number(node, path)
     return {**_no_client_value(node), "amount is not a number": bad}
 
 
-def _job(node: Column) -> dict[str, Column]:
+def _job(node: Node) -> dict[str, Column]:
     return {
         "id": _id(node),
-        "client_id": relation_id(node, "client"),
-        "property_id": relation_id(node, "property"),
-        "quote_id": relation_id(node, "quote"),
-        "job_number": text(node, "jobNumber"),
-        "title": text(node, "title"),
-        "description": text(node, "instructions"),
-        "status": text(node, "jobStatus"),
+        "client_id": node.relation_id("client"),
+        "property_id": node.relation_id("property"),
+        "quote_id": node.relation_id("quote"),
+        "job_number": node.text("jobNumber"),
+        "title": node.text("title"),
+        "description": node.text("instructions"),
+        "status": node.text("jobStatus"),
         "scheduled_start_at": _iso(node, "startAt"),
         "scheduled_end_at": _iso(node, "endAt"),
         "completed_at": _iso(node, "completedAt"),
         "total": node_cents_truncated(node, "total"),
         "created_at": _iso(node, "createdAt"),
         "updated_at": _iso(node, "updatedAt"),
-        "job_type": text_or_blank(node, "jobType"),
-        "billing_type": text_or_blank(node, "billingType"),
+        "job_type": node.text_or_blank("jobType"),
+        "billing_type": node.text_or_blank("billingType"),
         "invoiced_total": node_cents_truncated(node, "invoicedTotal"),
     }
 
 
-def _property(node: Column) -> dict[str, Column]:
+def _property(node: Node) -> dict[str, Column]:
     def address(key: str) -> Column:
-        return text_or_blank(node, f"address.{key}")
+        return node.text_or_blank(f"address.{key}")
 
-    def coordinate(key: str) -> Column:
-        value = raw(node, f"address.coordinates.{key}")
-        return F.when(F.is_variant_null(value), F.lit("")).otherwise(stringified(value, ""))
+    def number_text(path: str) -> Column:
+        return F.when(node.kind(path) == "VOID", F.lit("")).otherwise(node.stringified(path, ""))
 
-    rate = raw(node, "taxRate.rate")
     return {
         "id": _id(node),
-        "client_id": relation_id(node, "client"),
-        "name": text(node, "name"),
+        "client_id": node.relation_id("client"),
+        "name": node.text("name"),
         "address_line1": address("street1"),
         "address_line2": address("street2"),
         "city": address("city"),
         "state_province": address("province"),
         "postal_code": address("postalCode"),
         "country": address("country"),
-        "latitude": coordinate("latitude"),
-        "longitude": coordinate("longitude"),
+        "latitude": number_text("address.coordinates.latitude"),
+        "longitude": number_text("address.coordinates.longitude"),
         "created_at": _iso(node, "createdAt"),
         "updated_at": _iso(node, "updatedAt"),
-        "tax_rate_id": text_or_blank(node, "taxRate.id"),
-        "tax_rate_name": text_or_blank(node, "taxRate.name"),
-        "tax_rate": F.when(F.is_variant_null(rate), F.lit("")).otherwise(stringified(rate, "")),
-        "is_billing_address": flag01(node, "isBillingAddress"),
-        "routing_order": strict_integer(node, "routingOrder"),
+        "tax_rate_id": node.text_or_blank("taxRate.id"),
+        "tax_rate_name": node.text_or_blank("taxRate.name"),
+        "tax_rate": number_text("taxRate.rate"),
+        "is_billing_address": node.flag01("isBillingAddress"),
+        "routing_order": node.strict_integer("routingOrder"),
     }
 
 
-def _request(node: Column) -> dict[str, Column]:
+def _request(node: Node) -> dict[str, Column]:
     return {
         "id": _id(node),
-        "client_id": relation_id(node, "client"),
-        "property_id": relation_id(node, "property"),
-        "title": text(node, "title"),
+        "client_id": node.relation_id("client"),
+        "property_id": node.relation_id("property"),
+        "title": node.text("title"),
         "description": _blank(),
-        "status": text(node, "requestStatus"),
+        "status": node.text("requestStatus"),
         "priority": _blank(),
-        "source": text(node, "source"),
+        "source": node.text("source"),
         "assigned_to": _blank(),
         "converted_to_quote_id": _blank(),
         "converted_to_job_id": _blank(),
-        "company_name": text(node, "companyName"),
-        "contact_name": text(node, "contactName"),
-        "email": text(node, "email"),
-        "phone": text(node, "phone"),
+        "company_name": node.text("companyName"),
+        "contact_name": node.text("contactName"),
+        "email": node.text("email"),
+        "phone": node.text("phone"),
         "created_at": _iso(node, "createdAt"),
         "updated_at": _iso(node, "updatedAt"),
     }
 
 
-def _user(node: Column) -> dict[str, Column]:
+def _user(node: Node) -> dict[str, Column]:
     role = (
-        F.when(truthy(raw(node, "isAccountOwner")), F.lit("owner"))
-        .when(truthy(raw(node, "isAccountAdmin")), F.lit("admin"))
+        F.when(node.truthy("isAccountOwner"), F.lit("owner"))
+        .when(node.truthy("isAccountAdmin"), F.lit("admin"))
         .otherwise(F.lit("employee"))
     )
     return {
         "id": _id(node),
-        "first_name": text_or_blank(node, "name.first"),
-        "last_name": text_or_blank(node, "name.last"),
-        "email": text_or_blank(node, "email.raw"),
+        "first_name": node.text_or_blank("name.first"),
+        "last_name": node.text_or_blank("name.last"),
+        "email": node.text_or_blank("email.raw"),
         "role": role,
-        "is_account_admin": flag_text(node, "isAccountAdmin", False),
-        "is_account_owner": flag_text(node, "isAccountOwner", False),
-        "status": text(node, "status"),
-        "phone": text_or_blank(node, "phone.raw"),
-        "timezone": text(node, "timezone"),
+        "is_account_admin": node.flag_text("isAccountAdmin", False),
+        "is_account_owner": node.flag_text("isAccountOwner", False),
+        "status": node.text("status"),
+        "phone": node.text_or_blank("phone.raw"),
+        "timezone": node.text("timezone"),
         "created_at": _iso(node, "createdAt"),
         "last_login_at": _iso(node, "lastLoginAt"),
-        "available_for_scheduling": flag01(node, "availableForScheduling"),
-        "assigned_color": text_or_blank(node, "assignedColor"),
+        "available_for_scheduling": node.flag01("availableForScheduling"),
+        "assigned_color": node.text_or_blank("assignedColor"),
     }
 
 
-def _expense(node: Column) -> dict[str, Column]:
+def _expense(node: Node) -> dict[str, Column]:
     return {
         "id": _id(node),
-        "job_id": relation_id(node, "linkedJob"),
+        "job_id": node.relation_id("linkedJob"),
         "amount_cents": node_cents_truncated(node, "total"),
-        "description": text(node, "description"),
+        "description": node.text("description"),
         "category": F.lit("general"),
         "receipt_url": _blank(),
-        "vendor": text(node, "title"),
+        "vendor": node.text("title"),
         "expense_date": _iso(node, "date"),
-        "entered_by_id": relation_id(node, "enteredBy"),
-        "paid_by_id": relation_id(node, "paidBy"),
-        "reimbursable_to_id": relation_id(node, "reimbursableTo"),
+        "entered_by_id": node.relation_id("enteredBy"),
+        "paid_by_id": node.relation_id("paidBy"),
+        "reimbursable_to_id": node.relation_id("reimbursableTo"),
         "created_at": _iso(node, "createdAt"),
         "updated_at": _iso(node, "updatedAt"),
     }
 
 
-def _visit(node: Column) -> dict[str, Column]:
-    by_text = kind(raw(node, "completedBy")) == "STRING"
+def _visit(node: Node) -> dict[str, Column]:
+    by_text = node.kind("completedBy") == "STRING"
     return {
         "id": _id(node),
-        "job_id": relation_id(node, "job"),
-        "client_id": relation_id(node, "client"),
-        "property_id": relation_id(node, "property"),
-        "assigned_user_id": text(node, "assignedUsers.edges[0].node.id"),
-        "title": text(node, "title"),
-        "instructions": text(node, "instructions"),
-        "status": text(node, "visitStatus"),
-        "all_day": flag01(node, "allDay"),
-        "duration_minutes": whole_number(node, "duration"),
+        "job_id": node.relation_id("job"),
+        "client_id": node.relation_id("client"),
+        "property_id": node.relation_id("property"),
+        "assigned_user_id": node.text("assignedUsers.edges[0].node.id"),
+        "title": node.text("title"),
+        "instructions": node.text("instructions"),
+        "status": node.text("visitStatus"),
+        "all_day": node.flag01("allDay"),
+        "duration_minutes": node.whole_number("duration"),
         "start_at": _iso(node, "startAt"),
         "end_at": _iso(node, "endAt"),
         "completed_at": _iso(node, "completedAt"),
         "created_at": _iso(node, "createdAt"),
         "updated_at": F.lit(None).cast("string"),
-        "client_confirmed": flag01(node, "clientConfirmed"),
-        "completed_by_id": F.when(by_text, text(node, "completedBy")).otherwise(""),
+        "client_confirmed": node.flag01("clientConfirmed"),
+        "completed_by_id": F.when(by_text, node.text("completedBy")).otherwise(""),
     }
 
 
-def _timesheet_entry(node: Column) -> dict[str, Column]:
+def _timesheet_entry(node: Node) -> dict[str, Column]:
     return {
         "id": _id(node),
-        "user_id": relation_id(node, "user"),
-        "job_id": relation_id(node, "job"),
-        "visit_id": relation_id(node, "visit"),
-        "approved_by_id": relation_id(node, "approvedBy"),
-        "paid_by_id": relation_id(node, "paidBy"),
-        "label": text(node, "label"),
-        "note": text(node, "note"),
-        "labour_rate": stringified(raw(node, "labourRate"), "0.00"),
-        "final_duration_seconds": whole_number(node, "finalDuration"),
-        "visit_duration_total_seconds": whole_number(node, "visitDurationTotal"),
-        "approved": flag_text(node, "approved", False),
-        "ticking": flag_text(node, "ticking", False),
+        "user_id": node.relation_id("user"),
+        "job_id": node.relation_id("job"),
+        "visit_id": node.relation_id("visit"),
+        "approved_by_id": node.relation_id("approvedBy"),
+        "paid_by_id": node.relation_id("paidBy"),
+        "label": node.text("label"),
+        "note": node.text("note"),
+        "labour_rate": node.stringified("labourRate", "0.00"),
+        "final_duration_seconds": node.whole_number("finalDuration"),
+        "visit_duration_total_seconds": node.whole_number("visitDurationTotal"),
+        "approved": node.flag_text("approved", False),
+        "ticking": node.flag_text("ticking", False),
         "start_at": _iso(node, "startAt"),
         "end_at": _iso(node, "endAt"),
         "created_at": _iso(node, "createdAt"),
@@ -333,32 +318,32 @@ def _timesheet_entry(node: Column) -> dict[str, Column]:
     }
 
 
-def _product_service(node: Column) -> dict[str, Column]:
-    visible = flag_text(node, "visible", True)
-    category = F.when(is_object(raw(node, "category")), text(node, "category.name")).otherwise(
-        text(node, "category")
+def _product_service(node: Node) -> dict[str, Column]:
+    visible = node.flag_text("visible", True)
+    category = F.when(node.is_object("category"), node.text("category.name")).otherwise(
+        node.text("category")
     )
     return {
         "id": _id(node),
-        "name": text(node, "name"),
-        "description": text(node, "description"),
+        "name": node.text("name"),
+        "description": node.text("description"),
         "category": category,
         "default_unit_cost_cents": node_cents_truncated(node, "defaultUnitCost"),
         "internal_unit_cost_cents": node_cents_truncated(node, "internalUnitCost"),
-        "markup_percentage": stringified(raw(node, "markup"), "0"),
-        "duration_minutes": whole_number(node, "durationMinutes"),
-        "taxable": flag_text(node, "taxable", False),
+        "markup_percentage": node.stringified("markup", "0"),
+        "duration_minutes": node.whole_number("durationMinutes"),
+        "taxable": node.flag_text("taxable", False),
         "visible": visible,
-        "online_booking_enabled": flag_text(node, "onlineBookingsEnabled", False),
-        "online_booking_sort_order": whole_number(node, "onlineBookingSortOrder"),
+        "online_booking_enabled": node.flag_text("onlineBookingsEnabled", False),
+        "online_booking_sort_order": node.whole_number("onlineBookingSortOrder"),
         "active": visible,
         "created_at": _blank(),
         "updated_at": _blank(),
     }
 
 
-def _tax_rate(node: Column) -> dict[str, Column]:
-    return {"id": _id(node), "name": text(node, "name")}
+def _tax_rate(node: Node) -> dict[str, Column]:
+    return {"id": _id(node), "name": node.text("name")}
 
 
 _WITH_NOTES = {"relations": NOTE_RELATIONS}

@@ -33,7 +33,7 @@ def _available(t: Tables) -> DataFrame:
 
 
 FIELDS_SQL = " UNION ALL ".join(
-    f"SELECT '{table}' AS entity, '{column}' AS field FROM {table} WHERE {column} IS NOT NULL GROUP BY ALL"
+    f"SELECT DISTINCT '{table}' AS entity, '{column}' AS field FROM {table} WHERE {column} IS NOT NULL"
     for table, columns in {
         "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
         "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],

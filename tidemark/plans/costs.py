@@ -13,7 +13,7 @@ from tidemark.sources.pages import cost_envelopes
 from tidemark.sources.tables import keyset_page, newest, offset_page
 
 COSTS = """
-  SELECT event_id AS id, event_type AS query_type, epoch_us(ts) // 1000000 AS at,
+  SELECT event_id AS id, event_type AS query_type, epoch_us(ts) // 1000000 AS at_s,
          CAST(json_extract(props, '$.k') AS BIGINT) * 100 AS requested_cost,
          CAST(floor(value * 10) AS BIGINT) AS actual_cost,
          CASE WHEN event_type <> 'click' THEN CAST(10000 AS BIGINT) END AS maximum_available,
@@ -80,21 +80,21 @@ def cost_stats(spark: SparkSession, folder: str) -> DataFrame:
     "cost_last100",
     f"""
     SELECT query_type, {STATISTICS}
-    FROM (SELECT * FROM ({COSTS}) QUALIFY row_number() OVER (PARTITION BY query_type ORDER BY at DESC, id DESC) <= 100)
+    FROM (SELECT * FROM ({COSTS}) QUALIFY row_number() OVER (PARTITION BY query_type ORDER BY at_s DESC, id DESC) <= 100)
     GROUP BY 1
     """,
 )
 def cost_last100(spark: SparkSession, folder: str) -> DataFrame:
-    last = costlog.last_rows(cost_log(Tables(spark, folder)), ["query_type"], ["at", "id"])
+    last = costlog.last_rows(cost_log(Tables(spark, folder)), ["query_type"], ["at_s", "id"])
     return rounded(costlog.cost_statistics(last, ["query_type"]), "cost_accuracy_percentage")
 
 
 THROTTLE = """
   count(*) FILTER (ok) AS queries_with_throttle_data,
-  arg_min(maximum_available, (at, id)) FILTER (ok) AS maximum_available,
+  arg_min(maximum_available, (at_s, id)) FILTER (ok) AS maximum_available,
   avg(currently_available) FILTER (ok) AS avg_currently_available,
   min(currently_available) FILTER (ok) AS min_currently_available,
-  arg_min(restore_rate, (at, id)) FILTER (ok) AS restore_rate
+  arg_min(restore_rate, (at_s, id)) FILTER (ok) AS restore_rate
 """
 
 
@@ -111,7 +111,7 @@ THROTTLE = """
 def throttle_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Clicks and views carry no complete throttle data: count 0 and NULLs."""
     return costlog.throttle_statistics(
-        cost_log(Tables(spark, folder)), ["at", "id"], ["query_type"]
+        cost_log(Tables(spark, folder)), ["at_s", "id"], ["query_type"]
     )
 
 
@@ -173,7 +173,7 @@ def metrics_summary(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
     costs = cost_log(t)
     stats = costlog.cost_statistics(costs).select(F.struct("*")).scalar()
-    throttle = costlog.throttle_statistics(costs, ["at", "id"]).drop(
+    throttle = costlog.throttle_statistics(costs, ["at_s", "id"]).drop(
         "avg_capacity_used_percentage", "lowest_capacity_percentage"
     )
     joined = (
@@ -252,11 +252,11 @@ def cooldown_advice(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "recent_costs",
-    f"SELECT id, query_type, requested_cost, actual_cost, at FROM ({COSTS}) ORDER BY at DESC, id DESC LIMIT 10",
+    f"SELECT id, query_type, requested_cost, actual_cost, at_s FROM ({COSTS}) ORDER BY at_s DESC, id DESC LIMIT 10",
 )
 def recent_costs(spark: SparkSession, folder: str) -> DataFrame:
-    rows = newest(cost_log(Tables(spark, folder)), 10, F.desc("at"), F.desc("id"))
-    return rows.select("id", "query_type", "requested_cost", "actual_cost", "at")
+    rows = newest(cost_log(Tables(spark, folder)), 10, F.desc("at_s"), F.desc("id"))
+    return rows.select("id", "query_type", "requested_cost", "actual_cost", "at_s")
 
 
 @query(

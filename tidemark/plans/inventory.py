@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.jsontext import count_at, count_map, total_of_counts
+from tidemark.functions.values import Node
 from tidemark.operators import inventory as inv
 from tidemark.operators.reports import map_report
 from tidemark.operators.specs import SPECS
@@ -88,13 +89,13 @@ def relation_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 def by_segment(t: Tables) -> DataFrame:
     """Inventory rows with the segment as kind: what the per-kind reports run over."""
-    nodes = light_customers(t)
-    counts = inv.relation_counts(F.col("node"), SPECS["client"])
-    return nodes.select(
-        F.col("c_mktsegment").alias("entity_type"),
-        F.try_variant_get("node", "$.id", "string").alias("entity_id"),
-        F.to_json(counts).alias(inv.RELATIONS),
-    )
+    node = Node("node")
+    columns = {
+        "entity_type": F.col("c_mktsegment"),
+        "entity_id": node.string("id"),
+        inv.RELATIONS: F.to_json(inv.relation_counts(node, SPECS["client"])),
+    }
+    return node.select(light_customers(t), [], columns, carry=["c_mktsegment"])
 
 
 @query(

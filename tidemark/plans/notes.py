@@ -10,7 +10,7 @@ from tidemark.operators.mapping import map_attachments, map_notes, split_mapped
 from tidemark.operators.merge import upsert
 from tidemark.plans.packing import attachment_nodes, note_nodes, turn_id
 from tidemark.plans.pipelines import reject_counts
-from tidemark.plans.registry import Tables, as_node, json_of, key_text, query
+from tidemark.plans.registry import Tables, json_of, key_text, pack, query
 from tidemark.sources.pages import child_nodes
 
 TURN_ID = "conv_id || '-' || turn"
@@ -131,9 +131,10 @@ def _conversation_pages(t: Tables) -> tuple[DataFrame, DataFrame]:
     edges = F.array(
         F.struct(node.alias("node")).cast(kind), F.struct(F.lit(None).alias("node")).cast(kind)
     )
-    inline = t.conversations.where("turn < 4").select(
+    inline = pack(
+        t.conversations.where("turn < 4"),
+        json_of(F.struct(edges.alias("edges")).alias("notes")),
         key_text("conv_id").alias("id"),
-        as_node(json_of(F.struct(edges.alias("edges")).alias("notes"))),
     )
     later = t.conversations.where("turn >= 4").select(
         key_text("conv_id").alias("id"),
@@ -270,7 +271,7 @@ def note_attachments(spark: SparkSession, folder: str) -> DataFrame:
     text = json_of(
         F.when(F.col("role") == "user", F.struct(edges.alias("edges"))).alias("attachments")
     )
-    nodes = Tables(spark, folder).conversations.select(turn_id().alias("note_id"), as_node(text))
+    nodes = pack(Tables(spark, folder).conversations, text, turn_id().alias("note_id"))
     mapped = notes.note_attachments(nodes)
     return split_mapped(mapped).accepted.select("id", "note_id", "local_file_path")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.plans.registry import Tables, as_node, epoch_seconds, iso_text, json_of, key_text
+from tidemark.plans.registry import Tables, epoch_seconds, iso_text, json_of, key_text, pack
 
 
 def quoted(column: str | Column) -> Column:
@@ -42,7 +42,7 @@ def light_customers(t: Tables) -> DataFrame:
         total("n_failed").alias("noteAttachments"),
     )
     joined = t.customer.select("c_custkey", "c_mktsegment").join(per_customer, "c_custkey", "left")
-    return joined.select("c_mktsegment", as_node(text))
+    return pack(joined, text, "c_mktsegment")
 
 
 def light_orders(t: Tables) -> DataFrame:
@@ -55,11 +55,8 @@ def light_orders(t: Tables) -> DataFrame:
         iso_text("o_orderdate").alias("updatedAt"),
         total("n_lines").alias("lineItems"),
     )
-    return (
-        t.orders.select("o_orderkey", "o_orderdate")
-        .join(per_order, "o_orderkey", "left")
-        .select(as_node(text))
-    )
+    joined = t.orders.select("o_orderkey", "o_orderdate").join(per_order, "o_orderkey", "left")
+    return pack(joined, text)
 
 
 def client_nodes(t: Tables) -> DataFrame:
@@ -90,7 +87,7 @@ def client_nodes(t: Tables) -> DataFrame:
         ),
         F.lit("2024-01-05T10:00:00Z").alias("createdAt"),
     )
-    return t.customer.select(as_node(text))
+    return pack(t.customer, text)
 
 
 def _order_lines() -> Column:
@@ -126,7 +123,7 @@ def invoice_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("message"),
         _order_lines().alias("lineItems"),
     )
-    return t.orders.select(as_node(text))
+    return pack(t.orders, text)
 
 
 def quote_nodes(t: Tables) -> DataFrame:
@@ -150,7 +147,7 @@ def quote_nodes(t: Tables) -> DataFrame:
         quoted("o_orderpriority"),
         iso_text("o_orderdate"),
     )
-    return t.orders.select(as_node(text))
+    return pack(t.orders, text)
 
 
 def job_nodes(t: Tables) -> DataFrame:
@@ -169,7 +166,7 @@ def job_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("jobType"),
         F.col("o_totalprice").alias("invoicedTotal"),
     )
-    return t.orders.select(as_node(text))
+    return pack(t.orders, text)
 
 
 def property_nodes(t: Tables) -> DataFrame:
@@ -193,7 +190,7 @@ def property_nodes(t: Tables) -> DataFrame:
         F.col("c_nationkey").alias("routingOrder"),
         F.lit("2024-01-05T10:00:00.250-05:00").alias("createdAt"),
     )
-    return t.customer.select(as_node(text))
+    return pack(t.customer, text)
 
 
 def request_nodes(t: Tables) -> DataFrame:
@@ -205,7 +202,7 @@ def request_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("requestStatus"),
         iso_text("ts").alias("createdAt"),
     )
-    return t.events.select(as_node(text))
+    return pack(t.events, text)
 
 
 def user_nodes(t: Tables) -> DataFrame:
@@ -219,7 +216,7 @@ def user_nodes(t: Tables) -> DataFrame:
         F.col("s_nationkey").alias("availableForScheduling"),
         F.lit("2024-01-05").alias("lastLoginAt"),
     )
-    return t.supplier.select(as_node(text))
+    return pack(t.supplier, text)
 
 
 def line_id() -> Column:
@@ -235,7 +232,7 @@ def expense_nodes(t: Tables) -> DataFrame:
         iso_text("l_shipdate").alias("date"),
         ref(F.col("l_suppkey")).alias("enteredBy"),
     )
-    return t.lineitem.select(as_node(text))
+    return pack(t.lineitem, text)
 
 
 def visit_nodes(t: Tables) -> DataFrame:
@@ -257,7 +254,7 @@ def visit_nodes(t: Tables) -> DataFrame:
         F.struct(key_text("l_suppkey").alias("id")).alias("completedBy"),
         iso_text("l_shipdate").alias("startAt"),
     )
-    return t.lineitem.select(as_node(text))
+    return pack(t.lineitem, text)
 
 
 def timesheet_nodes(t: Tables) -> DataFrame:
@@ -271,7 +268,7 @@ def timesheet_nodes(t: Tables) -> DataFrame:
         F.when(F.col("event_type") != "view", F.col("value") > 50).alias("approved"),
         iso_text("ts").alias("startAt"),
     )
-    return t.events.select(as_node(text))
+    return pack(t.events, text)
 
 
 def product_nodes(t: Tables) -> DataFrame:
@@ -291,12 +288,12 @@ def product_nodes(t: Tables) -> DataFrame:
         F.when(plain, F.lit("true")).otherwise(F.lit("null")),
         key_text("p_size"),
     )
-    return t.part.select(as_node(text))
+    return pack(t.part, text)
 
 
 def tax_rate_nodes(t: Tables) -> DataFrame:
     text = json_of(key_text("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return t.nation.select(as_node(text))
+    return pack(t.nation, text)
 
 
 def turn_id() -> Column:
@@ -313,7 +310,7 @@ def note_nodes(t: Tables) -> DataFrame:
         ref(F.col("turn"), user | assistant).alias("job"),
         F.lit("2024-01-05T10:00:00Z").alias("createdAt"),
     )
-    return t.conversations.select(turn_id().alias("note_id"), "conv_id", "turn", "role", as_node(text))
+    return pack(t.conversations, text, turn_id().alias("note_id"), "conv_id", "turn", "role")
 
 
 def attachment_nodes(t: Tables) -> DataFrame:
@@ -332,9 +329,8 @@ def attachment_nodes(t: Tables) -> DataFrame:
         F.lit("2024-01-05T10:00:00Z").alias("createdAt"),
     )
     open_text = F.regexp_replace(text, r"\}$", "")
-    return t.documents.select(
-        "doc_id", "source", as_node(F.concat(open_text, F.lit(',"fileSize":'), size, F.lit("}")))
-    )
+    with_size = F.concat(open_text, F.lit(',"fileSize":'), size, F.lit("}"))
+    return pack(t.documents, with_size, "doc_id", "source")
 
 
 def event_pages(t: Tables, size: int = 100) -> DataFrame:
@@ -391,7 +387,7 @@ def cost_log(t: Tables) -> DataFrame:
     return t.events.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("query_type"),
-        epoch_seconds("ts").alias("at"),
+        epoch_seconds("ts").alias("at_s"),
         (k * 100).alias("requested_cost"),
         F.floor(F.col("value") * 10).cast("bigint").alias("actual_cost"),
         F.when(F.col("event_type") != "click", F.lit(10000).cast("bigint")).alias("maximum_available"),

@@ -62,5 +62,12 @@ def json_of(*fields: Column) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def as_node(text: Column) -> Column:
-    return F.parse_json(text).alias("node")
+def pack(df: DataFrame, text: Column, *keep: str | Column) -> DataFrame:
+    """Rows as nodes: `keep` and the node parsed from its JSON text.
+
+    The node is exploded from a one-element list, as from a page's edges; that keeps
+    filters on mapped columns from sinking below the parse and parsing again.
+    """
+    texts = df.select(*keep, text.alias("_json"))
+    kept = [c for c in texts.columns if c != "_json"]
+    return texts.select(*kept, F.explode(F.array(F.parse_json("_json"))).alias("node"))

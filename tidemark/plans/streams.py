@@ -42,8 +42,9 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table as a stream; the glob fits a single file and a folder of files."""
     schema = Tables(spark, folder).events.schema
-    return feed.table_stream(spark, f"{folder.rstrip('/')}/events.parquet", schema)
+    return feed.table_stream(spark, f"{folder.rstrip('/')}/events.parquet*", schema)
 
 
 @query(

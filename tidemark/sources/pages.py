@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.records import request_batch_size, request_entity
-from tidemark.functions.values import raw
+from tidemark.functions.values import variant_at
 
 
 def connection_schema(root: str) -> T.StructType:
@@ -79,7 +79,7 @@ def page_totals(pages: DataFrame) -> DataFrame:
 
 def single_nodes(responses: DataFrame, body: str = "body") -> DataFrame:
     """`{data: {node}}` responses; a missing or null node stays as a NULL node."""
-    node = raw(F.try_parse_json(F.col(body)), "data.node")
+    node = variant_at(F.try_parse_json(F.col(body)), "data.node")
     return responses.withColumn(
         "node", F.when(node.isNotNull() & ~F.is_variant_null(node), node)
     ).drop(body)
