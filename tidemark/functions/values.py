@@ -74,6 +74,11 @@ class Node:
         self._typed.setdefault(name, F.schema_of_variant(self.value(path)).alias(name))
         return F.col(f"`{name}`")
 
+    def fields(self, df: DataFrame, through: Sequence[str]) -> DataFrame:
+        """Columns passed `through` plus every field asked for so far."""
+        values = df.select(*through, *self._values.values())
+        return values.select("*", *self._typed.values())
+
     def select(
         self,
         df: DataFrame,
@@ -85,10 +90,8 @@ class Node:
 
         Rules may use `carry` columns of `df` too; those are not put out.
         """
-        through = dict.fromkeys([*keep, *carry])
-        values = df.select(*through, *self._values.values())
-        typed = values.select("*", *self._typed.values())
-        return typed.select(*keep, *[column.alias(name) for name, column in columns.items()])
+        rows = self.fields(df, list(dict.fromkeys([*keep, *carry])))
+        return rows.select(*keep, *[column.alias(name) for name, column in columns.items()])
 
     def number(self, path: str) -> Column:
         """The value as double when it is a number; texts are not tried."""

@@ -44,8 +44,20 @@ def map_with(
     keep: Sequence[str] = (),
     carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Mapped columns plus `reject_reason`, NULL for accepted nodes."""
-    return node.select(nodes, keep, {**columns, REJECT_REASON: first_problem(problems)}, carry)
+    """Mapped columns plus `reject_reason`, NULL for accepted nodes.
+
+    The reason is decided before the columns are built and handed on through a
+    one-element explode. A filter on it then runs where it is decided and is not
+    rewritten into the conditions behind it, which would read the node twice and
+    make planning very slow.
+    """
+    rows = node.fields(nodes, list(dict.fromkeys([*keep, *carry])))
+    kept = rows.columns
+    reasoned = rows.select("*", first_problem(problems).alias("_reason")).select(
+        *[F.col(f"`{c}`") for c in kept], F.explode(F.array("_reason")).alias(REJECT_REASON)
+    )
+    named = [column.alias(name) for name, column in columns.items()]
+    return reasoned.select(*keep, *named, REJECT_REASON)
 
 
 def map_entities(
