@@ -236,3 +236,19 @@ def test_coverage_counts_extras_as_queried(spark):
         audit.field_list(spark, {"T": ["a", "b", "c"]}), audit.field_list(spark, {"T": ["a", "x"]})
     ).first()
     assert (report.missing, report.extra, report.coverage_percent) == (2, 1, 66.7)
+
+
+def test_inventory_is_partitioned_by_snapshot_and_kind(spark, tmp_path):
+    schema = "entity_type string, entity_id string, map_snapshot_id string"
+    frame = spark.createDataFrame([("clients", "1", "s1"), ("jobs", "2", "s1"), ("jobs", "3", "s2")], schema)
+    inventory.write_inventory(frame, str(tmp_path / "inv"))
+    one = spark.read.parquet(str(tmp_path / "inv")).where("map_snapshot_id = 's2' and entity_type = 'jobs'")
+    assert [r.entity_id for r in one.collect()] == ["3"]
+    kept = merge.prune_snapshot({"inv": frame}, "s1")["inv"]
+    assert rows(kept) == [("jobs", "3", "s2")]
+
+
+def test_default_snapshot_label_and_missing_types(spark):
+    row = inventory.snapshot_row(spark, "id1", "2024-02-01T03:04:05+00:00", ["clients", "jobs"]).first()
+    assert (row.label, row.entities_included) == ("map-20240201-030405", '["clients","jobs"]')
+    assert inventory.missing_types(["jobs", "users"], ["clients", "jobs"]) == ["users"]

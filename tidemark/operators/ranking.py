@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_root
+from tidemark.session import stage
 
 # Weight of the newest value in the moving average, and the tail that decides it:
 # (1-0.1)^400 is below 1e-18, less than a double can hold next to the rest.
@@ -68,19 +68,18 @@ def running_totals(
 
     `keys` + `order` must identify a row. Rows are range-partitioned by keys and
     order, so a key with a third of all rows spreads over a third of the chunks;
-    the chunked rows are checkpointed to the shared folder because both passes over
-    them must see the same cuts. The first pass sums each (key, chunk); those few
+    the chunked rows are staged in the shared folder because both passes over them
+    must see the same cuts. The first pass sums each (key, chunk); those few
     sums give every chunk its starting offset; the second pass runs inside chunks.
 
-    The checkpoint is an action: this operator is not lazy.
+    Staging is an action: this operator is not lazy.
     """
-    checkpoint_root(df.sparkSession)
-    rows = (
+    chunked = (
         df.select("*", *[expr.alias(f"_add_{name}") for name, expr in totals.items()])
         .repartitionByRange(*keys, *order)
         .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint(eager=True)
     )
+    rows = stage(chunked, "chunks")
     names = list(totals)
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     sums = rows.groupBy(*keys, "_chunk").agg(

@@ -82,6 +82,18 @@ def _issues(counts: DataFrame, category: str) -> DataFrame:
     )
 
 
+def _orphans(tables: Mapping[str, DataFrame], rule: ForeignKey, blank_is_null: bool) -> DataFrame:
+    values = tables[rule.child].select(F.col(rule.column).alias("value"))
+    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value"))
+    if values.schema["value"].dataType != keys.schema["value"].dataType:
+        values, keys = (df.select(F.col("value").cast("string")) for df in (values, keys))
+    values = values.where("value is not null")
+    if blank_is_null:
+        values = values.where(F.col("value").cast("string") != "")
+    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(keys, "value", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))
+
+
 def foreign_key_orphans(
     tables: Mapping[str, DataFrame],
     rules: Sequence[ForeignKey] = tuple(FOREIGN_KEYS),
@@ -89,47 +101,22 @@ def foreign_key_orphans(
 ) -> DataFrame:
     """Orphan rows per rule, zeros included: (table, field, parent, count).
 
-    Each child and each parent table is scanned once however many rules touch it.
-    References are counted per value before the one anti join, so a hot value moves
-    as one row per map task. Rules on absent tables are skipped.
+    A rule reads one column on each side. References are counted per value before
+    the anti join, so a hot value moves as one row per map task and the join sees
+    each value once. Rules on absent tables are skipped.
     """
-    rules = [r for r in rules if r.child in tables and r.parent in tables]
-    referring = []
-    for child in dict.fromkeys(r.child for r in rules):
-        mine = [r for r in rules if r.child == child]
-        refs = F.array(
-            *[
-                F.struct(
-                    F.lit(r.column).alias("field"),
-                    F.lit(f"{r.parent}.{r.parent_key}").alias("parent"),
-                    F.col(r.column).cast("string").alias("value"),
-                )
-                for r in mine
-            ]
-        )
-        referring.append(
-            tables[child].select(F.lit(child).alias("table"), F.inline(refs))
-        )
-    counts = (
-        _union(referring).groupBy("table", "field", "parent", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    keys = _union(
+    return _union(
         [
-            tables[parent].select(
-                F.lit(f"{parent}.{key}").alias("parent"), F.col(key).cast("string").alias("value")
+            _orphans(tables, rule, blank_is_null).select(
+                F.lit(rule.child).alias("table"),
+                F.lit(rule.column).alias("field"),
+                F.lit(f"{rule.parent}.{rule.parent_key}").alias("parent"),
+                "count",
             )
-            for parent, key in dict.fromkeys((r.parent, r.parent_key) for r in rules)
+            for rule in rules
+            if rule.child in tables and rule.parent in tables
         ]
     )
-    known = keys.where("value is not null").withColumn("_known", F.lit(True)).distinct()
-    orphan = F.col("value").isNotNull() & F.col("_known").isNull()
-    if blank_is_null:
-        orphan = orphan & (F.col("value") != "")
-    return (
-        counts.join(known, ["parent", "value"], "left")
-        .groupBy("table", "field", "parent")
-        .agg(F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).alias("count"))
-    )
 
 
 def foreign_key_issues(

@@ -1,8 +1,6 @@
 """Whole passes: map, extract, download, load in dependency order.
 
-Each pass reads its inputs once. What several outputs share is written once to the
-shared scratch folder (`stage`), so no output computes it again and a lost executor
-costs one task, not the lineage.
+What several outputs of a pass share is staged: written once to the shared folder.
 """
 
 from __future__ import annotations
@@ -18,14 +16,7 @@ from tidemark.operators.downloads import DownloadFilters
 from tidemark.operators.mapping import REJECT_REASON, map_entities, split_mapped
 from tidemark.operators.merge import latest_per_key, patch, upsert
 from tidemark.operators.specs import LOAD_ORDER, EntitySpec
-from tidemark.session import scratch_path
-
-
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back. This is an action."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from tidemark.session import stage
 
 
 class MapPass(NamedTuple):
