@@ -1,8 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.pipelines import load_in_order
+from tidemark.session import scratch_path
 from tidemark.sources import files, introspection, pages
 from tidemark.streaming import feed
 
@@ -102,3 +104,32 @@ def test_load_order_goes_on_after_a_failure():
     got = load_in_order({"jobs": lambda: ran.append("jobs"), "users": fails, "clients": lambda: ran.append("clients")})
     assert ran == ["clients", "jobs"]
     assert got == {"users": "broken", "clients": "", "jobs": ""}
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    conf = {}
+
+    def __init__(self, master):
+        self.sparkContext = FakeContext(master)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    local = FakeSession("local[2]")
+    first, second = scratch_path(local, "x"), scratch_path(local, "x")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(ValueError):
+        scratch_path(FakeSession("yarn"), "x")

@@ -11,6 +11,7 @@ from tidemark.operators import inventory as inv
 from tidemark.operators.reports import map_report
 from tidemark.operators.specs import SPECS
 from tidemark.plans.packing import light_customers, light_orders
+from tidemark.plans.pipelines import MapPass, map_pass
 from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, iso_text, key_text, query
 
 CUSTOMER_TOTALS = """
@@ -253,3 +254,47 @@ def json_map_totals(spark: SparkSession, folder: str) -> DataFrame:
         F.sum(total_of_counts(count_map(F.col("props")))).alias("relations"),
         F.count(F.lit(1)).alias("n"),
     )
+
+
+def _map_pass(spark: SparkSession, folder: str) -> MapPass:
+    t = Tables(spark, folder)
+    kinds = {
+        "clients": (SPECS["client"], light_customers(t)),
+        "quotes": (SPECS["quote"], light_orders(t)),
+    }
+    return map_pass(spark, kinds, SNAPSHOT, AS_OF)
+
+
+MAPPED = """
+  SELECT 'clients' AS entity_type, CAST(c_custkey AS VARCHAR) AS entity_id,
+         count(o_orderkey) + count(*) FILTER (o_orderstatus = 'F') AS k
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey
+  UNION ALL
+  SELECT 'quotes', CAST(o_orderkey AS VARCHAR), count(l_orderkey)
+  FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+"""
+
+
+@query(
+    "map_pass_density",
+    f"""
+    SELECT entity_type, count(*) AS total_entities, avg(k) AS avg_relations, max(k) AS max_relations,
+           count(*) FILTER (k > 0) AS entities_with_relations
+    FROM ({MAPPED}) GROUP BY 1
+    """,
+)
+def map_pass_density(spark: SparkSession, folder: str) -> DataFrame:
+    return _map_pass(spark, folder).density
+
+
+@query(
+    "map_pass_hotspots",
+    f"""
+    SELECT entity_type, entity_id, k AS total_relations,
+           CAST(row_number() OVER (PARTITION BY entity_type ORDER BY k DESC, entity_id) AS INTEGER) AS rank
+    FROM ({MAPPED}) QUALIFY rank <= 10
+    """,
+)
+def map_pass_hotspots(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _map_pass(spark, folder).hotspots
+    return rows.select("entity_type", "entity_id", "total_relations", "rank")

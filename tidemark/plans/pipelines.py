@@ -11,6 +11,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.files import content_hash, stored_name
 from tidemark.operators import downloads, inventory, queues, validate
 from tidemark.operators.downloads import DownloadFilters
 from tidemark.operators.mapping import REJECT_REASON, map_entities, split_mapped
@@ -111,25 +112,27 @@ def download_pass(
     """Select work, hash the contents at hand, settle queue and attachment rows.
 
     `contents` has id and content, one row per attachment; fetching them is not part
-    of the pass. Items without metadata or content fail and may be retried.
+    of the pass. Contents are hashed where they are read: only hashes and sizes are
+    joined. Items without metadata or content fail and may be retried.
     """
     work = queues.select_work(queue, resume)
     work = downloads.with_metadata(work, attachments)
     work = downloads.filter_work(work, filters or DownloadFilters())
-    files = contents.select(F.col("id").alias("attachment_id"), "content")
-    loaded = downloads.store_contents(
-        work.where("found").join(files, "attachment_id", "left")
-    ).select(
+    files = contents.select(
+        F.col("id").alias("attachment_id"),
+        content_hash(F.col("content")).alias("hash"),
+        F.octet_length("content").cast("bigint").alias("bytes"),
+    )
+    loaded = work.where("found").join(files, "attachment_id", "left")
+    success = F.col("hash").isNotNull()
+    loaded = loaded.select(
         "attachment_id",
         "map_snapshot_id",
-        F.col("content").isNotNull().alias("success"),
-        F.when(
-            F.col("content").isNull(),
-            F.concat(F.lit("No content: "), F.col("attachment_id")),
-        ).alias("error"),
-        F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint").alias("bytes"),
+        success.alias("success"),
+        F.when(~success, F.concat(F.lit("No content: "), F.col("attachment_id"))).alias("error"),
+        F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
         "hash",
-        F.when(F.col("content").isNotNull(), F.col("stored_name")).alias("stored_name"),
+        stored_name(F.col("hash"), F.col("file_name")).alias("stored_name"),
     )
     results = stage(
         loaded.unionByName(downloads.missing_attachments(work), allowMissingColumns=True),

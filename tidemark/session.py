@@ -48,7 +48,6 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_CONF, root)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
