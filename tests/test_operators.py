@@ -252,3 +252,31 @@ def test_default_snapshot_label_and_missing_types(spark):
     row = inventory.snapshot_row(spark, "id1", "2024-02-01T03:04:05+00:00", ["clients", "jobs"]).first()
     assert (row.label, row.entities_included) == ("map-20240201-030405", '["clients","jobs"]')
     assert inventory.missing_types(["jobs", "users"], ["clients", "jobs"]) == ["users"]
+
+
+def test_a_hot_key_is_split_in_a_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+        queue = spark.range(0, 60000, 1, 8).select(hot.alias("attachment_id"), F.rand(1).alias("x"))
+        known = spark.range(200).select(
+            F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"),
+            F.lit("f.pdf").alias("file_name"),
+            F.lit(1).alias("file_size"),
+            F.lit("").alias("original_url"),
+        )
+        found = downloads.with_metadata(queue, known)
+        assert sum(r.found for r in found.collect()) == 30000 + 100
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
