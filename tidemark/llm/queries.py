@@ -1,8 +1,22 @@
 """Name -> query for the corpus operators, and the SQL twins of those SQL can express."""
 
-from tidemark.llm import secrets
+from tidemark.llm import (
+    decontam,
+    fingerprints,
+    langid,
+    packing,
+    secrets,
+    simhash,
+    urlfilter,
+)
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op2_simhash": simhash.op2_simhash,
+    "op3_langid": langid.op3_langid,
+    "op4_url_filter": urlfilter.op4_url_filter,
+    "op7_packing": packing.op7_packing,
+    "op9_decontamination": decontam.op9_decontamination,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_url_filter": urlfilter.ORACLE}
