@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -38,13 +39,14 @@ def shingles(words: Column) -> Column:
     ).otherwise(F.array().cast("array<struct<h:bigint,w:int>>"))
 
 
-def hashes(words: Column) -> Column:
+def hashes(words: Column, size: int = SHINGLE) -> Column:
+    """Hash of every run of `size` words; of all words where there are fewer."""
     at = lambda i, k: F.get(words, i + k)
     return F.when(
         F.size(words) > 0,
         F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0))),
-            lambda i: F.xxhash64(*(at(i, k) for k in range(SHINGLE))),
+            F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0))),
+            lambda i: F.xxhash64(*(at(i, k) for k in range(size))),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
@@ -124,8 +126,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     and item, where it is as similar as `threshold` on weighted five-word shingles.
 
     Windows have the item's number of words, or all words of a shorter document. They are
-    taken wherever the document has one of the item's probe shingles, aligned as in the
-    item: a window without any is below the threshold. Windows and items meet over blocks
+    taken wherever the document has one of the item's probe shingles, aligned as in the item
+    or shifted by as much as the threshold allows: one without any is below the threshold. Windows and items meet over blocks
     of their SimHashes, which finds all within RADIUS bits, and are then compared exactly.
     Null and empty texts, and items without words, match nothing. Repeated rows share one
     (k1, k2). Extra columns are not read.
@@ -135,7 +137,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
     texts = docs.select("doc_id", *row_key(), words_of(text_or_empty()).alias("words"))
-    seen = texts.select("k1", "k2", F.posexplode(hashes(F.col("words"))).alias("pos", "h"))
+    # Items of fewer than five words are one shingle of that many words.
+    short = [r[0] for r in items.filter(F.col("size") < SHINGLE).select("size").distinct().collect()]
+    runs = [texts.select("k1", "k2", F.posexplode(hashes(F.col("words"), n)).alias("pos", "h")) for n in [SHINGLE, *short]]
+    seen = reduce(DataFrame.union, runs)
     wanted = (
         seen.join(probes, "h")
         .select("k1", "k2", F.struct((F.col("pos") - F.col("at")).alias("start"), "size").alias("win"))
@@ -143,14 +148,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         .agg(F.collect_set("win").alias("wins"))
     )
     wanted = scratch.stage(wanted, "windows")
-    fit = lambda w: F.greatest(F.lit(0), F.least(w["start"], F.size("words") - w["size"]))
-    cut = F.transform(
+    # A window shifted by t of n shingles keeps at most (n - t) / (n + t) of its likeness.
+    slack = lambda w: (w["size"] * (1 - threshold) / (1 + threshold)).cast("int") + 1
+    inside = lambda w, d: F.greatest(F.lit(0), F.least(w["start"] + d, F.size("words") - w["size"]))
+    shifted = F.transform(
         "wins",
-        lambda w: F.struct(fit(w).alias("start"), w["size"].alias("size"), F.slice("words", fit(w) + 1, w["size"]).alias("part")),
+        lambda w: F.transform(
+            F.sequence(-slack(w), slack(w)), lambda d: F.struct(inside(w, d).alias("start"), w["size"].alias("size"))
+        ),
+    )
+    cut = F.transform(
+        F.array_distinct(F.flatten(shifted)),
+        lambda w: F.struct(w["start"], w["size"], F.slice("words", w["start"] + 1, w["size"]).alias("part")),
     )
     windows = (
         texts.join(wanted, ["k1", "k2"])
-        .select("doc_id", "k1", "k2", F.explode(F.array_distinct(cut)).alias("w"))
+        .select("doc_id", "k1", "k2", F.explode(cut).alias("w"))
         .select("doc_id", "k1", "k2", "w.start", "w.size", "w.part")
         .withColumn("print", simhash(F.col("part")))
     )

@@ -5,9 +5,12 @@ from tidemark.llm import (
     fingerprints,
     langid,
     packing,
+    repeats,
     secrets,
     simhash,
+    toxicity,
     urlfilter,
+    warc,
 )
 
 QUERIES = {
@@ -15,7 +18,10 @@ QUERIES = {
     "op2_simhash": simhash.op2_simhash,
     "op3_langid": langid.op3_langid,
     "op4_url_filter": urlfilter.op4_url_filter,
+    "op5_warc": warc.op5_warc,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_packing": packing.op7_packing,
+    "op8_repeats": repeats.op8_repeats,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
