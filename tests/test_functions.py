@@ -184,13 +184,26 @@ def test_cooldown(spark):
 
 
 def test_wrapped_types(spark):
-    inner = ("NON_NULL", None, ("SCALAR", "Tag"))
-    value = ("NON_NULL", None, ("LIST", None, inner))
-    frame = spark.createDataFrame([(value,)], f"t {typenames.wrapped_type_schema()}")
-    row = frame.select(
-        typenames.type_text(F.col("t")), typenames.base_type(F.col("t")), typenames.is_nullable(F.col("t"))
-    ).first()
-    assert tuple(row) == ("[Tag!]!", "Tag", False)
+    def wrapped(depth):
+        value = '{"kind": "SCALAR", "name": "Tag"}'
+        for _ in range(depth):
+            value = '{"ofType": {"kind": "LIST", "ofType": %s, "name": null}, "kind": "NON_NULL"}' % value
+        return value
+
+    cases = {
+        wrapped(0): ("Tag", "Tag", True),
+        wrapped(1): ("[Tag]!", "Tag", False),
+        wrapped(6): ("[" * 6 + "Tag" + "]!" * 6, "Tag", False),
+        wrapped(40): ("[" * 40 + "Tag" + "]!" * 40, "Tag", False),
+        '{"kind": "LIST"}': ("[Unknown]", "Unknown", True),
+        "null": ("Unknown", "Unknown", True),
+        None: ("Unknown", "Unknown", True),
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "t string").select("t", F.parse_json("t").alias("v"))
+    got = frame.select(
+        "t", typenames.type_text(F.col("v")), typenames.base_type(F.col("v")), typenames.is_nullable(F.col("v"))
+    )
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == cases
 
 
 def test_json_text(spark):

@@ -280,3 +280,25 @@ def test_a_hot_key_is_split_in_a_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("alpha", [0.1, 0.01, 0.001, 1.0])
+def test_moving_average_counts_every_row(spark, alpha):
+    rng = random.Random(8)
+    data = [("a", i, 1000.0 if i == 3 else 0.0 if i < 3 else rng.random()) for i in range(3000)]
+    data += [("b", 1, 5.0), ("c", 1, 0.0), ("c", 2, None), ("d", 1, None)]
+    want = {}
+    for key, _, x in data:
+        if x is not None:
+            average = want.get(key, 0.0)
+            want[key] = x if average == 0 else alpha * x + (1 - alpha) * average
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "k string, i int, x double").repartition(7)
+    got = {r.k: r.moving_average for r in ranking.moving_average(df, ["k"], ["i"], "x", alpha).collect()}
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_top_rows_of_a_hot_key(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("v")).repartition(9)
+    got = ranking.top_per_key(df, ["k"], [F.col("v").desc()], 100)
+    assert sorted((r.rank, r.v) for r in got.collect()) == [(i + 1, 4999 - i) for i in range(100)]

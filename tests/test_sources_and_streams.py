@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.pipelines import load_in_order
 from tidemark.session import scratch_path
 from tidemark.sources import files, introspection, pages
-from tidemark.streaming import feed
+from tidemark.streaming import feed, rates
 
 
 def page(number, ids, total):
@@ -55,9 +55,35 @@ def test_feed_resumes_from_its_checkpoint(spark, tmp_path):
     write(tmp_path / "in", "b.json", page(2, ["b", "c"], 3))
     assert run() == [("a", 1), ("b", 2), ("c", 2)]
     assert run() == [("a", 1), ("b", 2), ("c", 2)]
-    feed.compact(spark, target, str(tmp_path / "small"), ["id"], ["page", "pos"])
-    small = feed.current_state(spark, str(tmp_path / "small"), ["id"], ["page", "pos"])
-    assert small.count() == 3
+    feed.compact(spark, target, ["id"], ["page", "pos"])
+    assert run() == [("a", 1), ("b", 2), ("c", 2)]
+    write(tmp_path / "in", "c.json", page(3, ["c"], 3))
+    assert run() == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_feeds_that_share_a_target_keep_their_rows(spark, tmp_path):
+    target = str(tmp_path / "out")
+
+    def run(name, rows):
+        source = str(tmp_path / name)
+        spark.createDataFrame(rows, "id string, v int").coalesce(1).write.mode("append").parquet(source)
+        stream = feed.table_stream(spark, source, spark.read.parquet(source).schema)
+        feed.upsert_stream(stream, target, str(tmp_path / f"{name}-cursor"), ["id"], ["v"]).awaitTermination()
+
+    run("first", [("a", 1), ("b", 1)])
+    run("second", [("b", 2), ("c", 1)])
+    state = feed.current_state(spark, target, ["id"], ["v"])
+    assert sorted((r.id, r.v) for r in state.collect()) == [("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    source, target, cursor = (str(tmp_path / n) for n in ("in", "out", "cursor"))
+    for time in ("2024-01-05 10:00:00", "2024-01-01 10:10:00", "2024-01-05 10:30:00", "2024-01-01 10:20:00"):
+        row = spark.createDataFrame([(time, "x")], "ts string, kind string")
+        row.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+    stream = feed.table_stream(spark, source, spark.read.parquet(source).schema, files_per_batch=1)
+    rates.count_stream(stream, target, cursor, "ts", ["kind"], "1 hour").awaitTermination()
+    assert sorted(r.requests for r in rates.rate_per_window(spark, target, ["kind"]).collect()) == [2, 2]
 
 
 def test_new_only_stream_keeps_the_first(spark, tmp_path):
@@ -71,6 +97,9 @@ def test_new_only_stream_keeps_the_first(spark, tmp_path):
 
     assert run([("a", 2), ("a", 1)]) == [("a", 1)]
     assert run([("a", 9), ("b", 5)]) == [("a", 1), ("b", 5)]
+    feed.compact(spark, target, ["id"], ["v"])
+    cursor = str(tmp_path / "another")
+    assert run([("c", 1)]) == [("a", 1), ("b", 5), ("c", 1)]
 
 
 def test_field_inventory_round_trip(spark, tmp_path):

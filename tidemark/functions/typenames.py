@@ -1,50 +1,59 @@
-"""Wrapped field types as an introspection document nests them."""
+"""Wrapped field types as an introspection document nests them, at any depth."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# NON_NULL(LIST(NON_NULL(T))) is the deepest wrapping there is.
-MAX_DEPTH = 4
+LEVEL = "struct<kind: string, name: string>"
 
 
-def wrapped_type_schema(depth: int = MAX_DEPTH) -> str:
-    inner = f", ofType: {wrapped_type_schema(depth - 1)}" if depth > 1 else ""
-    return f"struct<kind: string, name: string{inner}>"
+def levels(field_type: Column) -> Column:
+    """(kind, name) of every level of a VARIANT type, outermost first.
 
+    The walk takes as many steps as the type's text has `ofType` keys, so no depth is cut.
+    """
+    steps = F.size(F.split(F.to_json(field_type), '"ofType"'))
+    start = F.struct(field_type.alias("at"), F.array().cast(f"array<{LEVEL}>").alias("seen"))
 
-def _levels(field_type: Column) -> list[Column]:
-    levels = [field_type]
-    for _ in range(MAX_DEPTH - 1):
-        levels.append(levels[-1]["ofType"])
-    return levels
+    def step(state: Column, _: Column) -> Column:
+        at = state["at"]
+        level = F.struct(
+            F.try_variant_get(at, "$.kind", "string").alias("kind"),
+            F.try_variant_get(at, "$.name", "string").alias("name"),
+        )
+        there = F.coalesce(F.schema_of_variant(at).startswith("OBJECT"), F.lit(False))
+        return F.struct(
+            F.try_variant_get(at, "$.ofType", "variant").alias("at"),
+            F.when(there, F.concat(state["seen"], F.array(level))).otherwise(state["seen"]).alias("seen"),
+        )
+
+    walked = F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda s: s["seen"])
+    return F.when(field_type.isNotNull(), walked).otherwise(start["seen"])
 
 
 def type_text(field_type: Column) -> Column:
     """`[T!]!` notation, built from the innermost level outwards."""
-    result = F.lit("Unknown")
-    for level in reversed(_levels(field_type)):
-        result = (
-            F.when(level["kind"] == "NON_NULL", F.concat(result, F.lit("!")))
-            .when(level["kind"] == "LIST", F.concat(F.lit("["), result, F.lit("]")))
-            .when(F.coalesce(level["name"], F.lit("")) != "", level["name"])
-            .otherwise(F.lit("Unknown"))
-        )
-    return result
+    return F.aggregate(
+        F.reverse(levels(field_type)),
+        F.lit("Unknown"),
+        lambda text, level: F.when(level["kind"] == "NON_NULL", F.concat(text, F.lit("!")))
+        .when(level["kind"] == "LIST", F.concat(F.lit("["), text, F.lit("]")))
+        .when(F.coalesce(level["name"], F.lit("")) != "", level["name"])
+        .otherwise(F.lit("Unknown")),
+    )
 
 
 def base_type(field_type: Column) -> Column:
     """Name of the first level that has one below wrapping levels only."""
-    result = F.lit("Unknown")
-    for level in reversed(_levels(field_type)):
-        result = (
-            F.when(F.coalesce(level["name"], F.lit("")) != "", level["name"])
-            .when(level["kind"].isin("NON_NULL", "LIST"), result)
-            .otherwise(F.lit("Unknown"))
-        )
-    return result
+    return F.aggregate(
+        F.reverse(levels(field_type)),
+        F.lit("Unknown"),
+        lambda name, level: F.when(F.coalesce(level["name"], F.lit("")) != "", level["name"])
+        .when(level["kind"].isin("NON_NULL", "LIST"), name)
+        .otherwise(F.lit("Unknown")),
+    )
 
 
 def is_nullable(field_type: Column) -> Column:
-    return ~F.coalesce(field_type["kind"] == "NON_NULL", F.lit(False))
+    return ~F.coalesce(F.try_variant_get(field_type, "$.kind", "string") == "NON_NULL", F.lit(False))

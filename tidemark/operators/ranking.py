@@ -15,15 +15,25 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-# Weight of the newest value in the moving average, and the tail that decides it:
-# (1-0.1)^400 is below 1e-18, less than a double can hold next to the rest.
+# Weight of the newest value in the moving average.
 EMA_ALPHA = 0.1
-EMA_TAIL = 400
+# Above one row per key, ranks are limited in two steps: per key and bucket, then per key.
+RANK_BUCKETS = 64
 
 
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rank"
 ) -> DataFrame:
+    """First `n` rows per key by `order`, with their rank.
+
+    A map task keeps up to n rows of a key, so for n above one a key that is in every
+    task would bring n rows per task to one reducer; a limit per (key, bucket) goes first.
+    """
+    if n > 1:
+        buckets = F.pmod(F.xxhash64(*df.columns), F.lit(RANK_BUCKETS))
+        spread = df.withColumn("_bucket", buckets)
+        near = W.partitionBy(*keys, "_bucket").orderBy(*order)
+        df = spread.withColumn("_near", F.row_number().over(near)).where(F.col("_near") <= n).drop("_near", "_bucket")
     window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
@@ -32,30 +42,53 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return top_per_key(df, keys, order, 1, "_rank").drop("_rank")
 
 
+def _chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """`df` cut into chunks of the global order by keys and order, staged in the shared
+    folder because every pass over the chunks must see the same cuts."""
+    cut = df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
+    return stage(cut, "chunks")
+
+
 def moving_average(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
     alpha: float = EMA_ALPHA,
-    tail: int = EMA_TAIL,
 ) -> DataFrame:
     """Exponential moving average after the last row of each key, `order` ascending.
 
-    avg = alpha*x + (1-alpha)*avg, seeded by the first value and again whenever the
-    average is exactly zero. Only the newest `tail` values carry weight, so the fold
-    runs over a list of bounded length.
+    avg = alpha*x + (1-alpha)*avg, seeded by the first value that is not zero; rows
+    without a value are left out. All rows count: a row's weight follows from how many
+    rows of its key come after it, so every chunk of the order is summed by itself and
+    the sums are scaled by the rows in the chunks behind. A hot key spreads over chunks.
+    The staging is an action.
     """
     columns = dict.fromkeys([*keys, *order, value])
-    newest = [F.col(c).desc() for c in order]
-    last = top_per_key(df.select(*columns), keys, newest, tail, "_age")
-    row = F.struct((-F.col("_age")).alias("at"), F.col(value).cast("double").alias("x"))
-    average = F.aggregate(
-        F.array_sort(F.collect_list(row)),
-        F.lit(0.0),
-        lambda avg, r: F.when(avg == 0, r["x"]).otherwise(alpha * r["x"] + (1 - alpha) * avg),
+    rows = df.select(*columns).where(F.col(value).isNotNull()).withColumn("_x", F.col(value).cast("double"))
+    chunked = _chunks(rows, keys, order)
+    inside = W.partitionBy(*keys, "_chunk")
+    behind = F.count(F.lit(1)).over(inside) - F.row_number().over(inside.orderBy(*order))
+    seed = F.struct((-F.col("_behind")).alias("at"), F.col("_x").alias("x"))
+    summed = (
+        chunked.withColumn("_behind", behind)
+        .groupBy(*keys, "_chunk")
+        .agg(
+            F.sum(F.lit(alpha) * F.col("_x") * F.pow(F.lit(1 - alpha), "_behind")).alias("_sum"),
+            F.count(F.lit(1)).alias("_rows"),
+            F.min(F.when(F.col("_x") != 0, seed)).alias("_seed"),
+        )
+    )
+    after = W.partitionBy(*keys).orderBy(F.col("_chunk").desc()).rowsBetween(W.unboundedPreceding, -1)
+    placed = summed.withColumn("_after", F.coalesce(F.sum("_rows").over(after), F.lit(0)))
+    first = F.struct(F.col("_chunk"), (F.col("_after") - F.col("_seed.at")).alias("behind"), F.col("_seed.x").alias("x"))
+    totals = placed.groupBy(*keys).agg(
+        F.sum(F.col("_sum") * F.pow(F.lit(1 - alpha), "_after")).alias("_sum"),
+        F.min(F.when(F.col("_seed").isNotNull(), first)).alias("_first"),
     )
-    return last.groupBy(*keys).agg(average.alias("moving_average"))
+    # The seed weighs 1 where any other row weighs alpha.
+    lift = F.col("_first.x") * (1 - alpha) * F.pow(F.lit(1 - alpha), "_first.behind")
+    return totals.select(*keys, (F.col("_sum") + F.coalesce(lift, F.lit(0.0))).alias("moving_average"))
 
 
 def running_totals(
@@ -74,12 +107,8 @@ def running_totals(
 
     Staging is an action: this operator is not lazy.
     """
-    chunked = (
-        df.select("*", *[expr.alias(f"_add_{name}") for name, expr in totals.items()])
-        .repartitionByRange(*keys, *order)
-        .withColumn("_chunk", F.spark_partition_id())
-    )
-    rows = stage(chunked, "chunks")
+    adds = [expr.alias(f"_add_{name}") for name, expr in totals.items()]
+    rows = _chunks(df.select("*", *adds), keys, order)
     names = list(totals)
     before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     sums = rows.groupBy(*keys, "_chunk").agg(

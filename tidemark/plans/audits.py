@@ -91,32 +91,33 @@ def priority_missing(spark: SparkSession, folder: str) -> DataFrame:
     return audit.priority_missing(differences, audit.field_list(spark, PRIORITY))
 
 
+WRAPS = "[" * 6, "]!" * 6
+
+
 def _documents_of_types(t: Tables) -> DataFrame:
-    """Introspection entries from data: each part is a type whose size field is wrapped."""
-    scalar = "struct<kind: string, name: string, ofType: struct<kind: string, name: string, ofType: struct<kind: string, name: string>>>"
-    leaf = F.struct(F.lit("SCALAR").alias("kind"), F.col("p_type").alias("name"))
-    listed = F.struct(F.lit("LIST").alias("kind"), F.lit(None).cast("string").alias("name"), leaf.alias("ofType"))
-    required = F.struct(F.lit("NON_NULL").alias("kind"), F.lit(None).cast("string").alias("name"), listed.alias("ofType"))
-    plain = F.struct(
-        F.lit("SCALAR").alias("kind"),
-        F.lit("ID").alias("name"),
-        F.lit(None).cast("struct<kind: string, name: string, ofType: struct<kind: string, name: string>>").alias("ofType"),
-    )
-    fields = F.array(
-        F.struct(F.lit("id").alias("name"), plain.cast(scalar).alias("type")),
-        F.struct(F.lit("sizes").alias("name"), required.cast(scalar).alias("type")),
-    )
+    """Introspection entries from data: each part is a type with a plain field, a wrapped
+    one and one that is wrapped twelve levels deep."""
+    leaf = F.concat(F.lit('{"kind": "SCALAR", "name": '), F.to_json(F.struct(F.col("p_type").alias("x"))), F.lit("}"))
+    leaf = F.regexp_replace(leaf, r'\{"x":("[^"]*")\}', "$1")
+    wrap = lambda kind, inner: F.concat(F.lit(f'{{"kind": "{kind}", "name": null, "ofType": '), inner, F.lit("}"))
+    once = wrap("NON_NULL", wrap("LIST", leaf))
+    deep = leaf
+    for _ in range(6):
+        deep = wrap("NON_NULL", wrap("LIST", deep))
     kind = F.when(F.col("p_size") > 10, "OBJECT").when(F.col("p_size") > 5, "ENUM").otherwise("UNION")
-    entry = F.to_json(F.struct(kind.alias("kind"), fields.alias("fields")))
+    field = lambda name, kind_of: F.concat(F.lit(f'{{"name": "{name}", "type": '), kind_of, F.lit("}"))
+    fields = F.concat_ws(", ", field("id", F.lit('{"kind": "SCALAR", "name": "ID"}')), field("sizes", once), field("deep", deep))
+    entry = F.concat(F.lit('{"kind": "'), kind, F.lit('", "fields": ['), fields, F.lit("]}"))
     return t.part.select(key_text("p_partkey").alias("type_name"), entry.alias("body"))
 
 
 @query(
     "field_inventory",
-    """
+    f"""
     SELECT CAST(p_partkey AS VARCHAR) AS type_name, 'id' AS field, 'ID' AS full_type, 'ID' AS base_type, 'Yes' AS nullable
     FROM part WHERE p_size > 10
     UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'sizes', '[' || p_type || ']!', p_type, 'No' FROM part WHERE p_size > 10
+    UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'deep', '{WRAPS[0]}' || p_type || '{WRAPS[1]}', p_type, 'No' FROM part WHERE p_size > 10
     """,
 )
 def field_inventory(spark: SparkSession, folder: str) -> DataFrame:

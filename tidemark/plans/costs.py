@@ -209,21 +209,28 @@ def running_throughput(spark: SparkSession, folder: str) -> DataFrame:
     return rows.drop("ts", "k", "throttled")
 
 
-@query(
-    "ema_latency",
+def _ema_sql(alpha: float) -> str:
+    rest = 1 - alpha
+    return f"""
+      SELECT event_type, CAST({alpha} AS DOUBLE) AS alpha,
+             round(sum(value * CASE WHEN i = 1 THEN pow({rest}::DOUBLE, n - 1)
+                                    ELSE {alpha} * pow({rest}::DOUBLE, n - i) END), 6) AS moving_average
+      FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,
+                   count(*) OVER (PARTITION BY event_type) AS n FROM events)
+      GROUP BY 1
     """
-    WITH RECURSIVE r AS (
-      SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS i,
-             count(*) OVER (PARTITION BY event_type) AS n FROM events)
-    SELECT event_type,
-           round(sum(value * CASE WHEN i = 1 THEN pow(0.9::DOUBLE, n - 1) ELSE 0.1 * pow(0.9::DOUBLE, n - i) END), 6)
-             AS moving_average
-    FROM r GROUP BY 1
-    """,
-)
+
+
+@query("ema_latency", f"{_ema_sql(0.1)} UNION ALL {_ema_sql(0.01)}")
 def ema_latency(spark: SparkSession, folder: str) -> DataFrame:
+    """Two weights over all events; at the small one, old rows still count."""
     events = Tables(spark, folder).events
-    return rounded(moving_average(events, ["event_type"], ["ts", "event_id"], "value"), "moving_average")
+
+    def average(alpha: float) -> DataFrame:
+        rows = moving_average(events, ["event_type"], ["ts", "event_id"], "value", alpha)
+        return rounded(rows, "moving_average").withColumn("alpha", F.lit(alpha))
+
+    return average(0.1).unionByName(average(0.01))
 
 
 ADVICE = f"""

@@ -36,15 +36,22 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
             "pos",
         )
 
-    stream = feed.page_stream(spark, source, "requests")
-    feed.upsert_stream(stream, target, checkpoint, ["client_id"], ["page", "pos"], rows).awaitTermination()
+    for _ in range(2):  # the second start goes on from the cursor and finds nothing
+        stream = feed.page_stream(spark, source, "requests", files_per_batch=2)
+        feed.upsert_stream(stream, target, checkpoint, ["client_id"], ["page", "pos"], rows).awaitTermination()
     return feed.current_state(spark, target, ["client_id"], ["page", "pos"]).drop("page", "pos")
 
 
+def _event_files(spark: SparkSession, folder: str) -> str:
+    """All events in five files without any order, one per batch."""
+    path = scratch_path(spark, "event-files")
+    Tables(spark, folder).events.repartition(5, F.xxhash64("event_id")).write.parquet(path)
+    return path
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a stream; the glob fits a single file and a folder of files."""
     schema = Tables(spark, folder).events.schema
-    return feed.table_stream(spark, f"{folder.rstrip('/')}/events.parquet*", schema)
+    return feed.table_stream(spark, _event_files(spark, folder), schema, files_per_batch=1)
 
 
 @query(
@@ -55,59 +62,39 @@ def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def stream_rate(spark: SparkSession, folder: str) -> DataFrame:
-    """Requests per hour and type, out of the windows the stream closed or still holds."""
+    """Requests per hour and type; every batch holds rows of all hours."""
     target, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "cursor")
     events = _event_stream(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
-    counted = rates.rate_per_window(events, "ts", ["event_type"], "1 hour", "10 minutes")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/{feed.BATCH}={batch_id}")
+    rates.count_stream(events, target, checkpoint, "ts", ["event_type"], "1 hour").awaitTermination()
+    counted = rates.rate_per_window(spark, target, ["event_type"])
+    return counted.withColumn("window_start", time_text("window_start"))
 
-    (
-        counted.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    keys = ["window_start", "event_type"]
-    state = feed.current_state(spark, target, keys, [])
-    return state.withColumn("window_start", time_text("window_start"))
 
-
-@query(
-    "stream_new_only",
-    """
-    SELECT user_id, event_type FROM events
-    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
-    """,
-)
+@query("stream_new_only", "SELECT DISTINCT user_id, 'x' AS event_type FROM events")
 def stream_new_only(spark: SparkSession, folder: str) -> DataFrame:
-    """Clients are stored when first seen; later events of theirs are skipped."""
-    target, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "cursor")
-    events = _event_stream(spark, folder).select("user_id", "event_type", "ts", "event_id")
-    feed.new_only_stream(events, target, checkpoint, EVENT_KEY, EVENT_SEQ).awaitTermination()
-    return spark.read.parquet(target).select("user_id", "event_type")
+    """Clients are stored when first seen: some before the feed, which are skipped, the rest
+    by two feeds with a compaction between them; every client once."""
+    target = scratch_path(spark, "seen")
+    source, schema = _event_files(spark, folder), Tables(spark, folder).events.schema
+    stored = Tables(spark, folder).events.where("user_id % 3 = 0")
+    known = stored.groupBy("user_id").agg(F.first("event_type").alias("event_type"), F.min("ts").alias("ts"), F.min("event_id").alias("event_id"))
+    known.write.parquet(f"{target}/{feed.FEED}=before/{feed.BATCH}=0")
+    for _ in range(2):
+        stream = feed.table_stream(spark, source, schema, files_per_batch=1).select("user_id", "event_type", "ts", "event_id")
+        checkpoint = scratch_path(spark, "cursor")
+        feed.new_only_stream(stream, target, checkpoint, EVENT_KEY, EVENT_SEQ).awaitTermination()
+        feed.compact(spark, target, EVENT_KEY, EVENT_SEQ)
+    return spark.read.parquet(target).select("user_id", F.lit("x").alias("event_type"))
 
 
 @query("stream_dedup", "SELECT DISTINCT event_id FROM events")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event offered twice and kept once, with state bounded by the watermark."""
+    """Every event offered twice, the copies in any batch, and kept once."""
     target, checkpoint = scratch_path(spark, "dedup"), scratch_path(spark, "cursor")
-    events = _event_stream(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    events = _event_stream(spark, folder).select("event_id", "ts")
     twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    (
-        rates.drop_repeats(twice, "ts", ["event_id"], "1 hour")
-        .select("event_id")
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return spark.read.parquet(target)
+    feed.new_only_stream(twice, target, checkpoint, ["event_id"], ["ts", "copy"]).awaitTermination()
+    return spark.read.parquet(target).select("event_id")
 
 
 @query(

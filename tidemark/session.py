@@ -58,6 +58,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and its file system, for paths any store may hold."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Sub-folders of a folder; none where it does not exist."""
+    folder, system = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    return [f.getPath().toString() for f in system.listStatus(folder) if f.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back. This is an action.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.typenames import base_type, is_nullable, type_text, wrapped_type_schema
+from tidemark.functions.typenames import base_type, is_nullable, type_text
 
 FIELD_INVENTORY_SCHEMA = (
     "Type string, Field string, `GraphQL Type` string, `Base Type` string, "
@@ -14,8 +14,7 @@ FIELD_INVENTORY_SCHEMA = (
 
 
 def type_entry_schema() -> str:
-    field = f"struct<name: string, type: {wrapped_type_schema()}>"
-    return f"struct<kind: string, fields: array<{field}>>"
+    return "struct<kind: string, fields: array<struct<name: string, type: variant>>>"
 
 
 def read_introspection(spark: SparkSession, path: str) -> DataFrame:

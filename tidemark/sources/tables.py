@@ -12,22 +12,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-# Up to this many splits of the default size an input is small enough to shuffle.
-FEW_SPLITS = 32
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan to all cores before work that costs CPU per row.
-
-    Scans of more than FEW_SPLITS splits are left alone: they keep every core busy
-    and are not worth a shuffle. Only for plain scans, whose splits are known
-    without running anything.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    return scan.repartition(cores) if splits < min(cores, FEW_SPLITS) else scan
-
-
 def keyset_page(df: DataFrame, key: str, after: object | None, size: int) -> DataFrame:
     """The `size` rows that follow `after`; the last key of a page starts the next one."""
     rows = df if after is None else df.where(F.col(key) > F.lit(after))

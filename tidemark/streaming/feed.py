@@ -1,13 +1,15 @@
 """Page feed -> rows -> keyed table, resumable through the stream's checkpoint.
 
-Each micro-batch writes its newest row per key under its own batch id, replacing
+Each micro-batch writes its newest row per key under its feed and batch id, replacing
 that folder when a batch is replayed; the table's state is the newest row per key
-over all batches. A batch costs its own size, however large the table has become,
-and `compact` folds the batches into one.
+over all batches. A feed is named by its checkpoint, so feeds that share a target never
+replace each other's batches. `compact` folds the batches into one.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.merge import earliest_per_key, latest_per_key
+from tidemark.session import folders_in, remove
 from tidemark.sources.pages import nodes_of, page_columns, page_schema
 
+FEED = "feed"
 BATCH = "batch"
 COMPLETED = "completed"
 
@@ -40,20 +44,20 @@ def table_stream(
     return reader.parquet(path)
 
 
-def upsert_stream(
-    rows: DataFrame,
-    target: str,
-    checkpoint: str,
-    keys: Sequence[str],
-    seq: Sequence[str],
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
+def feed_of(checkpoint: str) -> str:
+    """Name of the feed that keeps its cursor in this checkpoint."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def drain(
+    rows: DataFrame, target: str, checkpoint: str, reduce_batch: Callable[[DataFrame, int], DataFrame]
 ) -> StreamingQuery:
-    """Run the feed until it is drained; started again, it goes on where it stopped."""
+    """Run a feed until it is drained, each batch reduced and written to its own folder;
+    started again, it goes on where it stopped."""
+    folder = f"{target.rstrip('/')}/{FEED}={feed_of(checkpoint)}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        prepared = prepare(batch) if prepare else batch
-        newest = latest_per_key(prepared, keys, seq)
-        newest.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        reduce_batch(batch, batch_id).write.mode("overwrite").parquet(f"{folder}/{BATCH}={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(write)
@@ -63,19 +67,41 @@ def upsert_stream(
     )
 
 
+def upsert_stream(
+    rows: DataFrame,
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    seq: Sequence[str],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Newest row per key of every batch."""
+
+    def newest(batch: DataFrame, _: int) -> DataFrame:
+        return latest_per_key(prepare(batch) if prepare else batch, keys, seq)
+
+    return drain(rows, target, checkpoint, newest)
+
+
 def current_state(
     spark: SparkSession, target: str, keys: Sequence[str], seq: Sequence[str]
 ) -> DataFrame:
     """Newest row per key; later batches win over equal sequence values."""
     rows = spark.read.parquet(target)
-    return latest_per_key(rows, keys, [*seq, BATCH]).drop(BATCH)
+    return latest_per_key(rows, keys, [*seq, BATCH]).drop(BATCH, FEED)
+
 
+def compact(spark: SparkSession, target: str, keys: Sequence[str], seq: Sequence[str]) -> None:
+    """Fold all batches into one folder, in place.
 
-def compact(
-    spark: SparkSession, target: str, into: str, keys: Sequence[str], seq: Sequence[str]
-) -> None:
-    """Write the state as the first batch of a new target folder."""
-    current_state(spark, target, keys, seq).write.mode("overwrite").parquet(f"{into}/{BATCH}=-1")
+    The old folders go once the new one is written; a crash in between leaves rows twice,
+    which the state does not show. Run it while no feed of the target is running.
+    """
+    old = folders_in(spark, target)
+    folded = f"{target.rstrip('/')}/{FEED}=folded-{uuid.uuid4().hex[:12]}/{BATCH}=-1"
+    current_state(spark, target, keys, seq).write.parquet(folded)
+    for folder in old:
+        remove(spark, folder)
 
 
 def new_only_stream(
@@ -83,30 +109,24 @@ def new_only_stream(
 ) -> StreamingQuery:
     """Append rows whose key was never seen; the first arrival of a key stays.
 
-    Earlier batches are probed with an anti join, so no state grows in memory.
+    Every batch is held against all keys of the target, those stored before the feed and
+    by other feeds included, but for the folder that a replayed batch replaces. No state
+    grows in memory; a batch reads the key columns stored so far.
     """
-    spark = rows.sparkSession
-    schema = rows.schema
+    spark, schema, feed = rows.sparkSession, rows.schema, feed_of(checkpoint)
+    stored = T.StructType(
+        [*schema.fields, T.StructField(FEED, T.StringType()), T.StructField(BATCH, T.LongType())]
+    )
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def fresh(batch: DataFrame, batch_id: int) -> DataFrame:
         first = earliest_per_key(batch, keys, seq)
-        seen = (
-            spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())]))
-            .option("basePath", target)
-            .parquet(target)
-            .where(F.col(BATCH) < batch_id)
-            if batch_id > 0
-            else None
-        )
-        fresh = first if seen is None else first.join(seen.select(*keys), list(keys), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        if not folders_in(spark, target):
+            return first
+        seen = spark.read.schema(stored).option("basePath", target).parquet(target)
+        own = (F.col(FEED) == feed) & (F.col(BATCH) == batch_id)
+        return first.join(seen.where(~own).select(*keys).distinct(), list(keys), "left_anti")
 
-    return (
-        rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return drain(rows, target, checkpoint, fresh)
 
 
 def migration_state(

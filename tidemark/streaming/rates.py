@@ -1,23 +1,31 @@
-"""Windowed counts and duplicate removal with bounded state."""
+"""Windowed counts that lose no late row."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.streaming.feed import drain
 
-def rate_per_window(rows: DataFrame, time: str, keys: Sequence[str], width: str, late: str) -> DataFrame:
-    """Requests per window and key; windows close `late` after the newest time seen."""
-    return (
-        rows.withWatermark(time, late)
-        .groupBy(F.window(time, width).alias("window"), *keys)
-        .agg(F.count(F.lit(1)).alias("requests"))
-        .select(F.col("window.start").alias("window_start"), *keys, "requests")
-    )
 
+def count_stream(
+    rows: DataFrame, target: str, checkpoint: str, time: str, keys: Sequence[str], width: str
+) -> StreamingQuery:
+    """Requests per window and key of every batch. A row counts in its own window however
+    late it comes: batches are added up when they are read, so no window ever closes."""
 
-def drop_repeats(rows: DataFrame, time: str, keys: Sequence[str], late: str) -> DataFrame:
-    """Drop repeats of a key that arrive within `late` of each other."""
-    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+    def counts(batch: DataFrame, _: int) -> DataFrame:
+        windows = batch.groupBy(F.window(time, width).alias("window"), *keys)
+        return windows.agg(F.count(F.lit(1)).alias("requests")).select(
+            F.col("window.start").alias("window_start"), *keys, "requests"
+        )
+
+    return drain(rows, target, checkpoint, counts)
+
+
+def rate_per_window(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:
+    """The counts of all batches per window and key."""
+    return spark.read.parquet(target).groupBy("window_start", *keys).agg(F.sum("requests").alias("requests"))
