@@ -210,3 +210,22 @@ def test_json_text(spark):
     assert one(spark, lambda v: jsontext.total_of_counts(jsontext.count_map(v)), '{"a": 2, "b": 3}') == 5
     assert one(spark, lambda v: jsontext.total_of_counts(jsontext.count_map(v)), "{}") == 0
     assert one(spark, lambda v: jsontext.count_at(v, "n"), '{"n": 12}') == 12
+
+
+@pytest.mark.parametrize(
+    ("text", "cents"),
+    [("12d", 0), ("7f", 0), ("1_000", 100000), ("1,234.5", 123450), (" 3 ", 300), ("1__0", 0), ("_1", 0), ("1e2", 10000), ("nan", 0), ("", 0)],
+)
+def test_cents_of_texts(spark, text, cents):
+    assert one(spark, money.cents_truncated_text, text) == cents
+
+
+def test_labels_of_missing_parts(spark):
+    frame = spark.createDataFrame([(None, "Doe")], "first string, last string")
+    nothing = F.lit(None).cast("string")
+    row = frame.select(
+        records.display_id(F.lit("client"), nothing, F.col("first"), F.col("last")),
+        records.display_id(F.lit("invoice"), nothing, nothing, nothing),
+        records.display_id(F.lit("visit"), F.lit("7"), nothing, nothing),
+    ).first()
+    assert tuple(row) == ("Client: None Doe", "Invoice #None", "Visit #7")

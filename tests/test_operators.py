@@ -302,3 +302,61 @@ def test_top_rows_of_a_hot_key(spark):
     df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("v")).repartition(9)
     got = ranking.top_per_key(df, ["k"], [F.col("v").desc()], 100)
     assert sorted((r.rank, r.v) for r in got.collect()) == [(i + 1, 4999 - i) for i in range(100)]
+
+
+def test_a_pass_keeps_to_its_snapshot(spark):
+    key = "entity_type string, entity_id string, map_snapshot_id string"
+    found = spark.createDataFrame([("jobs", str(i), s) for i in range(4) for s in ("s1", "s2")], key)
+    queue = queues.queue_from_inventory(
+        spark.createDataFrame([], queues.EXTRACT_SCHEMA), inventory.of_snapshot(found, "s1"), "t"
+    ).withColumn("status", F.lit("done"))
+    assert validate.completeness(found, queue, snapshot_id="s1").count() == 0
+    missing = validate.completeness(found, queue, snapshot_id="s2").collect()
+    assert [(r.type, r.difference) for r in missing] == [("entity_count_mismatch", 4)]
+    assert validate.completeness(found, queue).count() == 1
+    both = queues.queue_from_inventory(queue, found, "t")
+    assert queues.select_work(both, types=["jobs"], snapshot_id="s2").count() == 4
+    assert queues.select_work(both, types=["visits"]).count() == 0
+    assert rows(queues.status_matrix(both, snapshot_id="s2")) == [("jobs", 4, 0, 0, 0, 4)]
+    snapshots = spark.createDataFrame([("s1", '["jobs", "users"]')], "id string, entities_included string")
+    assert inventory.snapshot_kinds(snapshots, "s1") == ["jobs", "users"]
+    with pytest.raises(ValueError):
+        inventory.snapshot_kinds(snapshots, "s1", ["jobs", "visits"])
+    with pytest.raises(ValueError):
+        inventory.snapshot_kinds(snapshots, "s9")
+
+
+def test_writing_an_inventory_again_replaces_it(spark, tmp_path):
+    schema = "entity_type string, entity_id string, discovered_at string, map_snapshot_id string"
+    path = str(tmp_path / "inventory")
+    frame = lambda *r: spark.createDataFrame(r, schema)
+    inventory.write_inventory(frame(("jobs", "1", "t1", "s"), ("jobs", "2", "t1", "s"), ("users", "1", "t1", "s")), path)
+    inventory.write_inventory(frame(("jobs", "2", "t2", "s"), ("jobs", "3", "t2", "s"), ("jobs", "1", "t2", "r")), path)
+    got = spark.read.parquet(path).select("map_snapshot_id", "entity_type", F.col("entity_id").cast("string"), "discovered_at")
+    assert rows(got) == [
+        ("r", "jobs", "1", "t2"),
+        ("s", "jobs", "1", "t1"),
+        ("s", "jobs", "2", "t2"),
+        ("s", "jobs", "3", "t2"),
+        ("s", "users", "1", "t1"),
+    ]
+
+
+def test_density_of_an_empty_kind(spark):
+    frame = spark.createDataFrame([("jobs", "1", '{"notes": 2}', "s")], "entity_type string, entity_id string, estimated_relations_json string, map_snapshot_id string")
+    assert rows(inventory.density(frame, "s", ["jobs", "users"])) == [("jobs", 1, 2.0, 2, 1), ("users", 0, 0.0, 0, 0)]
+
+
+def test_coverage_is_of_queried_kinds(spark):
+    available = audit.field_list(spark, {"jobs": ["id", "title"], "users": ["id"]})
+    queried = audit.field_list(spark, {"jobs": ["id", "title"]})
+    report = audit.coverage(available, queried)
+    assert rows(report) == [("jobs", 2, 2, 0, 0, 100.0)]
+    assert audit.coverage_totals(report).first().avg_coverage == 100.0
+
+
+def test_issues_count_skipped_notes(spark):
+    files = spark.createDataFrame([("p1", True), ("p1", False), ("p2", True)], "parent string, orphaned boolean")
+    skipped = spark.createDataFrame([("p1",), ("p3",), ("p3",)], "parent string")
+    issues = notes.orphan_issues(files, "client", "parent", skipped)
+    assert rows(notes.issue_summary(issues)) == [(3, 2, 3)]

@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import Node
 
 
+# Digits with single underscores between them, a point, an exponent; no type suffix.
+NUMBER = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
+
+
 def cents_truncated(amount: Column) -> Column:
     """amount*100 cut toward zero; invalid, missing and out of range give 0."""
     return F.coalesce((amount.try_cast("double") * 100).try_cast("bigint"), F.lit(0))
 
 
 def cents_truncated_text(amount: Column) -> Column:
-    """The same for text, which may hold thousands commas."""
-    return cents_truncated(F.replace(amount, F.lit(","), F.lit("")))
+    """The same for text, which may hold thousands commas and underscores."""
+    plain = F.replace(amount, F.lit(","), F.lit(""))
+    return cents_truncated(F.when(plain.rlike(NUMBER), F.replace(plain, F.lit("_"), F.lit(""))))
 
 
 def cents_rounded(amount: Column) -> Column:

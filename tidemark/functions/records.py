@@ -41,15 +41,16 @@ def parent_of_note(note_id: Column, fallback_type: Column) -> tuple[Column, Colu
 
 
 def display_id(entity_type: Column, number: Column, first: Column, last: Column) -> Column:
-    """Human label of a record."""
-    full_name = F.trim(F.concat(F.coalesce(first, F.lit("")), F.lit(" "), F.coalesce(last, F.lit(""))))
+    """Human label of a record; a missing name or number reads `None`."""
+    said = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    full_name = F.trim(F.concat(said(first), F.lit(" "), said(last)))
     named = F.when(full_name == "", F.lit("Client: (unnamed)")).otherwise(
         F.concat(F.lit("Client: "), full_name)
     )
-    numbered = {"invoice": "Invoice #", "job": "Job #", "quote": "Quote #"}
+    numbered = {name: f"{name.title()} #" for name in ("invoice", "job", "quote", "request", "visit")}
     label = F.when(entity_type.isin("client", "user"), named)
     for name, prefix in numbered.items():
-        label = label.when(entity_type == name, F.concat(F.lit(prefix), number))
+        label = label.when(entity_type == name, F.concat(F.lit(prefix), said(number)))
     words = F.transform(F.split(entity_type, "_"), lambda w: F.initcap(w))
     return label.otherwise(F.array_join(words, "_"))
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fields that matter most per kind.
 PRIORITY_FIELDS = {
@@ -20,18 +19,6 @@ PRIORITY_FIELDS = {
 }
 
 
-def schema_fields(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
-    """(entity, field, field_type, nullable) rows of table schemas; metadata, not data."""
-    rows = [
-        (entity, f.name, f.dataType.simpleString(), f.nullable)
-        for entity, schema in schemas.items()
-        for f in schema.fields
-    ]
-    return spark.createDataFrame(
-        rows, "entity string, field string, field_type string, nullable boolean"
-    )
-
-
 def field_list(spark: SparkSession, fields: Mapping[str, Sequence[str]]) -> DataFrame:
     rows = [(entity, field) for entity, names in fields.items() for field in names]
     return spark.createDataFrame(rows, "entity string, field string")
@@ -48,10 +35,14 @@ def field_differences(available: DataFrame, queried: DataFrame) -> DataFrame:
 
 
 def coverage(available: DataFrame, queried: DataFrame) -> DataFrame:
-    """Coverage per queried entity; extras count as queried, so it may exceed 100."""
+    """Coverage per queried entity; extras count as queried, so it may exceed 100.
+
+    Entities nobody queries are no part of it.
+    """
     side = F.col("side")
+    asked = available.join(queried.select("entity").distinct(), "entity", "left_semi")
     counted = (
-        field_differences(available, queried)
+        field_differences(asked, queried)
         .groupBy("entity")
         .agg(
             F.count_if(side != "extra").alias("total_available"),

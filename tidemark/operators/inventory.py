@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,10 +11,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.jsontext import count_map, total_of_counts
 from tidemark.functions.values import Node
+from tidemark.operators.merge import upsert
 from tidemark.operators.ranking import top_per_key
 from tidemark.operators.specs import EntitySpec
+from tidemark.session import folders_in
 
 KEY = ["entity_type", "entity_id"]
+SNAPSHOT_ID = "map_snapshot_id"
+PARTS = [SNAPSHOT_ID, "entity_type"]
 RELATIONS = "estimated_relations_json"
 
 
@@ -51,9 +56,25 @@ def combine(inventories: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, inventories)
 
 
+def of_snapshot(rows: DataFrame, snapshot_id: str | None) -> DataFrame:
+    """The rows of one snapshot; all rows for None."""
+    return rows if snapshot_id is None else rows.where(F.col(SNAPSHOT_ID) == snapshot_id)
+
+
 def write_inventory(inventory: DataFrame, path: str) -> None:
-    """Partitioned so that one snapshot or one kind is read and pruned by itself."""
-    inventory.write.mode("append").partitionBy("map_snapshot_id", "entity_type").parquet(path)
+    """Insert or replace by (kind, id, snapshot).
+
+    Partitioned so that one snapshot or one kind is read and pruned by itself; only the
+    partitions that the new rows touch are written again, so repeating a map pass changes
+    nothing but the times.
+    """
+    rows = inventory
+    if folders_in(inventory.sparkSession, path):
+        stored = inventory.sparkSession.read.schema(inventory.schema).parquet(path)
+        touched = stored.join(inventory.select(*PARTS).distinct(), PARTS, "left_semi")
+        rows = upsert(touched.select(*inventory.columns), inventory, [*KEY, SNAPSHOT_ID], ["discovered_at"])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PARTS).parquet(path)
 
 
 def snapshot_row(
@@ -75,6 +96,21 @@ def missing_types(requested: Sequence[str], included: Sequence[str]) -> list[str
     return sorted(set(requested) - set(included))
 
 
+def snapshot_kinds(snapshots: DataFrame, snapshot_id: str, requested: Sequence[str] | None = None) -> list[str]:
+    """Kinds to work on: those requested, else all of the snapshot (one row is read).
+
+    An unknown snapshot and kinds the snapshot does not hold are refused.
+    """
+    row = snapshots.where(F.col("id") == snapshot_id).select("entities_included").first()
+    if row is None:
+        raise ValueError(f"no snapshot {snapshot_id}")
+    included = json.loads(row[0])
+    unknown = missing_types(requested or [], included)
+    if unknown:
+        raise ValueError(f"snapshot {snapshot_id} has no {', '.join(unknown)}; it has {', '.join(included)}")
+    return list(included if requested is None else requested)
+
+
 def with_total(inventory: DataFrame) -> DataFrame:
     return inventory.withColumn("total_relations", total_of_counts(count_map(F.col(RELATIONS))))
 
@@ -90,20 +126,22 @@ def relation_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
-def hotspots(inventory: DataFrame, n: int = 10) -> DataFrame:
+def hotspots(inventory: DataFrame, n: int = 10, snapshot_id: str | None = None) -> DataFrame:
     """Records with the most relations per kind; ties go to the smaller id."""
     return top_per_key(
-        with_total(inventory),
+        with_total(of_snapshot(inventory, snapshot_id)),
         ["entity_type"],
         [F.col("total_relations").desc(), F.col("entity_id").asc()],
         n,
     )
 
 
-def density(inventory: DataFrame) -> DataFrame:
-    """Relations per record by kind."""
-    return (
-        with_total(inventory)
+def density(
+    inventory: DataFrame, snapshot_id: str | None = None, types: Sequence[str] | None = None
+) -> DataFrame:
+    """Relations per record by kind; with `types`, kinds without records get a row of zeros."""
+    counted = (
+        with_total(of_snapshot(inventory, snapshot_id))
         .groupBy("entity_type")
         .agg(
             F.count(F.lit(1)).alias("total_entities"),
@@ -112,6 +150,10 @@ def density(inventory: DataFrame) -> DataFrame:
             F.count_if(F.col("total_relations") > 0).alias("entities_with_relations"),
         )
     )
+    if types is None:
+        return counted
+    kinds = inventory.sparkSession.createDataFrame([(t,) for t in types], "entity_type string")
+    return kinds.join(counted, "entity_type", "left").na.fill(0)
 
 
 def new_since(older: DataFrame, newer: DataFrame) -> DataFrame:

@@ -96,10 +96,13 @@ def map_notes(
     given: tuple[str, str] | None = None,
     lenient: bool = False,
     keep: Sequence[str] = (),
+    orphan_flag: str | None = None,
 ) -> DataFrame:
     """Notes; lenient mapping fills placeholders instead of refusing a node.
 
-    `given` names two columns with the parent's type and id, if it is known.
+    `given` names two columns with the parent's type and id, if it is known; a note that
+    strict mapping would refuse is kept under what its own node says. `orphan_flag` names
+    a column that marks those.
     """
     reader = Node(node)
     nothing = F.lit(None).cast("string")
@@ -111,8 +114,12 @@ def map_notes(
     no_parent_id = F.coalesce(entity_id, F.lit("")) == ""
     if lenient:
         note_id = F.when(has_id, note_id).otherwise(F.lit(ORPHAN_NOTE_ID))
-        entity_id = F.when(no_parent_id, F.lit(UNKNOWN_PARENT)).otherwise(entity_id)
-        entity_type = F.coalesce(entity_type, F.lit(ORPHAN))
+        refused = entity_type.isNull() | no_parent_id
+        own_type, own_id = note_parent(reader, nothing, nothing) if given else (entity_type, entity_id)
+        no_own_id = F.coalesce(own_id, F.lit("")) == ""
+        entity_type = F.when(refused, F.coalesce(own_type, F.lit(ORPHAN))).otherwise(entity_type)
+        kept_id = F.when(no_own_id, F.lit(UNKNOWN_PARENT)).otherwise(own_id)
+        entity_id = F.when(refused, kept_id).otherwise(entity_id)
     else:
         problems = {
             "missing id": ~has_id,
@@ -127,6 +134,8 @@ def map_notes(
         "created_at": iso_passthrough(reader.string("createdAt")),
         "updated_at": iso_passthrough(reader.string("updatedAt")),
     }
+    if lenient and orphan_flag:
+        columns[orphan_flag] = refused
     return map_with(nodes, reader, columns, problems, keep, given or ())
 
 

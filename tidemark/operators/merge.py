@@ -49,7 +49,7 @@ def insert_or_ignore(
 ) -> DataFrame:
     """Rows of `new` with keys the table lacks, first one per key; the rest stays as it is."""
     fresh = earliest_per_key(new, keys, seq).join(
-        existing.select(*keys), list(keys), "left_anti"
+        existing.select(*keys).distinct(), list(keys), "left_anti"
     )
     return existing.unionByName(fresh.select(*existing.columns))
 
@@ -89,12 +89,19 @@ def delete_keys(base: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> Data
 
 def existing_keys(base: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The wanted rows whose key is in the table."""
-    return wanted.join(base.select(*keys), list(keys), "left_semi")
+    return wanted.join(base.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def new_rows(base: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The candidates whose key is not in the table."""
-    return candidates.join(base.select(*keys), list(keys), "left_anti")
+    return candidates.join(base.select(*keys).distinct(), list(keys), "left_anti")
+
+
+def with_known(base: DataFrame, candidates: DataFrame, keys: Sequence[str], known: str) -> DataFrame:
+    """The candidates with a flag whether the table has their key, in one join."""
+    there = base.select(*keys).distinct().withColumn("_there", F.lit(True))
+    flag = F.coalesce(F.col("_there"), F.lit(False))
+    return candidates.join(there, list(keys), "left").withColumn(known, flag).drop("_there")
 
 
 @dataclass(frozen=True)

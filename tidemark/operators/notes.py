@@ -18,20 +18,23 @@ from tidemark.operators.mapping import (
     split_mapped,
 )
 from tidemark.operators.merge import valid_rows
+from tidemark.sources.pages import child_nodes
 
 REFERENCE = ["note_id", "entity_type", "entity_id"]
 
 
 def collect_references(
-    parents: DataFrame, entity_type: str, parent_id: str = "id", node: str = "node"
+    parents: DataFrame,
+    entity_type: str,
+    parent_id: str = "id",
+    node: str = "node",
+    continuation: DataFrame | None = None,
 ) -> DataFrame:
-    """One reference per note edge that has an id."""
-    edges = F.try_variant_get(F.col(node), "$.notes.edges", "array<variant>")
-    note_id = F.try_variant_get(F.col("edge"), "$.node.id", "string")
-    return (
-        parents.select(F.col(parent_id).alias("entity_id"), F.explode(edges).alias("edge"))
-        .where(truthy(variant_at(F.col("edge"), "node.id")))
-        .select(note_id.alias("note_id"), F.lit(entity_type).alias("entity_type"), "entity_id")
+    """One reference per note edge that has an id, of first and of continuation pages."""
+    children = child_nodes(parents, "notes", parent_id, continuation, node)
+    note_id = F.try_variant_get(F.col("child"), "$.id", "string")
+    return children.where(truthy(variant_at(F.col("child"), "id"))).select(
+        note_id.alias("note_id"), F.lit(entity_type).alias("entity_type"), F.col(parent_id).alias("entity_id")
     )
 
 
@@ -75,15 +78,10 @@ def inline_notes(children: DataFrame, entity_type: str, parent_id: str, child: s
     with_id = children.where(truthy(variant_at(F.col(child), "id"))).withColumn(
         "_parent_type", F.lit(entity_type)
     )
-    strict = split_mapped(
-        map_notes(with_id, child, given=("_parent_type", parent_id), keep=[child])
-    )
-    lenient = map_notes(strict.rejects.select(child), child, lenient=True)
-    return (
-        strict.accepted.drop(child)
-        .withColumn("orphaned", F.lit(False))
-        .unionByName(lenient.drop(REJECT_REASON).withColumn("orphaned", F.lit(True)))
+    mapped = map_notes(
+        with_id, child, given=("_parent_type", parent_id), lenient=True, orphan_flag="orphaned"
     )
+    return mapped.drop(REJECT_REASON)
 
 
 def inline_attachments(children: DataFrame, parent_id: str, child: str = "child") -> Mapped:
@@ -106,29 +104,42 @@ def inline_attachments(children: DataFrame, parent_id: str, child: str = "child"
     )
 
 
-def orphan_issues(attachments: DataFrame, entity_type: str, parent_id: str) -> DataFrame:
-    """One issue row per parent that has orphaned attachments."""
+def orphan_issues(
+    attachments: DataFrame, entity_type: str, parent_id: str, skipped_notes: DataFrame | None = None
+) -> DataFrame:
+    """One issue row per parent that has orphaned attachments or skipped notes.
+
+    `skipped_notes` has the parent's id, one row per note that was not stored.
+    """
     folder = F.regexp_replace(F.col(parent_id), r"^.*/", "")
-    return (
-        attachments.where("orphaned")
-        .groupBy(parent_id)
-        .agg(F.count(F.lit(1)).alias("attachments_saved_orphaned"))
-        .select(
-            F.lit(entity_type).alias("entity_type"),
-            F.col(parent_id).alias("entity_id"),
-            "attachments_saved_orphaned",
-            F.lit("orphaned_data_preserved").alias("issue_type"),
-            F.concat(F.lit(f"{ATTACHMENT_ROOT}/{ORPHAN}/"), folder, F.lit("/")).alias(
-                "review_path"
-            ),
+    found = attachments.where("orphaned").select(parent_id, F.lit(1).alias("_kept"), F.lit(0).alias("_skipped"))
+    if skipped_notes is not None:
+        found = found.unionByName(
+            skipped_notes.select(parent_id, F.lit(0).alias("_kept"), F.lit(1).alias("_skipped"))
         )
+    kept = F.sum("_kept").alias("attachments_saved_orphaned")
+    skipped = [] if skipped_notes is None else [F.sum("_skipped").alias("notes_skipped")]
+    counts = found.groupBy(parent_id).agg(kept, *skipped)
+    return counts.select(
+        F.lit(entity_type).alias("entity_type"),
+        F.col(parent_id).alias("entity_id"),
+        "attachments_saved_orphaned",
+        *(["notes_skipped"] if skipped else []),
+        F.lit("orphaned_data_preserved").alias("issue_type"),
+        F.concat(F.lit(f"{ATTACHMENT_ROOT}/{ORPHAN}/"), folder, F.lit("/")).alias("review_path"),
     )
 
 
+def skipped_notes(children: DataFrame, parent_id: str, child: str = "child") -> DataFrame:
+    """Edges without an id, which `inline_notes` leaves out: one row with the parent each."""
+    return children.where(~truthy(variant_at(F.col(child), "id"))).select(parent_id)
+
+
 def issue_summary(issues: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    counts = [("attachments_saved_orphaned", "attachments_orphaned"), ("notes_skipped", "notes_skipped")]
     return issues.groupBy(*by).agg(
         F.count(F.lit(1)).alias("entities_with_issues"),
-        F.coalesce(F.sum("attachments_saved_orphaned"), F.lit(0)).alias("attachments_orphaned"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in counts if c in issues.columns],
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import parent_of_note
+from tidemark.operators.inventory import of_snapshot
 from tidemark.operators.merge import insert_or_ignore
 
 EXTRACT_KEY = ["entity_type", "entity_id", "map_snapshot_id"]
@@ -54,11 +55,21 @@ def queue_attachments(
     return insert_or_ignore(queue, new, ATTACHMENT_KEY, ["parent_type", "parent_id"])
 
 
-def select_work(queue: DataFrame, resume: bool = True, types: Sequence[str] | None = None) -> DataFrame:
-    """Items to work on: pending, and failed ones again when resuming."""
-    wanted = queue.where(F.col("status").isin(RETRYABLE if resume else ["pending"]))
-    if types:
-        wanted = wanted.where(F.col("parent_type").isin(list(types)))
+def select_work(
+    queue: DataFrame,
+    resume: bool = True,
+    types: Sequence[str] | None = None,
+    snapshot_id: str | None = None,
+) -> DataFrame:
+    """Items to work on: pending, and failed ones again when resuming.
+
+    `types` are kinds of records in an extract queue, of parents in an attachment queue.
+    """
+    wanted = of_snapshot(queue, snapshot_id)
+    wanted = wanted.where(F.col("status").isin(RETRYABLE if resume else ["pending"]))
+    if types is not None:
+        kind = "parent_type" if "parent_type" in queue.columns else "entity_type"
+        wanted = wanted.where(F.col(kind).isin(list(types)))
     return wanted
 
 
@@ -126,9 +137,11 @@ def extract_outcomes(work: DataFrame, mapped: DataFrame, id_column: str = "id")
     )
 
 
-def status_matrix(queue: DataFrame, types: DataFrame | None = None) -> DataFrame:
+def status_matrix(
+    queue: DataFrame, types: DataFrame | None = None, snapshot_id: str | None = None
+) -> DataFrame:
     """Items per kind and status in one pass; kinds without items show zeros."""
-    counts = queue.groupBy("entity_type").agg(
+    counts = of_snapshot(queue, snapshot_id).groupBy("entity_type").agg(
         *[F.count_if(F.col("status") == s).alias(s) for s in STATUSES],
         F.count(F.lit(1)).alias("_all"),
     )

@@ -121,5 +121,5 @@ def time_shares(counts: DataFrame, seconds: float) -> DataFrame:
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """JSON lines; reports are aggregates, so one file is enough."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """JSON lines."""
+    report.write.mode("overwrite").json(path)

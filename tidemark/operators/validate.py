@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.inventory import SNAPSHOT_ID, of_snapshot
+
 ISSUE_COLUMNS = ["severity", "category", "table", "field", "count"]
 
 
@@ -84,7 +86,7 @@ def _issues(counts: DataFrame, category: str) -> DataFrame:
 
 def _orphans(tables: Mapping[str, DataFrame], rule: ForeignKey, blank_is_null: bool) -> DataFrame:
     values = tables[rule.child].select(F.col(rule.column).alias("value"))
-    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value"))
+    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value")).distinct()
     if values.schema["value"].dataType != keys.schema["value"].dataType:
         values, keys = (df.select(F.col("value").cast("string")) for df in (values, keys))
     values = values.where("value is not null")
@@ -224,20 +226,26 @@ def verdict(issues: DataFrame) -> DataFrame:
 
 
 def completeness(
-    inventory: DataFrame, queue: DataFrame, run_counts: DataFrame | None = None
+    inventory: DataFrame,
+    queue: DataFrame,
+    run_counts: DataFrame | None = None,
+    snapshot_id: str | None = None,
 ) -> DataFrame:
-    """What of the inventory was not attempted or failed, per kind.
+    """What of the inventory was not attempted or failed, per kind and snapshot.
 
     Counts come from the queue's state; `run_counts` (entity_type, extracted, failed)
     compares one run with the whole inventory instead.
     """
-    expected = inventory.groupBy("entity_type").agg(F.count(F.lit(1)).alias("expected"))
+    inventory, queue = of_snapshot(inventory, snapshot_id), of_snapshot(queue, snapshot_id)
+    by = ["entity_type"]
     if run_counts is None:
-        run_counts = queue.groupBy("entity_type").agg(
+        by = [*by, SNAPSHOT_ID]
+        run_counts = queue.groupBy(*by).agg(
             F.count_if(F.col("status") == "done").alias("extracted"),
             F.count_if(F.col("status") == "failed").alias("failed"),
         )
-    both = expected.join(run_counts, "entity_type", "left").na.fill(0, ["extracted", "failed"])
+    expected = inventory.groupBy(*by).agg(F.count(F.lit(1)).alias("expected"))
+    both = expected.join(run_counts, by, "left").na.fill(0, ["extracted", "failed"])
     attempted = F.col("extracted") + F.col("failed")
     checks = F.array(
         F.struct(
@@ -278,26 +286,29 @@ def attachment_completeness(summary: DataFrame) -> DataFrame:
     )
 
 
-def mapped_versus_extracted(inventory: DataFrame, queue: DataFrame) -> DataFrame:
+def mapped_versus_extracted(
+    inventory: DataFrame, queue: DataFrame, snapshot_id: str | None = None
+) -> DataFrame:
     """Mapped, extracted and failed records per kind.
 
-    Both sides are reduced to one row per record first, so the join has no fan-out
-    and distinct counting needs no second shuffle.
+    Both sides are one row per record and snapshot before the join, which has no fan-out;
+    records of several snapshots are then one row again.
     """
-    key = ["entity_type", "entity_id", "map_snapshot_id"]
-    mapped = inventory.select(*key).distinct()
-    state = queue.groupBy(*key).agg(
+    key = ["entity_type", "entity_id", SNAPSHOT_ID]
+    mapped = of_snapshot(inventory, snapshot_id).select(*key).distinct()
+    state = of_snapshot(queue, snapshot_id).groupBy(*key).agg(
         F.count_if(F.col("status") == "done").alias("done"),
         F.count_if(F.col("status") == "failed").alias("failed"),
     )
-    return (
-        mapped.join(state, key, "left")
-        .groupBy("entity_type")
-        .agg(
-            F.count_distinct("entity_id").alias("mapped_count"),
-            F.coalesce(F.sum("done"), F.lit(0)).alias("extracted_count"),
-            F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_count"),
+    records = mapped.join(state, key, "left")
+    if snapshot_id is None:
+        records = records.groupBy("entity_type", "entity_id").agg(
+            F.sum("done").alias("done"), F.sum("failed").alias("failed")
         )
+    return records.groupBy("entity_type").agg(
+        F.count(F.lit(1)).alias("mapped_count"),
+        F.coalesce(F.sum("done"), F.lit(0)).alias("extracted_count"),
+        F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_count"),
     )
 
 
@@ -342,9 +353,3 @@ def unpivot_metrics(df: DataFrame, subject: str, columns: Sequence[str]) -> Data
         ]
     )
     return df.select(F.col(subject).alias("subject"), F.inline(pairs))
-
-
-def empty_issues(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [], "severity string, category string, table string, field string, count bigint"
-    )

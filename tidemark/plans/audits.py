@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,27 +20,42 @@ READ_FIELDS = {
 PRIORITY = {"customer": ["c_mktsegment", "c_name"], "part": ["p_retailprice", "p_size"]}
 
 
+# The columns of all given tables; only three of them are read.
+TABLE_FIELDS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "labels": ["doc_id", "quality", "toxic"],
+    "conversations": ["conv_id", "turn", "role", "text"],
+}
+
+
 def _available(t: Tables) -> DataFrame:
     """Fields that hold data: one row per column with its number of filled rows, by scan."""
     frames = []
-    for name in READ_FIELDS:
+    for name in TABLE_FIELDS:
         df = getattr(t, name)
         counted = df.agg(*[F.count(c).alias(c) for c in df.columns])
         pairs = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("filled")) for c in df.columns])
         frames.append(counted.select(F.lit(name).alias("entity"), F.inline(pairs)))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result.where("filled > 0")
+    return reduce(DataFrame.unionByName, frames).where("filled > 0")
 
 
 FIELDS_SQL = " UNION ALL ".join(
-    f"SELECT DISTINCT '{table}' AS entity, '{column}' AS field FROM {table} WHERE {column} IS NOT NULL"
-    for table, columns in {
-        "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-        "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
-        "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
-    }.items()
+    f"SELECT '{table}' AS entity, '{column}' AS field FROM {table} HAVING count({column}) > 0"
+    for table, columns in TABLE_FIELDS.items()
     for column in columns
 )
 READ_SQL = "SELECT * FROM (VALUES " + ", ".join(
@@ -54,7 +71,7 @@ COVERAGE_SQL = f"""
          count(*) FILTER (side <> 'missing') AS total_queried, count(*) FILTER (side = 'missing') AS missing,
          count(*) FILTER (side = 'extra') AS extra,
          round(count(*) FILTER (side <> 'missing') * 100.0::DOUBLE / count(*) FILTER (side <> 'extra'), 1) AS coverage_percent
-  FROM ({DIFF_SQL}) GROUP BY 1
+  FROM ({DIFF_SQL}) WHERE entity IN (SELECT entity FROM ({READ_SQL})) GROUP BY 1
 """
 
 
@@ -82,9 +99,15 @@ def coverage_totals(spark: SparkSession, folder: str) -> DataFrame:
     return totals.withColumn("avg_coverage", F.round("avg_coverage", 6))
 
 
+PRIORITY_SQL = ", ".join(f"('{table}', '{column}')" for table, names in PRIORITY.items() for column in names)
+
+
 @query(
     "priority_missing",
-    "SELECT * FROM (VALUES ('customer', 'c_mktsegment'), ('part', 'p_retailprice'), ('part', 'p_size')) AS v(entity, field)",
+    f"""
+    SELECT entity, field FROM ({DIFF_SQL}) SEMI JOIN (VALUES {PRIORITY_SQL}) AS p(entity, field) USING (entity, field)
+    WHERE side = 'missing'
+    """,
 )
 def priority_missing(spark: SparkSession, folder: str) -> DataFrame:
     differences = schema_differences(spark, folder)

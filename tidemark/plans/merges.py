@@ -234,12 +234,10 @@ def evolve_schema(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def skip_existing(spark: SparkSession, folder: str) -> DataFrame:
-    """New documents by anti join and skipped ones by semi join; together all of them."""
+    """All documents, flagged whether a label is stored already."""
     t = Tables(spark, folder)
-    docs = t.documents.select("doc_id", "lang")
-    fresh = merge.new_rows(t.labels, docs, ["doc_id"]).withColumn("is_new", F.lit(True))
-    known = merge.existing_keys(t.labels, docs, ["doc_id"]).withColumn("is_new", F.lit(False))
-    return fresh.unionByName(known)
+    marked = merge.with_known(t.labels, t.documents.select("doc_id", "lang"), ["doc_id"], "known")
+    return marked.select("doc_id", "lang", (~F.col("known")).alias("is_new"))
 
 
 @query(

@@ -187,12 +187,13 @@ def inline_notes_of_users(spark: SparkSession, folder: str) -> DataFrame:
     "collect_references",
     f"""
     SELECT {TURN_ID} AS note_id, 'client' AS entity_type, CAST(conv_id AS VARCHAR) AS entity_id
-    FROM conversations WHERE turn < 4
+    FROM conversations
     """,
 )
 def collect_references(spark: SparkSession, folder: str) -> DataFrame:
-    first, _ = _conversation_pages(Tables(spark, folder))
-    return notes.collect_references(first, "client")
+    """References of every turn, those of later pages included."""
+    first, later = _conversation_pages(Tables(spark, folder))
+    return notes.collect_references(first, "client", continuation=later)
 
 
 def _references(t: Tables) -> DataFrame:

@@ -66,20 +66,28 @@ def extract_pass(
     spec: EntitySpec,
     as_of: str,
     types: Sequence[str] | None = None,
+    snapshot_id: str | None = None,
+    snapshots: DataFrame | None = None,
 ) -> ExtractPass:
     """Queue the inventory, map the nodes of queued work, store them, settle the queue.
 
     `nodes` has entity_id, a sequence column `seq` and the node; only the newest node
-    of each queued id is mapped, and mapped once.
+    of each queued id is mapped, and mapped once. The pass works on one snapshot: rows of
+    others stay as they are. With `snapshots`, an unknown snapshot and kinds it does not
+    hold are refused.
     """
+    if snapshots is not None and snapshot_id is not None:
+        types = inventory.snapshot_kinds(snapshots, snapshot_id, types)
+    snapshot_inventory = inventory.of_snapshot(snapshot_inventory, snapshot_id)
     if types is not None:
         snapshot_inventory = snapshot_inventory.where(F.col("entity_type").isin(list(types)))
     queued = queues.queue_from_inventory(queue, snapshot_inventory, as_of)
-    work = queues.select_work(queued).where(F.col("entity_type") == spec.root)
-    wanted = nodes.join(work.select("entity_id"), "entity_id", "left_semi")
+    work = queues.select_work(queued, types=types, snapshot_id=snapshot_id)
+    work = work.where(F.col("entity_type") == spec.root)
+    wanted = nodes.join(work.select("entity_id").distinct(), "entity_id", "left_semi")
     newest = latest_per_key(wanted, ["entity_id"], ["seq"])
     mapped = stage(map_entities(newest, spec, keep=["entity_id", "seq"]), "mapped")
-    outcomes = queues.extract_outcomes(work, mapped, "entity_id")
+    outcomes = stage(queues.extract_outcomes(work, mapped, "entity_id"), "outcomes")
     settled = stage(
         queues.apply_results(queued, outcomes, queues.EXTRACT_KEY, as_of), "queue"
     )
@@ -88,8 +96,8 @@ def extract_pass(
         settled,
         upsert(stored, accepted, ["id"], ["seq"]),
         outcomes,
-        queues.status_matrix(settled),
-        validate.completeness(snapshot_inventory, settled),
+        queues.status_matrix(settled, snapshot_id=snapshot_id),
+        validate.completeness(snapshot_inventory, settled, snapshot_id=snapshot_id),
     )
 
 
@@ -123,28 +131,31 @@ def download_pass(
         content_hash(F.col("content")).alias("hash"),
         F.octet_length("content").cast("bigint").alias("bytes"),
     )
-    loaded = work.where("found").join(files, "attachment_id", "left")
-    success = F.col("hash").isNotNull()
-    loaded = loaded.select(
+    # One join decides all items: those without metadata, without content, and the rest.
+    loaded = work.join(files, "attachment_id", "left")
+    success = F.col("found") & F.col("hash").isNotNull()
+    error = F.when(~F.col("found"), F.concat(F.lit("Attachment not found: "), F.col("attachment_id"))).when(
+        ~success, F.concat(F.lit("No content: "), F.col("attachment_id"))
+    )
+    outcome = loaded.select(
         "attachment_id",
         "map_snapshot_id",
         success.alias("success"),
-        F.when(~success, F.concat(F.lit("No content: "), F.col("attachment_id"))).alias("error"),
-        F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),
-        "hash",
-        stored_name(F.col("hash"), F.col("file_name")).alias("stored_name"),
-    )
-    results = stage(
-        loaded.unionByName(downloads.missing_attachments(work), allowMissingColumns=True),
-        "downloads",
+        error.alias("error"),
+        F.when(success, F.col("bytes")).otherwise(F.lit(0)).cast("bigint").alias("bytes"),
+        F.when(success, F.col("hash")).alias("hash"),
+        F.when(success, stored_name(F.col("hash"), F.col("file_name"))).alias("stored_name"),
+        "found",
     )
-    changes = results.select(
+    results = stage(outcome, "downloads")
+    changes = results.where("found").select(
         F.col("attachment_id").alias("id"),
         F.when(F.col("success"), "completed").otherwise("failed").alias("download_status"),
         "hash",
         F.col("stored_name").alias("local_file_path"),
         F.col("error").alias("download_error"),
     )
+    results = results.drop("found")
     return DownloadPass(
         queues.apply_results(queue, results, queues.ATTACHMENT_KEY, as_of),
         patch(

@@ -127,8 +127,10 @@ def work_selection(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def work_selection_first_run(spark: SparkSession, folder: str) -> DataFrame:
-    queue = order_queue(Tables(spark, folder)).withColumnRenamed("entity_type", "parent_type")
-    work = queues.select_work(queue, resume=False, types=["1-URGENT", "2-HIGH"])
+    queue = order_queue(Tables(spark, folder))
+    other = queue.withColumn("map_snapshot_id", F.lit(OTHER_SNAPSHOT))
+    wanted = ["1-URGENT", "2-HIGH"]
+    work = queues.select_work(queue.unionByName(other), False, wanted, SNAPSHOT)
     return work.select("entity_id", "status")
 
 
@@ -187,12 +189,23 @@ def apply_results(spark: SparkSession, folder: str) -> DataFrame:
     return result.select("entity_id", "status", "attempt_count", "last_error")
 
 
+OTHER_SNAPSHOT = "snapshot-0"
+
+
 def _invoice_extract(spark: SparkSession, folder: str) -> ExtractPass:
-    """Orders as invoices: F is queued as failed, O as done; P nodes are never delivered."""
+    """Orders as invoices: F is queued as failed, O as done; P nodes are never delivered.
+
+    Urgent orders are in the inventory and queue of an older snapshot as well, where they
+    stay pending: the pass is for one snapshot.
+    """
     t = Tables(spark, folder)
     kind = F.lit(SPECS["invoice"].root)
-    snapshot = order_queue(t).withColumn("entity_type", kind).select(*queues.EXTRACT_KEY)
-    queued = order_queue(t).withColumn("entity_type", kind).where("status <> 'pending'")
+    orders = order_queue(t)
+    older = orders.where("entity_type = '1-URGENT'").withColumns(
+        {"map_snapshot_id": F.lit(OTHER_SNAPSHOT), "status": F.lit("pending"), "attempt_count": F.lit(7)}
+    )
+    snapshot = orders.unionByName(older).withColumn("entity_type", kind).select(*queues.EXTRACT_KEY)
+    queued = orders.where("status <> 'pending'").unionByName(older).withColumn("entity_type", kind)
     packed = invoice_nodes(t)
     node_id = F.try_variant_get("node", "$.id", "string")
     nodes = packed.where(F.try_variant_get("node", "$.invoiceStatus", "string") != "P").select(
@@ -200,7 +213,7 @@ def _invoice_extract(spark: SparkSession, folder: str) -> ExtractPass:
     )
     schema = map_entities(nodes, SPECS["invoice"]).drop("reject_reason").schema
     stored = spark.createDataFrame([], schema)
-    return extract_pass(snapshot, queued, stored, nodes, SPECS["invoice"], AS_OF)
+    return extract_pass(snapshot, queued, stored, nodes, SPECS["invoice"], AS_OF, snapshot_id=SNAPSHOT)
 
 
 @query(
@@ -217,6 +230,8 @@ def _invoice_extract(spark: SparkSession, folder: str) -> ExtractPass:
                 WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
                 THEN 'Mapping error for invoices ' || o_orderkey || ': missing client id' END AS last_error
     FROM orders
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'pending', 7, CASE WHEN o_orderstatus = 'F' THEN 'timeout' END
+    FROM orders WHERE o_orderpriority = '1-URGENT'
     """,
 )
 def extract_pass_queue(spark: SparkSession, folder: str) -> DataFrame:

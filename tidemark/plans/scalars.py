@@ -103,7 +103,8 @@ def float_texts(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "display_ids",
     """
-    SELECT 'Client: ' || c_name AS label, CAST(c_custkey AS VARCHAR) AS id FROM customer
+    SELECT 'Client: ' || c_name || CASE WHEN c_acctbal < 0 THEN ' None' ELSE '' END AS label,
+           CAST(c_custkey AS VARCHAR) AS id FROM customer
     UNION ALL SELECT CASE o_orderstatus WHEN 'P' THEN 'Invoice #' || o_orderkey WHEN 'F' THEN 'Job #' || o_orderkey
                      ELSE 'Timesheet_Entry' END, CAST(o_orderkey AS VARCHAR) FROM orders
     """,
@@ -114,7 +115,7 @@ def display_ids(spark: SparkSession, folder: str) -> DataFrame:
     status = F.col("o_orderstatus")
     kind = F.when(status == "P", "invoice").when(status == "F", "job").otherwise("timesheet_entry")
     clients = t.customer.select(
-        display_id(F.lit("client"), nothing, F.col("c_name"), F.lit("")).alias("label"),
+        display_id(F.lit("client"), nothing, F.col("c_name"), F.when(F.col("c_acctbal") >= 0, F.lit(""))).alias("label"),
         key_text("c_custkey").alias("id"),
     )
     numbered = t.orders.select(
