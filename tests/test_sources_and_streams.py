@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.pipelines import load_in_order
-from tidemark.session import scratch_path
+from tidemark.session import folders_in, release, scratch_path, stage
 from tidemark.sources import files, introspection, pages
 from tidemark.streaming import feed, rates
 
@@ -136,6 +136,8 @@ def test_load_order_goes_on_after_a_failure():
 
 
 class FakeContext:
+    applicationId = "fake"
+
     def __init__(self, master):
         self.master, self.folder = master, None
 
@@ -156,6 +158,14 @@ class FakeSession:
         self.sparkContext = FakeContext(master)
 
 
+def test_release_removes_scratch_tables(spark):
+    staged = stage(spark.range(3), "kept")
+    path = staged.inputFiles()[0].rsplit("/", 1)[0]
+    assert folders_in(spark, path.rsplit("/", 1)[0])
+    release(spark)
+    assert not any(f.endswith(path.rsplit("/", 1)[1]) for f in folders_in(spark, path.rsplit("/", 1)[0]))
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     local = FakeSession("local[2]")
     first, second = scratch_path(local, "x"), scratch_path(local, "x")

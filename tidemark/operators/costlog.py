@@ -58,9 +58,9 @@ def cost_overview(costs: DataFrame, runtime_seconds: float) -> DataFrame:
     )
 
 
-def cost_statistics(costs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def _cost_aggregates() -> list[Column]:
     requested, actual = F.col("requested_cost"), F.col("actual_cost")
-    return costs.groupBy(*keys).agg(
+    return [
         F.count(F.lit(1)).alias("total_queries"),
         _or_zero(F.avg(requested)).alias("avg_requested_cost"),
         _or_zero(F.avg(actual)).alias("avg_actual_cost"),
@@ -68,16 +68,14 @@ def cost_statistics(costs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.coalesce(F.max(actual), F.lit(0)).alias("max_actual_cost"),
         _or_zero(F.avg(actual - requested)).alias("avg_cost_difference"),
         _or_zero(F.avg(cost_accuracy(requested, actual))).alias("cost_accuracy_percentage"),
-    )
+    ]
 
 
-def throttle_statistics(
-    costs: DataFrame, order: Sequence[str], keys: Sequence[str] = ()
-) -> DataFrame:
-    """Capacity use over rows that carry all three throttle fields.
+def cost_statistics(costs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return costs.groupBy(*keys).agg(*_cost_aggregates())
 
-    Capacity and restore rate are those of the first such row, not of each row.
-    """
+
+def _throttle_aggregates(order: Sequence[str]) -> list[Column]:
     complete = (
         F.col("maximum_available").isNotNull()
         & F.col("currently_available").isNotNull()
@@ -85,13 +83,23 @@ def throttle_statistics(
     )
     at = F.when(complete, F.struct(*order))
     current = F.when(complete, F.col("currently_available"))
-    agg = costs.groupBy(*keys).agg(
+    return [
         F.count_if(complete).alias("queries_with_throttle_data"),
         F.min_by("maximum_available", at).alias("maximum_available"),
         F.avg(current).alias("avg_currently_available"),
         F.min(current).alias("min_currently_available"),
         F.min_by("restore_rate", at).alias("restore_rate"),
-    )
+    ]
+
+
+def throttle_statistics(
+    costs: DataFrame, order: Sequence[str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Capacity use over rows that carry all three throttle fields.
+
+    Capacity and restore rate are those of the first such row, not of each row.
+    """
+    agg = costs.groupBy(*keys).agg(*_throttle_aggregates(order))
     capacity = F.col("maximum_available")
 
     def used(available: Column) -> Column:
@@ -108,15 +116,10 @@ def throttle_statistics(
     )
 
 
-def request_rates(log: DataFrame, keys: Sequence[str] = (), uptime: Column | None = None) -> DataFrame:
-    """Rates over a request log with outcome ok, rate_limited, throttled, retry_ok, retry_failed.
-
-    `seconds` is the response or waiting time of a row. Throttled rows are waits and
-    not requests; retries are not requests either.
-    """
+def _request_aggregates(uptime: Column | None) -> list[Column]:
     outcome, seconds = F.col("outcome"), F.col("seconds")
     span = F.max("at") - F.min("at") if uptime is None else uptime
-    counted = log.groupBy(*keys).agg(
+    return [
         F.count_if(outcome.isin("ok", "rate_limited")).alias("total_requests"),
         F.count_if(outcome == "ok").alias("successful_requests"),
         F.count_if(outcome == "rate_limited").alias("rate_limit_errors"),
@@ -126,22 +129,33 @@ def request_rates(log: DataFrame, keys: Sequence[str] = (), uptime: Column | Non
         _or_zero(F.avg(F.when(outcome == "throttled", seconds))).alias("avg_throttle_seconds"),
         _or_zero(F.max(F.when(outcome == "throttled", seconds))).alias("max_throttle_seconds"),
         span.alias("uptime_seconds"),
-    )
-    total, uptime_col = F.col("total_requests"), F.col("uptime_seconds")
-    return counted.select(
-        "*",
-        _or_zero(F.try_divide(total * 60.0, uptime_col)).alias("requests_per_minute"),
-        _or_zero(F.try_divide(F.col("successful_requests") * 60.0, uptime_col)).alias(
-            "successful_per_minute"
-        ),
+    ]
+
+
+def _request_shares() -> list[Column]:
+    total, uptime = F.col("total_requests"), F.col("uptime_seconds")
+    return [
+        _or_zero(F.try_divide(total * 60.0, uptime)).alias("requests_per_minute"),
+        _or_zero(F.try_divide(F.col("successful_requests") * 60.0, uptime)).alias("successful_per_minute"),
         _percent(F.col("rate_limit_errors"), total).alias("error_percentage"),
-        _percent(F.col("throttled_requests"), total + F.col("throttled_requests")).alias(
-            "throttle_percentage"
-        ),
-        _percent(F.col("successful_retries"), F.col("retry_attempts")).alias(
-            "retry_success_percentage"
-        ),
-    )
+        _percent(F.col("throttled_requests"), total + F.col("throttled_requests")).alias("throttle_percentage"),
+        _percent(F.col("successful_retries"), F.col("retry_attempts")).alias("retry_success_percentage"),
+    ]
+
+
+def request_rates(log: DataFrame, keys: Sequence[str] = (), uptime: Column | None = None) -> DataFrame:
+    """Rates over a request log with outcome ok, rate_limited, throttled, retry_ok, retry_failed.
+
+    `seconds` is the response or waiting time of a row. Throttled rows are waits and
+    not requests; retries are not requests either.
+    """
+    return log.groupBy(*keys).agg(*_request_aggregates(uptime)).select("*", *_request_shares())
+
+
+def run_metrics(log: DataFrame, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Request, cost and throttle measures of one log that carries all columns, in one scan."""
+    aggregates = [*_request_aggregates(None), *_cost_aggregates(), *_throttle_aggregates(order)]
+    return log.groupBy(*keys).agg(*aggregates).select("*", *_request_shares())
 
 
 def with_advice(costs: DataFrame, base_page_size: Column) -> DataFrame:

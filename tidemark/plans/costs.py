@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import costlog
@@ -115,8 +115,8 @@ def throttle_stats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def request_log(t: Tables) -> DataFrame:
-    """Events as request log: errors are rate limits, signups waits, views retries."""
+def request_columns() -> list[Column]:
+    """Events as requests: errors are rate limits, signups waits, views retries."""
     kind = F.col("event_type")
     outcome = (
         F.when(kind == "error", "rate_limited")
@@ -125,13 +125,15 @@ def request_log(t: Tables) -> DataFrame:
         .when(kind == "view", "retry_failed")
         .otherwise("ok")
     )
-    return t.events.select(
-        "event_id",
-        "user_id",
+    return [
         epoch_seconds("ts").cast("double").alias("at"),
         outcome.alias("outcome"),
         F.col("value").alias("seconds"),
-    )
+    ]
+
+
+def request_log(t: Tables) -> DataFrame:
+    return t.events.select("event_id", "user_id", *request_columns())
 
 
 RATES = """
@@ -169,20 +171,11 @@ def request_rates(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def metrics_summary(spark: SparkSession, folder: str) -> DataFrame:
-    """All measures of a run in one row."""
+    """All measures of a run in one row, out of one scan."""
     t = Tables(spark, folder)
-    costs = cost_log(t)
-    stats = costlog.cost_statistics(costs).select(F.struct("*")).scalar()
-    throttle = costlog.throttle_statistics(costs, ["at_s", "id"]).drop(
-        "avg_capacity_used_percentage", "lowest_capacity_percentage"
-    )
-    joined = (
-        costlog.request_rates(request_log(t))
-        .select("*", stats.alias("_costs"), throttle.select(F.struct("*")).scalar().alias("_throttle"))
-        .select("*", "_costs.*", "_throttle.*")
-        .drop("_costs", "_throttle")
-    )
-    return rounded(joined, "avg_throttle_seconds", "cost_accuracy_percentage")
+    log = cost_log(t, keep=[*request_columns()])
+    metrics = costlog.run_metrics(log, ["at_s", "id"])
+    return rounded(metrics, "avg_throttle_seconds", "cost_accuracy_percentage")
 
 
 @query(

@@ -6,6 +6,8 @@ never gathers a group.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -381,7 +383,7 @@ def event_pages(t: Tables, size: int = 100) -> DataFrame:
     )
 
 
-def cost_log(t: Tables) -> DataFrame:
+def cost_log(t: Tables, keep: Sequence[Column] = ()) -> DataFrame:
     """Events read as a request cost log; clicks lack capacity, views lack a restore rate."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     return t.events.select(
@@ -393,4 +395,5 @@ def cost_log(t: Tables) -> DataFrame:
         F.when(F.col("event_type") != "click", F.lit(10000).cast("bigint")).alias("maximum_available"),
         (F.lit(10000) - k * 101).cast("bigint").alias("currently_available"),
         F.when(F.col("event_type") != "view", F.lit(500).cast("bigint")).alias("restore_rate"),
+        *keep,
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Scratch paths handed out, by application.
+_given: dict[str, list[str]] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a local one only where none is named."""
     sc = spark.sparkContext
@@ -48,6 +54,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not (sc.master or "").startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
@@ -55,7 +62,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, for tables one job hands to the next."""
-    return f"{checkpoint_root(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every scratch table this application has written, once nothing reads them."""
+    for path in _given.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def _folder(spark: SparkSession, path: str):
