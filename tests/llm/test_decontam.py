@@ -16,11 +16,9 @@ def parts(ws):
 
 
 def alike(a, b):
-    a, b = parts(a), parts(b)
-    weight = lambda s: len("".join(s))
-    shared = sum(weight(s) * min(a.count(s), b.count(s)) for s in set(a))
-    total = sum(map(weight, a)) + sum(map(weight, b)) - shared
-    return shared / total if total else 0.0
+    a, b = set(parts(a)), set(parts(b))
+    weight = lambda s: sum(len("".join(p)) for p in s)
+    return weight(a & b) / weight(a | b) if a | b else 0.0
 
 
 def brute(text, item):

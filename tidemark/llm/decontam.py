@@ -19,41 +19,38 @@ BROADCAST_ROWS = 1_000_000
 
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    clean = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
-def shingles(words: Column) -> Column:
-    """Hash and weight per five-word shingle; fewer words are one shingle, none give none.
-    The weight is the letters in it: long words say more than short ones."""
-    at = lambda i, k: F.get(words, i + k)
-    return F.when(
-        F.size(words) > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0))),
-            lambda i: F.struct(
-                F.xxhash64(*(at(i, k) for k in range(SHINGLE))).alias("h"),
-                F.length(F.concat_ws("", *(at(i, k) for k in range(SHINGLE)))).alias("w"),
-            ),
-        ),
-    ).otherwise(F.array().cast("array<struct<h:bigint,w:int>>"))
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def hashes(words: Column, size: int = SHINGLE) -> Column:
-    """Hash of every run of `size` words; of all words where there are fewer."""
-    at = lambda i, k: F.get(words, i + k)
+def runs(hashed: Column, size: int = SHINGLE) -> Column:
+    """Hash of every run of `size` words, from the words' hashes; of all words where there
+    are fewer, none where there are none."""
     return F.when(
-        F.size(words) > 0,
+        F.size(hashed) > 0,
         F.transform(
-            F.sequence(F.lit(0), F.greatest(F.size(words) - size, F.lit(0))),
-            lambda i: F.xxhash64(*(at(i, k) for k in range(size))),
+            F.sequence(F.lit(0), F.greatest(F.size(hashed) - size, F.lit(0))),
+            lambda i: F.xxhash64(*(F.get(hashed, i + k) for k in range(size))),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def simhash(words: Column) -> Column:
+def shingles(words: Column, hashed: Column) -> Column:
+    """The different five-word shingles with their weights. The weight is the letters in it:
+    long words say more than short ones."""
+    weight = lambda i: F.length(F.concat_ws("", *(F.get(words, i + k) for k in range(SHINGLE))))
+    return F.array_distinct(F.transform(runs(hashed), lambda h, i: F.struct(h.alias("h"), weight(i).alias("w"))))
+
+
+def weight_of(shingle_list: Column) -> Column:
+    return F.aggregate(shingle_list, F.lit(0).cast("long"), lambda s, e: s + e["w"])
+
+
+def simhash(hashed: Column) -> Column:
     """64 bits, each set if it is in over half of the word hashes."""
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
     bit = lambda b: F.size(F.filter(hashed, lambda h: F.getbit(h, b) == 1)) * 2 > F.size(hashed)
     one = F.lit(1).cast("long")
     return F.aggregate(
@@ -63,18 +60,6 @@ def simhash(words: Column) -> Column:
     )
 
 
-def similarity(a: Column, b: Column) -> Column:
-    """Weighted Jaccard of two multisets of shingles: sum of minima by sum of maxima."""
-    total = lambda x: F.aggregate(x, F.lit(0).cast("long"), lambda s, e: s + e["w"])
-    times = lambda x, h: F.size(F.filter(x, lambda e: e["h"] == h))
-    shared = F.aggregate(
-        F.array_distinct(a),
-        F.lit(0).cast("long"),
-        lambda s, e: s + e["w"] * F.least(times(a, e["h"]), times(b, e["h"])),
-    )
-    return F.when(total(a) + total(b) > 0, shared / (total(a) + total(b) - shared)).otherwise(F.lit(0.0))
-
-
 def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Items with words, shingles and fingerprint; and the shingles that windows start from.
 
@@ -83,11 +68,12 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     are taken until what is left weighs less than the threshold.
     """
     items = benchmark.select("item_id", words_of(text_or_empty()).alias("words")).filter(F.size("words") > 0)
+    items = items.select("item_id", "words", word_hashes(F.col("words")).alias("hashed"))
     items = items.select(
         "item_id",
         F.size("words").alias("size"),
-        shingles(F.col("words")).alias("item_shingles"),
-        simhash(F.col("words")).alias("item_print"),
+        shingles(F.col("words"), F.col("hashed")).alias("item_shingles"),
+        simhash(F.col("hashed")).alias("item_print"),
     )
     parts = items.select("item_id", "size", F.posexplode("item_shingles").alias("at", "s")).select(
         "item_id", "size", "at", "s.h", "s.w"
@@ -139,8 +125,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     texts = docs.select("doc_id", *row_key(), words_of(text_or_empty()).alias("words"))
     # Items of fewer than five words are one shingle of that many words.
     short = [r[0] for r in items.filter(F.col("size") < SHINGLE).select("size").distinct().collect()]
-    runs = [texts.select("k1", "k2", F.posexplode(hashes(F.col("words"), n)).alias("pos", "h")) for n in [SHINGLE, *short]]
-    seen = reduce(DataFrame.union, runs)
+    hashed = texts.select("k1", "k2", word_hashes(F.col("words")).alias("hashed"))
+    parts = [hashed.select("k1", "k2", F.posexplode(runs(F.col("hashed"), n)).alias("pos", "h")) for n in [SHINGLE, *short]]
+    seen = reduce(DataFrame.union, parts)
     wanted = (
         seen.join(probes, "h")
         .select("k1", "k2", F.struct((F.col("pos") - F.col("at")).alias("start"), "size").alias("win"))
@@ -165,9 +152,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         texts.join(wanted, ["k1", "k2"])
         .select("doc_id", "k1", "k2", F.explode(cut).alias("w"))
         .select("doc_id", "k1", "k2", "w.start", "w.size", "w.part")
-        .withColumn("print", simhash(F.col("part")))
+        .distinct()
+        .select("*", word_hashes(F.col("part")).alias("hashed"))
+    )
+    # Staged with what the comparison reads many times, so that it is worked out once.
+    windows = windows.select(
+        "doc_id",
+        "k1",
+        "k2",
+        "start",
+        "size",
+        shingles(F.col("part"), F.col("hashed")).alias("shingles"),
+        simhash(F.col("hashed")).alias("print"),
     )
-    windows = scratch.stage(windows.distinct(), "cut")
+    windows = scratch.stage(windows.withColumn("weight", weight_of(F.col("shingles"))), "cut")
     keys = windows.select("print", "size").distinct()
     keys = keys.select("print", "size", F.posexplode(_blocks(F.col("print"))).alias("block", "value"))
     index = items.select("item_id", "size", "item_print", F.posexplode(_blocks(F.col("item_print"))).alias("block", "own"))
@@ -176,12 +174,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     )
     close = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
     met = keys.join(index, ["size", "block", "value"]).filter(close).select("print", "size", "item_id").distinct()
-    pairs = windows.join(met, ["print", "size"]).join(items.select("item_id", "item_shingles"), "item_id")
-    scored = pairs.withColumn("similarity", similarity(shingles(F.col("part")), F.col("item_shingles")))
-    best = scored.filter(F.col("similarity") >= threshold).groupBy("doc_id", "k1", "k2", "item_id").agg(
+    pairs = windows.join(met, ["print", "size"]).join(items.select("item_id", "item_shingles", weight_of(F.col("item_shingles")).alias("item_weight")), "item_id")
+    # Weighted Jaccard: the weight of the common shingles by that of all.
+    scored = pairs.withColumn("common", weight_of(F.array_intersect("shingles", "item_shingles"))).withColumn(
+        "similarity", F.try_divide(F.col("common"), F.col("weight") + F.col("item_weight") - F.col("common"))
+    )
+    # The threshold is asked of the best window: asked of each, it would sink below the
+    # comparison and do it twice.
+    best = scored.groupBy("doc_id", "k1", "k2", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size")).alias("best")
     )
-    return best.select(
+    return best.filter(F.col("best.similarity") >= threshold).select(
         "doc_id", "k1", "k2", "item_id", "best.similarity", (-F.col("best.back")).alias("start"), "best.size"
     )
 
