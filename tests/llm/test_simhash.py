@@ -104,6 +104,9 @@ def test_one_row_of_each_group_stays(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id, r.k1) for r in got.collect()) == [(1, "y"), (5, "z"), (9, "w")]
     assert simhash.one_per_group(docs.limit(0), Scratch(spark)).count() == 0
+    tags = spark.createDataFrame([(1, "a b", f"tag {i}") for i in range(20)], "doc_id long, text string, fp string")
+    picked = {tuple(simhash.one_per_group(tags.repartition(n), Scratch(spark)).collect()) for n in (1, 3, 7)}
+    assert len(picked) == 1 and len(picked.pop()) == 1
     nulls = spark.createDataFrame([(None, "m n o"), (None, "m n o"), (None, "p q r")], "doc_id long, text string")
     assert simhash.one_per_group(nulls, Scratch(spark)).count() == 2
     assert {r.component_id for r in simhash.near_duplicates(nulls, Scratch(spark)).collect()} == {None}

@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.llm.common import read
+from tidemark.llm.common import fresh, read
 
 UNKNOWN = "und"
 SYMBOLS = 64
@@ -186,21 +187,20 @@ def identify(docs: DataFrame, samples: Samples, keep: list[str], text: str = "te
     language first in the alphabet; score is 1 - fewest / second fewest phrases. The
     samples travel with the task; each worker builds the automata once.
     """
-    from pyspark.sql.types import StructType
-
+    body = fresh("text")
     out = StructType(list(docs.select(*keep).schema.fields)).add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(samples)
         for batch in batches:
-            langs, scores = model.predict(batch["_text"].to_pylist())
+            langs, scores = model.predict(batch[body].to_pylist())
             columns = [batch[name] for name in keep]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 [*keep, "lang_pred", "score"],
             )
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, out)
+    return docs.select(*keep, F.col(text).alias(body)).mapInArrow(run, out)
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,4 +25,4 @@ QUERIES = {
     "op9_decontamination": decontam.op9_decontamination,
     "op10_secret_scans": secrets.op10_secret_scans,
 }
-ORACLES: dict[str, str] = {"op4_url_filter": urlfilter.ORACLE}
+ORACLES: dict[str, str] = {"op4_url_filter": urlfilter.ORACLE, "op5_warc": warc.ORACLE}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from itertools import combinations
 
@@ -97,21 +98,21 @@ def links(fingerprints: DataFrame, radius: int = 2, pivots: int = 8) -> DataFram
 
 
 def near_duplicates(
-    docs: DataFrame, scratch: Scratch, words: int = 3, radius: int = 2, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, scratch: Scratch, words: int = 3, radius: int = 2, key: Sequence[str] = ("doc_id", "text")
 ) -> DataFrame:
     """(doc_id, k1, k2, fp, root, component_id), one row per row of `docs`.
 
     component_id is the smallest doc_id reachable over links of at most `radius` bits. A
     null or empty text has fingerprint zero and is linked like any other; repeated rows
     stay repeated; a null doc_id is kept and is never a component_id unless no member has
-    an id. (k1, k2) names the row by its id and text, root the component by a fingerprint. Equal fingerprints are one node, so
+    an id. (k1, k2) names the row by its `key` columns, root the component by a fingerprint. Equal fingerprints are one node, so
     a group of copies of any size costs one row in the pair search.
     """
     prints = scratch.stage(
         docs.select(
-            F.col(doc_id).alias("doc_id"),
-            *row_key(doc_id, text),
-            fingerprint(F.col(text), words).alias("fp"),
+            "doc_id",
+            *row_key(*key),
+            fingerprint(F.col("text"), words).alias("fp"),
         ),
         "fingerprints",
     )
@@ -125,20 +126,24 @@ def near_duplicates(
     return prints.join(member, "fp").select("doc_id", "k1", "k2", "fp", "root", "component_id")
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    return [F.xxhash64(doc_id, text).alias("k1"), F.hash(text, doc_id).alias("k2")]
+def row_key(*columns: str) -> list[Column]:
+    """Two hashes of the columns (by default id and text) that together name a row."""
+    named = [F.col(f"`{c}`") for c in columns or ("doc_id", "text")]
+    return [F.xxhash64(*named).alias("k1"), F.hash(*reversed(named)).alias("k2")]
 
 
 def one_per_group(docs: DataFrame, scratch: Scratch, words: int = 3, radius: int = 2) -> DataFrame:
     """One row of `docs` per component: of its smallest doc_id; of rows that repeat that id,
-    the one with the smallest row key. Same columns as `docs`."""
+    the one with the smallest row key over all columns (maps, which have no hash, aside).
+    Same columns as `docs`."""
+    key = [f.name for f in docs.schema.fields if not f.dataType.typeName().startswith("map")]
     k1, k2 = fresh("k1"), fresh("k2")
-    member = near_duplicates(docs, scratch, words, radius)
+    member = near_duplicates(docs, scratch, words, radius, key)
     kept = member.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("first")
     )
     kept = kept.select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
-    keyed = docs.select("*", *(c.alias(n) for c, n in zip(row_key(), (k1, k2))))
+    keyed = docs.select("*", *(c.alias(n) for c, n in zip(row_key(*key), (k1, k2))))
     return keyed.join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*docs.columns)
 
 

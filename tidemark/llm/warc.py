@@ -276,3 +276,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to an archive and read back over its index."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return look_up(pages, write(pages, Scratch(spark)))
+
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ORACLE = f"""
+WITH own AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+firsts AS (SELECT digest, min(page_id) AS first FROM own GROUP BY digest)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+       -- five hexadecimal digits are four of base 32
+       array_to_string([substr('{BASE32}', CAST(
+         ((CAST('0x' || substr(digest, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT)
+           >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS INTEGER), 1) for i in range(32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM own JOIN firsts USING (digest)"""
