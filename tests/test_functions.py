@@ -27,6 +27,16 @@ def one(spark, column, value, kind="string"):
         (None, ""),
         ("", ""),
         ("not-a-date", "not-a-date"),
+        ("20231115T143000Z", "2023-11-15T14:30:00+00:00"),
+        ("20231115T1430+0530", "2023-11-15T14:30:00+05:30"),
+        ("20231115", "2023-11-15T00:00:00"),
+        ("20231315", "20231315"),
+        ("2023-W46-3", "2023-11-15T00:00:00"),
+        ("2023W463T14:30:00Z", "2023-11-15T14:30:00+00:00"),
+        ("2020-W53", "2020-12-28T00:00:00"),
+        ("2023-W53-1", "2023-W53-1"),
+        ("2023-W00", "2023-W00"),
+        ("20231115143000", "20231115143000"),
     ],
 )
 def test_iso_normalized(spark, given, expected):

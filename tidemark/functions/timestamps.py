@@ -24,18 +24,44 @@ FILL_IN = [
 ]
 
 
+# Forms without separators, rewritten to those with.
+SPREAD = [
+    (r"^(\d{4})(\d{2})(\d{2})(?=$|\D)", "$1-$2-$3"),
+    (rf"^({DATE}\D)(\d{{2}})(\d{{2}})(\d{{2}})(?=$|\D)", "$1$2:$3:$4"),
+    (rf"^({DATE}\D)(\d{{2}})(\d{{2}})(?=$|\D)", "$1$2:$3"),
+]
+WEEK = r"^(\d{4})(?:-W(\d{2})(?:-([1-7]))?|W(\d{2})([1-7])?)(?=$|\D)"
+
+
+def _week_as_date(value: Column) -> Column:
+    """Week dates as calendar dates; weeks that a year does not have stay as they are."""
+    part = lambda i: F.regexp_extract(value, WEEK, i)
+    year = part(1).try_cast("int")
+    week = F.concat(part(2), part(4)).try_cast("int")
+    day = F.coalesce(F.concat(part(3), part(5)).try_cast("int"), F.lit(1))
+    fourth = F.make_date(year, F.lit(1), F.lit(4))
+    monday = F.date_sub(fourth, F.weekday(fourth))
+    date = F.date_add(monday, (week - 1) * 7 + day - 1)
+    rest = F.regexp_replace(value, WEEK, "")
+    real = value.rlike(WEEK) & (week > 0) & (F.weekofyear(date) == week)
+    return F.when(real, F.concat(date.cast("string"), rest)).otherwise(value)
+
+
 def iso_normalized(value: Column) -> Column:
     """Z becomes +00:00 and missing parts are filled; text that is no timestamp stays."""
     zoned = F.replace(value, F.lit("Z"), F.lit("+00:00"))
-    filled = zoned
+    spread = _week_as_date(value)
+    for pattern, replacement in SPREAD:
+        spread = F.regexp_replace(spread, F.lit(pattern), F.lit(replacement))
+    filled = F.replace(spread, F.lit("Z"), F.lit("+00:00"))
     for pattern, replacement in FILL_IN:
         filled = F.regexp_replace(filled, F.lit(pattern), F.lit(replacement))
-    real_date = value.rlike(rf"^{DATE}") & F.substring(value, 1, 10).try_cast("date").isNotNull()
+    real_date = lambda v: v.rlike(rf"^{DATE}") & F.substring(v, 1, 10).try_cast("date").isNotNull()
     return (
         F.when(F.coalesce(value, F.lit("")) == "", F.lit(""))
-        .when(~real_date, value)
-        .when(F.length(value) == 10, F.concat(value, F.lit("T00:00:00")))
-        .when(value.rlike(PLAIN), zoned)
+        .when(value.rlike(PLAIN) & real_date(value), zoned)
+        .when(~real_date(spread), value)
+        .when(F.length(spread) == 10, F.concat(spread, F.lit("T00:00:00")))
         .otherwise(F.coalesce(F.nullif(F.regexp_extract(filled, NORMAL, 0), F.lit("")), value))
     )
 

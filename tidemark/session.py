@@ -24,6 +24,8 @@ DEFAULTS = {
     # Mapping projections are wide; methods above this size are never compiled by the JVM,
     # so split them instead of fusing them.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Mappers build thousands of expressions; their call sites cost more than building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
