@@ -16,8 +16,10 @@ from tidemark.operators import downloads, inventory, queues, validate
 from tidemark.operators.downloads import DownloadFilters
 from tidemark.operators.mapping import REJECT_REASON, map_entities, split_mapped
 from tidemark.operators.merge import latest_per_key, patch, upsert
+from tidemark.operators.notes import inline_attachments
 from tidemark.operators.specs import LOAD_ORDER, EntitySpec
-from tidemark.session import stage
+from tidemark.session import folders_in, remove, stage
+from tidemark.sources.pages import child_nodes
 
 
 class MapPass(NamedTuple):
@@ -50,12 +52,18 @@ def map_pass(
     )
 
 
+# Connection of a node that lists its files.
+ATTACHMENTS = "noteAttachments"
+
+
 class ExtractPass(NamedTuple):
     queue: DataFrame
     stored: DataFrame
     outcomes: DataFrame
     summary: DataFrame
     discrepancies: DataFrame
+    attachments: DataFrame | None = None
+    attachment_queue: DataFrame | None = None
 
 
 def extract_pass(
@@ -68,13 +76,16 @@ def extract_pass(
     types: Sequence[str] | None = None,
     snapshot_id: str | None = None,
     snapshots: DataFrame | None = None,
+    attachments: DataFrame | None = None,
+    attachment_queue: DataFrame | None = None,
 ) -> ExtractPass:
     """Queue the inventory, map the nodes of queued work, store them, settle the queue.
 
     `nodes` has entity_id, a sequence column `seq` and the node; only the newest node
     of each queued id is mapped, and mapped once. The pass works on one snapshot: rows of
     others stay as they are. With `snapshots`, an unknown snapshot and kinds it does not
-    hold are refused.
+    hold are refused. With `attachments` and `attachment_queue`, files listed in accepted
+    nodes are stored as metadata and queued for download.
     """
     if snapshots is not None and snapshot_id is not None:
         types = inventory.snapshot_kinds(snapshots, snapshot_id, types)
@@ -91,13 +102,23 @@ def extract_pass(
     settled = stage(
         queues.apply_results(queued, outcomes, queues.EXTRACT_KEY, as_of), "queue"
     )
-    accepted = split_mapped(mapped).accepted.drop("entity_id")
+    accepted = split_mapped(mapped).accepted
+    if attachments is not None and attachment_queue is not None:
+        parents = newest.join(accepted.select("entity_id"), "entity_id", "left_semi")
+        files = inline_attachments(child_nodes(parents, ATTACHMENTS, "entity_id"), "entity_id").accepted
+        files = stage(files, "attachments")
+        attachments = upsert(attachments, files.drop("entity_id", "orphaned"), ["id"], ["note_id"])
+        attachment_queue = queues.queue_attachments(
+            attachment_queue, files, snapshot_id or "", as_of, spec.root
+        )
     return ExtractPass(
         settled,
-        upsert(stored, accepted, ["id"], ["seq"]),
+        upsert(stored, accepted.drop("entity_id"), ["id"], ["seq"]),
         outcomes,
         queues.status_matrix(settled, snapshot_id=snapshot_id),
         validate.completeness(snapshot_inventory, settled, snapshot_id=snapshot_id),
+        attachments,
+        attachment_queue,
     )
 
 
@@ -191,6 +212,39 @@ def load_in_order(
     return outcome
 
 
+def migrate(
+    spark: SparkSession, mapped: Mapping[str, Callable[[], DataFrame]], target: str
+) -> DataFrame:
+    """A whole run: every kind's mapped rows upserted by id below `target`, parents first.
+
+    `mapped` gives per table name the mapped rows with their reject reasons. A kind that
+    fails keeps its stored table and does not stop the others. One summary row per kind:
+    rows delivered, rows stored afterwards, rows refused, and the error, blank if none.
+    """
+    counts: dict[str, tuple[int, int, int]] = {}
+
+    def loader(name: str) -> Callable[[], None]:
+        def run() -> None:
+            rows = stage(mapped[name](), f"mapped-{name}")
+            accepted = split_mapped(rows).accepted
+            known = [f for f in folders_in(spark, target) if f.rsplit("/", 1)[-1] == name]
+            stored = spark.read.parquet(known[0]) if known else spark.createDataFrame([], accepted.schema)
+            state = stage(upsert(stored, accepted, ["id"], ["id"]), f"state-{name}")
+            state.write.mode("overwrite").parquet(f"{target}/{name}")
+            delivered, kept = rows.count(), accepted.count()
+            counts[name] = (delivered, state.count(), delivered - kept)
+            for frame in (rows, state):
+                remove(spark, frame.inputFiles()[0].rsplit("/", 1)[0]) if frame.inputFiles() else None
+
+        return run
+
+    outcome = load_in_order({name: loader(name) for name in mapped})
+    rows = [(name, *counts.get(name, (0, 0, 0)), error) for name, error in outcome.items()]
+    return spark.createDataFrame(
+        rows, "table_name string, delivered bigint, stored bigint, refused bigint, error string"
+    )
+
+
 def reject_counts(mapped: DataFrame, kind: str) -> DataFrame:
     """Refused nodes per reason."""
     return (

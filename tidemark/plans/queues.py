@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import queues
-from tidemark.operators.mapping import map_entities
+from tidemark.operators.mapping import map_attachments, map_entities
+from tidemark.operators.merge import evolve
 from tidemark.operators.specs import SPECS
-from tidemark.plans.packing import invoice_nodes
+from tidemark.plans.packing import attachment_nodes, invoice_nodes
 from tidemark.plans.pipelines import ExtractPass, extract_pass
-from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, iso_text, key_text, query
+from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, iso_text, json_of, key_text, pack, query
 from tidemark.sources.pages import lookup_nodes, single_nodes
 
 STATUS_SQL = "CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'F' THEN 'failed' ELSE 'done' END"
@@ -251,6 +252,51 @@ def extract_pass_stored(spark: SparkSession, folder: str) -> DataFrame:
     return _invoice_extract(spark, folder).stored.select("id", "client_id", "total_cents")
 
 
+@query(
+    "extract_pass_attachments",
+    f"""
+    SELECT o_orderkey || '-file' AS attachment_id, 'invoices' AS parent_type, CAST(o_orderkey AS VARCHAR) AS parent_id,
+           '{SNAPSHOT}' AS map_snapshot_id, 'pending' AS status, 'invoice_' || o_orderkey || '_note_1' AS note_id
+    FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'known', 'invoices', '7', '{SNAPSHOT}', 'done', 'invoice_7_note_1'
+    """,
+)
+def extract_pass_attachments(spark: SparkSession, folder: str) -> DataFrame:
+    """Failed orders list one file in their node; a known file keeps its queue status."""
+    t = Tables(spark, folder)
+    spec, key = SPECS["invoice"], key_text("o_orderkey")
+    snapshot = order_queue(t).withColumn("entity_type", F.lit(spec.root)).select(*queues.EXTRACT_KEY)
+    note = F.struct(F.concat(F.lit("invoice_"), key, F.lit("_note_1")).alias("id"))
+    file = F.struct(F.concat(key, F.lit("-file")).alias("id"), F.lit("order.txt").alias("fileName"), note.alias("note"))
+    edges = F.when(F.col("o_orderstatus") == "F", F.array(F.struct(file.alias("node"))))
+    text = json_of(
+        key.alias("id"),
+        F.struct(key_text("o_custkey").alias("id")).alias("client"),
+        F.struct(edges.alias("edges")).alias("noteAttachments"),
+    )
+    nodes = pack(t.orders, text, key.alias("entity_id"), key.alias("seq"))
+    stored = spark.createDataFrame([], map_entities(nodes, spec).drop("reject_reason").schema)
+    files = map_attachments(attachment_nodes(t)).drop("reject_reason")
+    known = spark.createDataFrame(
+        [("known", "invoices", "7", "done", 0, None, SNAPSHOT, AS_OF)], queues.ATTACHMENT_SCHEMA
+    )
+    row = spark.createDataFrame([("known", "invoice_7_note_1")], "id string, note_id string")
+    result = extract_pass(
+        snapshot,
+        spark.createDataFrame([], queues.EXTRACT_SCHEMA),
+        stored,
+        nodes,
+        spec,
+        AS_OF,
+        snapshot_id=SNAPSHOT,
+        attachments=evolve(row, files.schema),
+        attachment_queue=known,
+    )
+    metadata = result.attachments.select(F.col("id").alias("attachment_id"), "note_id")
+    queued = result.attachment_queue.select("attachment_id", "parent_type", "parent_id", "map_snapshot_id", "status")
+    return queued.join(metadata, "attachment_id")
+
+
 @query(
     "extract_pass_discrepancies",
     """
