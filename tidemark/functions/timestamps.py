@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,22 +49,48 @@ def _week_as_date(value: Column) -> Column:
     return F.when(real, F.concat(date.cast("string"), rest)).otherwise(value)
 
 
-def iso_normalized(value: Column) -> Column:
-    """Z becomes +00:00 and missing parts are filled; text that is no timestamp stays."""
-    zoned = F.replace(value, F.lit("Z"), F.lit("+00:00"))
-    spread = _week_as_date(value)
+def _real_date(value: Column) -> Column:
+    return value.rlike(rf"^{DATE}") & F.substring(value, 1, 10).try_cast("date").isNotNull()
+
+
+def _bound(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """`rule` of a value that is worked out once. It runs outside generated code, which
+    keeps the code of a mapper with many timestamps small."""
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
+
+
+def _spread(value: Column) -> Column:
     for pattern, replacement in SPREAD:
-        spread = F.regexp_replace(spread, F.lit(pattern), F.lit(replacement))
-    filled = F.replace(spread, F.lit("Z"), F.lit("+00:00"))
+        value = F.regexp_replace(value, F.lit(pattern), F.lit(replacement))
+    return value
+
+
+def _filled_in(value: Column) -> Column:
+    value = F.replace(value, F.lit("Z"), F.lit("+00:00"))
     for pattern, replacement in FILL_IN:
-        filled = F.regexp_replace(filled, F.lit(pattern), F.lit(replacement))
-    real_date = lambda v: v.rlike(rf"^{DATE}") & F.substring(v, 1, 10).try_cast("date").isNotNull()
+        value = F.regexp_replace(value, F.lit(pattern), F.lit(replacement))
+    return F.nullif(F.regexp_extract(value, NORMAL, 0), F.lit(""))
+
+
+def _loose(value: Column) -> Column:
+    """Any form but the plain one; text that is no timestamp stays."""
+
+    def finish(spread: Column) -> Column:
+        return (
+            F.when(~_real_date(spread), value)
+            .when(F.length(spread) == 10, F.concat(spread, F.lit("T00:00:00")))
+            .otherwise(F.coalesce(_filled_in(spread), value))
+        )
+
+    return _bound(_spread(_week_as_date(value)), finish)
+
+
+def iso_normalized(value: Column) -> Column:
+    """Z becomes +00:00 and missing parts are filled; text that is no timestamp stays."""
     return (
         F.when(F.coalesce(value, F.lit("")) == "", F.lit(""))
-        .when(value.rlike(PLAIN) & real_date(value), zoned)
-        .when(~real_date(spread), value)
-        .when(F.length(spread) == 10, F.concat(spread, F.lit("T00:00:00")))
-        .otherwise(F.coalesce(F.nullif(F.regexp_extract(filled, NORMAL, 0), F.lit("")), value))
+        .when(value.rlike(PLAIN) & _real_date(value), F.replace(value, F.lit("Z"), F.lit("+00:00")))
+        .otherwise(_bound(value, _loose))
     )
 
 
