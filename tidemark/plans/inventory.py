@@ -12,6 +12,7 @@ from tidemark.operators.reports import map_report
 from tidemark.operators.specs import SPECS
 from tidemark.plans.packing import light_customers, light_orders
 from tidemark.plans.pipelines import MapPass, map_pass
+from tidemark.plans.mappers import NODES
 from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, iso_text, key_text, query
 
 CUSTOMER_TOTALS = """
@@ -256,12 +257,27 @@ def json_map_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Kinds without relations in the given tables, by the table they are packed from.
+PLAIN_KINDS = {
+    "invoices": "orders",
+    "jobs": "orders",
+    "properties": "customer",
+    "requests": "events",
+    "users": "supplier",
+    "expenses": "lineitem",
+    "visits": "lineitem",
+    "timeSheetEntries": "events",
+    "productsAndServices": "part",
+    "taxRates": "nation",
+}
+
+
 def _map_pass(spark: SparkSession, folder: str) -> MapPass:
+    """All twelve kinds; clients and quotes carry relations."""
     t = Tables(spark, folder)
-    kinds = {
-        "clients": (SPECS["client"], light_customers(t)),
-        "quotes": (SPECS["quote"], light_orders(t)),
-    }
+    kinds = {kind: (SPECS[kind], nodes(t)) for kind, nodes in NODES.items()}
+    kinds["client"] = (SPECS["client"], light_customers(t))
+    kinds["quote"] = (SPECS["quote"], light_orders(t))
     return map_pass(spark, kinds, SNAPSHOT, AS_OF)
 
 
@@ -281,7 +297,10 @@ MAPPED = """
     SELECT entity_type, count(*) AS total_entities, avg(k) AS avg_relations, max(k) AS max_relations,
            count(*) FILTER (k > 0) AS entities_with_relations
     FROM ({MAPPED}) GROUP BY 1
-    """,
+    """
+    + "".join(
+        f" UNION ALL SELECT '{kind}', count(*), 0.0::DOUBLE, 0, 0 FROM {table}" for kind, table in PLAIN_KINDS.items()
+    ),
 )
 def map_pass_density(spark: SparkSession, folder: str) -> DataFrame:
     return _map_pass(spark, folder).density
@@ -292,9 +311,10 @@ def map_pass_density(spark: SparkSession, folder: str) -> DataFrame:
     f"""
     SELECT entity_type, entity_id, k AS total_relations,
            CAST(row_number() OVER (PARTITION BY entity_type ORDER BY k DESC, entity_id) AS INTEGER) AS rank
-    FROM ({MAPPED}) QUALIFY rank <= 10
+    FROM ({MAPPED}) WHERE k > 0 QUALIFY rank <= 10
     """,
 )
 def map_pass_hotspots(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _map_pass(spark, folder).hotspots
+    """Of the kinds whose records have relations at all."""
+    rows = _map_pass(spark, folder).hotspots.where("total_relations > 0")
     return rows.select("entity_type", "entity_id", "total_relations", "rank")
