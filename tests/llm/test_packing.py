@@ -63,8 +63,7 @@ def test_pieces_rebuild_the_documents(spark, tmp_path):
     assert len(by_sequence) == max(by_sequence) + 1
 
 
-def test_salted_ranks_and_an_empty_table(spark, monkeypatch):
-    monkeypatch.setattr(packing, "ROWS_PER_SALT", 7)
+def test_ranks_of_one_length_and_an_empty_table(spark):
     docs = spark.createDataFrame([(i, "same text") for i in range(100)], "doc_id long, text string")
     got = packing.packed(docs, Scratch(spark), 8).collect()
     assert len({(r.sequence_id, r.offset) for r in got}) == len(got) == 100

@@ -6,6 +6,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from math import isqrt
 
 import numpy as np
 import public_tokenizers
@@ -18,7 +19,6 @@ from tidemark.llm.common import Scratch, read, text_or_empty
 # The vocabulary of byte_bpe_50k.json as ranks; ids are the same, encoding is six times faster.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_TEXT, END_TEXT_ID, STOP_ID = "<|endoftext|>", 50256, 0
-ROWS_PER_SALT = 50_000
 
 
 @lru_cache(maxsize=2)
@@ -97,14 +97,16 @@ def packed(docs: DataFrame, scratch: Scratch, limit: int = 1024, vocabulary: str
     """`pieces` with the sequence and offset that each gets.
 
     A piece's rank among those of its length is the count in the salts before its own plus
-    its place in its salt, so a length that a third of all rows share is no single group.
+    its place in its salt, so a length that a third of all rows share is no single group:
+    n pieces have some sqrt(n) salts.
     The driver sees the histogram (at most `limit` rows), the tasks see the patterns
     (bounded by `limit` as well). Repeated rows are packed each on its own; an empty
     table gives no rows; only doc_id and text are read.
     """
     spark = docs.sparkSession
     cut = scratch.stage(pieces(docs, limit, vocabulary), "pieces")
-    salts = cut.count() // ROWS_PER_SALT + 1
+    # As many salts as a salt of one length can have rows: neither side grows faster.
+    salts = isqrt(cut.count()) + 1
     cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)))
     counts = scratch.stage(cut.groupBy("length", "salt").agg(F.count("*").alias("n")), "counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
