@@ -16,10 +16,13 @@ ISSUE_COLUMNS = ["severity", "category", "table", "field", "count"]
 
 @dataclass(frozen=True)
 class ForeignKey:
+    """`unique` says that a parent has one row per key; others are reduced to their keys."""
+
     child: str
     column: str
     parent: str
     parent_key: str = "id"
+    unique: bool = True
 
 
 # The checks of the business tables.
@@ -86,7 +89,8 @@ def _issues(counts: DataFrame, category: str) -> DataFrame:
 
 def _orphans(tables: Mapping[str, DataFrame], rule: ForeignKey, blank_is_null: bool) -> DataFrame:
     values = tables[rule.child].select(F.col(rule.column).alias("value"))
-    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value")).distinct()
+    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value"))
+    keys = keys if rule.unique else keys.distinct()
     if values.schema["value"].dataType != keys.schema["value"].dataType:
         values, keys = (df.select(F.col("value").cast("string")) for df in (values, keys))
     values = values.where("value is not null")

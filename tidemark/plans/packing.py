@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import Tables, epoch_seconds, iso_text, json_of, key_text, pack
+from tidemark.sources.tables import dealt
 
 
 def quoted(column: str | Column) -> Column:
@@ -89,7 +90,7 @@ def client_nodes(t: Tables) -> DataFrame:
         ),
         F.lit("2024-01-05T10:00:00Z").alias("createdAt"),
     )
-    return pack(t.customer, text)
+    return pack(dealt(t.customer), text)
 
 
 def _order_lines() -> Column:
@@ -125,7 +126,7 @@ def invoice_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("message"),
         _order_lines().alias("lineItems"),
     )
-    return pack(t.orders, text)
+    return pack(dealt(t.orders), text)
 
 
 def quote_nodes(t: Tables) -> DataFrame:
@@ -149,7 +150,7 @@ def quote_nodes(t: Tables) -> DataFrame:
         quoted("o_orderpriority"),
         iso_text("o_orderdate"),
     )
-    return pack(t.orders, text)
+    return pack(dealt(t.orders), text)
 
 
 def job_nodes(t: Tables) -> DataFrame:
@@ -168,7 +169,7 @@ def job_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("jobType"),
         F.col("o_totalprice").alias("invoicedTotal"),
     )
-    return pack(t.orders, text)
+    return pack(dealt(t.orders), text)
 
 
 def property_nodes(t: Tables) -> DataFrame:
@@ -192,7 +193,7 @@ def property_nodes(t: Tables) -> DataFrame:
         F.col("c_nationkey").alias("routingOrder"),
         F.lit("2024-01-05T10:00:00.250-05:00").alias("createdAt"),
     )
-    return pack(t.customer, text)
+    return pack(dealt(t.customer), text)
 
 
 def request_nodes(t: Tables) -> DataFrame:
@@ -204,7 +205,7 @@ def request_nodes(t: Tables) -> DataFrame:
         F.lit(None).cast("string").alias("requestStatus"),
         iso_text("ts").alias("createdAt"),
     )
-    return pack(t.events, text)
+    return pack(dealt(t.events), text)
 
 
 def user_nodes(t: Tables) -> DataFrame:
@@ -218,7 +219,7 @@ def user_nodes(t: Tables) -> DataFrame:
         F.col("s_nationkey").alias("availableForScheduling"),
         F.lit("2024-01-05").alias("lastLoginAt"),
     )
-    return pack(t.supplier, text)
+    return pack(dealt(t.supplier), text)
 
 
 def line_id() -> Column:
@@ -234,7 +235,7 @@ def expense_nodes(t: Tables) -> DataFrame:
         iso_text("l_shipdate").alias("date"),
         ref(F.col("l_suppkey")).alias("enteredBy"),
     )
-    return pack(t.lineitem, text)
+    return pack(dealt(t.lineitem), text)
 
 
 def visit_nodes(t: Tables) -> DataFrame:
@@ -256,7 +257,7 @@ def visit_nodes(t: Tables) -> DataFrame:
         F.struct(key_text("l_suppkey").alias("id")).alias("completedBy"),
         iso_text("l_shipdate").alias("startAt"),
     )
-    return pack(t.lineitem, text)
+    return pack(dealt(t.lineitem), text)
 
 
 def timesheet_nodes(t: Tables) -> DataFrame:
@@ -270,7 +271,7 @@ def timesheet_nodes(t: Tables) -> DataFrame:
         F.when(F.col("event_type") != "view", F.col("value") > 50).alias("approved"),
         iso_text("ts").alias("startAt"),
     )
-    return pack(t.events, text)
+    return pack(dealt(t.events), text)
 
 
 def product_nodes(t: Tables) -> DataFrame:
@@ -290,12 +291,12 @@ def product_nodes(t: Tables) -> DataFrame:
         F.when(plain, F.lit("true")).otherwise(F.lit("null")),
         key_text("p_size"),
     )
-    return pack(t.part, text)
+    return pack(dealt(t.part), text)
 
 
 def tax_rate_nodes(t: Tables) -> DataFrame:
     text = json_of(key_text("n_nationkey").alias("id"), F.col("n_name").alias("name"))
-    return pack(t.nation, text)
+    return pack(dealt(t.nation), text)
 
 
 def turn_id() -> Column:

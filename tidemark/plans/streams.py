@@ -37,7 +37,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     for _ in range(2):  # the second start goes on from the cursor and finds nothing
-        stream = feed.page_stream(spark, source, "requests", files_per_batch=2)
+        stream = feed.page_stream(spark, source, "requests", files_per_batch=4)
         feed.upsert_stream(stream, target, checkpoint, ["client_id"], ["page", "pos"], rows).awaitTermination()
     return feed.current_state(spark, target, ["client_id"], ["page", "pos"]).drop("page", "pos")
 

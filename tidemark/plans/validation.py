@@ -21,7 +21,7 @@ KEYS = [
     ForeignKey("lineitem", "l_orderkey", "orders", "o_orderkey"),
     ForeignKey("lineitem", "l_partkey", "part", "p_partkey"),
     ForeignKey("lineitem", "l_suppkey", "supplier", "s_suppkey"),
-    ForeignKey("orders", "o_orderkey", "lineitem", "l_orderkey"),
+    ForeignKey("orders", "o_orderkey", "lineitem", "l_orderkey", unique=False),
     ForeignKey("events", "user_id", "customer", "c_custkey"),
     ForeignKey("documents", "doc_id", "labels", "doc_id"),
     ForeignKey("labels", "doc_id", "documents", "doc_id"),

@@ -12,6 +12,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# Session setting: number of partitions to deal scans to before work that costs CPU per row.
+SCAN_PARTITIONS = "spark.tidemark.scan.partitions"
+
+
+def dealt(scan: DataFrame) -> DataFrame:
+    """The scan, dealt to as many partitions as SCAN_PARTITIONS says; as it is where unset.
+
+    For inputs in fewer row groups than cores, which no split size can divide. It shuffles
+    the input, so it is a choice of the session and never made by size.
+    """
+    partitions = scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan.repartition(int(partitions)) if partitions else scan
+
+
 def keyset_page(df: DataFrame, key: str, after: object | None, size: int) -> DataFrame:
     """The `size` rows that follow `after`; the last key of a page starts the next one."""
     rows = df if after is None else df.where(F.col(key) > F.lit(after))
