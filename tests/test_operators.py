@@ -360,3 +360,30 @@ def test_issues_count_skipped_notes(spark):
     skipped = spark.createDataFrame([("p1",), ("p3",), ("p3",)], "parent string")
     issues = notes.orphan_issues(files, "client", "parent", skipped)
     assert rows(notes.issue_summary(issues)) == [(3, 2, 3)]
+
+
+def test_snapshot_by_id_or_label(spark):
+    from tidemark.sources.tables import snapshot_named
+
+    snapshots = spark.createDataFrame([("s1", "s2"), ("s2", "first"), ("s3", "first")], "id string, label string")
+    assert [r.id for r in snapshot_named(snapshots, "s2").collect()] == ["s2"]
+    assert [r.id for r in snapshot_named(snapshots, "first").collect()] == ["s2"]
+    assert snapshot_named(snapshots, "none").count() == 0
+
+
+def test_scans_are_dealt_only_where_asked(spark):
+    from tidemark.sources.tables import SCAN_PARTITIONS, dealt
+
+    scan = spark.range(10).coalesce(1)
+    assert dealt(scan) is scan
+    spark.conf.set(SCAN_PARTITIONS, "3")
+    assert dealt(scan).rdd.getNumPartitions() == 3
+    spark.conf.unset(SCAN_PARTITIONS)
+
+
+def test_known_and_new_keys(spark):
+    base = spark.createDataFrame([("a",), ("a",), ("b",)], "id string")
+    wanted = spark.createDataFrame([("a", 1), ("c", 2)], "id string, n int")
+    assert rows(merge.existing_keys(base, wanted, ["id"])) == [("a", 1)]
+    assert rows(merge.new_rows(base, wanted, ["id"])) == [("c", 2)]
+    assert rows(merge.with_known(base, wanted, ["id"], "known")) == [("a", 1, True), ("c", 2, False)]

@@ -80,17 +80,6 @@ def filter_work(work: DataFrame, filters: DownloadFilters) -> DataFrame:
     )
 
 
-def missing_attachments(work: DataFrame) -> DataFrame:
-    """Failure results for items whose attachment is unknown."""
-    return work.where(~F.col("found")).select(
-        "attachment_id",
-        "map_snapshot_id",
-        F.lit(False).alias("success"),
-        F.concat(F.lit("Attachment not found: "), F.col("attachment_id")).alias("error"),
-        F.lit(0).cast("bigint").alias("bytes"),
-    )
-
-
 def store_contents(files: DataFrame, content: str = "content", name: str = "file_name") -> DataFrame:
     """Hash of each file and the name it is stored under."""
     digest = content_hash(F.col(content))
