@@ -80,3 +80,30 @@ def test_clean_rows_stay_as_they_are(spark):
     assert leaked == {r[2] for r in table if any(brute(r[1], t) >= 0.8 for t in items if len(r[1] or "") < 5000 or t == items[3])}
     assert decontam.without_leaks(df.limit(0), benchmark, Scratch(spark)).count() == 0
     assert decontam.without_leaks(df, benchmark.limit(0), Scratch(spark)).count() == len(texts)
+
+
+def found(spark, tmp_path, docs, items):
+    """(doc, item) -> similarity by position, of the query and of brute force."""
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontam.op9_decontamination(spark, str(tmp_path)).collect()}
+    values = {(i, j): round(brute(d, t), 9) for i, d in enumerate(docs) for j, t in enumerate(items)}
+    return got, {k: v for k, v in values.items() if v >= 0.8}
+
+
+def test_windows_start_wherever_they_hold_a_probe(spark, tmp_path):
+    rng = random.Random(2)
+    prose = lambda n: [f"w{rng.randrange(3000)}x" for _ in range(n)]
+    docs, items = [], []
+    for _ in range(8):
+        # A phrase said nine times: the places of the distinct shingles are not those of the words.
+        item = prose(5) * 9 + prose(65)
+        docs.append(" ".join(prose(150) + item + prose(90)))
+        items.append(" ".join(item))
+        # Sets have no order: the halves change places.
+        item = prose(60)
+        docs.append(" ".join(prose(70) + item[30:] + item[:30] + prose(20)))
+        items.append(" ".join(item))
+    got, want = found(spark, tmp_path, docs, items)
+    assert len(want) == 16 and min(want.values()) < 1
+    assert got == want

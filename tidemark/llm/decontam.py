@@ -15,6 +15,7 @@ SHINGLE = 5
 RADIUS = 11
 BLOCKS, BLOCK_BITS = 4, 16
 BROADCAST_ROWS = 1_000_000
+CHUNK = 64
 
 
 def words_of(text: Column) -> Column:
@@ -65,7 +66,8 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
 
     A window as similar as the threshold shares at least that part of the item's weight.
     So of any shingles that weigh more than the rest of it, it has one: the item's rarest
-    are taken until what is left weighs less than the threshold.
+    are taken until what is left weighs less than the threshold. Half a letter is added
+    against rounding: a shingle too many is no loss.
     """
     items = benchmark.select("item_id", words_of(text_or_empty()).alias("words")).filter(F.size("words") > 0)
     items = items.select("item_id", "words", word_hashes(F.col("words")).alias("hashed"))
@@ -75,19 +77,17 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
         shingles(F.col("words"), F.col("hashed")).alias("item_shingles"),
         simhash(F.col("hashed")).alias("item_print"),
     )
-    parts = items.select("item_id", "size", F.posexplode("item_shingles").alias("at", "s")).select(
-        "item_id", "size", "at", "s.h", "s.w"
-    )
+    parts = items.select("item_id", "size", F.explode("item_shingles").alias("s")).select("item_id", "size", "s.h", "s.w")
     rarity = parts.groupBy("h").agg(F.countDistinct("item_id").alias("items"))
-    rarest = Window.partitionBy("item_id").orderBy("items", F.desc("w"), "h", "at")
+    rarest = Window.partitionBy("item_id").orderBy("items", F.desc("w"), "h")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("item_id")
     probes = (
         parts.join(rarity, "h")
         .withColumn("taken", F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("total", F.sum("w").over(whole))
-        .filter(F.col("taken") <= F.col("total") * (1 - threshold))
-        .select("h", "size", "at")
+        .filter(F.col("taken") <= F.col("total") * (1 - threshold) + 0.5)
+        .select("h", "size")
         .distinct()
     )
     return items, probes
@@ -112,9 +112,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     and item, where it is as similar as `threshold` on weighted five-word shingles.
 
     Windows have the item's number of words, or all words of a shorter document. They are
-    taken wherever the document has one of the item's probe shingles, aligned as in the item
-    or shifted by as much as the threshold allows: one without any is below the threshold. Windows and items meet over blocks
-    of their SimHashes, which finds all within RADIUS bits, and are then compared exactly.
+    taken at every start from which they hold one of the item's probe shingles: one without
+    any is below the threshold. Windows and items meet over blocks of their SimHashes, which
+    finds all within RADIUS bits, and are then compared exactly.
     Null and empty texts, and items without words, match nothing. Repeated rows share one
     (k1, k2). Extra columns are not read.
     """
@@ -128,31 +128,39 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     hashed = texts.select("k1", "k2", word_hashes(F.col("words")).alias("hashed"))
     parts = [hashed.select("k1", "k2", F.posexplode(runs(F.col("hashed"), n)).alias("pos", "h")) for n in [SHINGLE, *short]]
     seen = reduce(DataFrame.union, parts)
-    wanted = (
+    # The starts from which a window holds the hit, cut at multiples of CHUNK: hits of one
+    # chunk become one run of starts, and a long run is many rows.
+    from_ = F.greatest(F.col("pos") - F.greatest(F.col("size") - SHINGLE, F.lit(0)), F.lit(0))
+    low = F.col("chunk") * CHUNK
+    chunks = (
         seen.join(probes, "h")
-        .select("k1", "k2", F.struct((F.col("pos") - F.col("at")).alias("start"), "size").alias("win"))
-        .groupBy("k1", "k2")
-        .agg(F.collect_set("win").alias("wins"))
+        .select("k1", "k2", "size", from_.alias("from"), F.col("pos").alias("to"))
+        .select("*", F.explode(F.sequence(F.expr(f"from div {CHUNK}"), F.expr(f"to div {CHUNK}"))).alias("chunk"))
+        .groupBy("k1", "k2", "size", "chunk")
+        .agg(F.min(F.greatest("from", low)).alias("from"), F.max(F.least("to", low + (CHUNK - 1))).alias("to"))
     )
+    wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "from", "to")).alias("wins"))
     wanted = scratch.stage(wanted, "windows")
-    # A window shifted by t of n shingles keeps at most (n - t) / (n + t) of its likeness.
-    slack = lambda w: (w["size"] * (1 - threshold) / (1 + threshold)).cast("int") + 1
-    inside = lambda w, d: F.greatest(F.lit(0), F.least(w["start"] + d, F.size("words") - w["size"]))
-    shifted = F.transform(
-        "wins",
-        lambda w: F.transform(
-            F.sequence(-slack(w), slack(w)), lambda d: F.struct(inside(w, d).alias("start"), w["size"].alias("size"))
-        ),
-    )
+    # The last window ends with the document.
+    end = lambda w: F.greatest(F.size("words") - w["size"], F.lit(0))
     cut = F.transform(
-        F.array_distinct(F.flatten(shifted)),
-        lambda w: F.struct(w["start"], w["size"], F.slice("words", w["start"] + 1, w["size"]).alias("part")),
+        F.filter("wins", lambda w: w["from"] <= end(w)),
+        lambda w: F.struct(
+            w["from"].alias("from"),
+            F.least(w["to"], end(w)).alias("to"),
+            w["size"].alias("size"),
+            F.slice("words", w["from"] + 1, F.least(w["to"], end(w)) - w["from"] + w["size"]).alias("part"),
+        ),
     )
-    windows = (
+    stretches = (
         texts.join(wanted, ["k1", "k2"])
         .select("doc_id", "k1", "k2", F.explode(cut).alias("w"))
-        .select("doc_id", "k1", "k2", "w.start", "w.size", "w.part")
+        .select("doc_id", "k1", "k2", "w.*")
         .distinct()
+    )
+    windows = (
+        stretches.select("*", F.explode(F.sequence(F.col("from"), F.col("to")).cast("array<int>")).alias("start"))
+        .withColumn("part", F.slice("part", F.col("start") - F.col("from").cast("int") + 1, F.col("size")))
         .select("*", word_hashes(F.col("part")).alias("hashed"))
     )
     # Staged with what the comparison reads many times, so that it is worked out once.
