@@ -107,3 +107,24 @@ def test_windows_start_wherever_they_hold_a_probe(spark, tmp_path):
     got, want = found(spark, tmp_path, docs, items)
     assert len(want) == 16 and min(want.values()) < 1
     assert got == want
+
+
+def test_pairs_at_the_threshold_are_all_found(spark, tmp_path):
+    rng = random.Random(3)
+    prose = lambda n: [f"w{rng.randrange(3000)}x" for _ in range(n)]
+    docs, items = [], []
+    for n in (30, 54, 104):
+        for _ in range(25):
+            item = prose(n)
+            kept = n - (n - 4) // 5
+            items.append(" ".join(item))
+            # The document is the item's opening; the item's tail is replaced in a longer one.
+            docs.append(" ".join(item[:kept]))
+            docs.append(" ".join(prose(40) + item[: n - (n - 4) // 10] + prose(30)))
+    # Exactly at the threshold: 20 of 25 shingles of one weight.
+    even = [f"{i:04d}" for i in rng.sample(range(9999), 29)]
+    items.append(" ".join(even))
+    docs.append(" ".join(even[:24]))
+    got, want = found(spark, tmp_path, docs, items)
+    assert want[150, 75] == 0.8 and len(want) > 100
+    assert got == want

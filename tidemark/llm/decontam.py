@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,8 +11,7 @@ from tidemark.llm.common import Scratch, fresh, read, text_or_empty
 from tidemark.llm.simhash import row_key
 
 SHINGLE = 5
-RADIUS = 11
-BLOCKS, BLOCK_BITS = 4, 16
+BITS = 64
 BROADCAST_ROWS = 1_000_000
 CHUNK = 64
 
@@ -27,42 +25,57 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def runs(hashed: Column, size: int = SHINGLE) -> Column:
-    """Hash of every run of `size` words, from the words' hashes; of all words where there
-    are fewer, none where there are none."""
+def runs(hashed: Column, size: Column) -> Column:
+    """Hash of every run of `size` words, at most SHINGLE, from the words' hashes; of all
+    words where there are fewer, none where there are none."""
     return F.when(
         F.size(hashed) > 0,
         F.transform(
             F.sequence(F.lit(0), F.greatest(F.size(hashed) - size, F.lit(0))),
-            lambda i: F.xxhash64(*(F.get(hashed, i + k) for k in range(size))),
+            lambda i: F.xxhash64(*(F.when(size > k, F.get(hashed, i + k)) for k in range(SHINGLE))),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def shingles(words: Column, hashed: Column) -> Column:
-    """The different five-word shingles with their weights. The weight is the letters in it:
-    long words say more than short ones."""
-    weight = lambda i: F.length(F.concat_ws("", *(F.get(words, i + k) for k in range(SHINGLE))))
-    return F.array_distinct(F.transform(runs(hashed), lambda h, i: F.struct(h.alias("h"), weight(i).alias("w"))))
+def weighted(words: Column, hashes: Column, size: Column) -> Column:
+    """The shingles with their weights. The weight is the letters in it: long words say more
+    than short ones."""
+    letters = lambda i: F.length(F.concat_ws("", *(F.when(size > k, F.get(words, i + k)) for k in range(SHINGLE))))
+    return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), letters(i).alias("w")))
+
+
+def shingle_size() -> Column:
+    """Items of fewer than five words are one shingle of that many words."""
+    return F.least(F.lit(SHINGLE), F.col("size"))
 
 
 def weight_of(shingle_list: Column) -> Column:
     return F.aggregate(shingle_list, F.lit(0).cast("long"), lambda s, e: s + e["w"])
 
 
-def simhash(hashed: Column) -> Column:
-    """64 bits, each set if it is in over half of the word hashes."""
-    bit = lambda b: F.size(F.filter(hashed, lambda h: F.getbit(h, b) == 1)) * 2 > F.size(hashed)
-    one = F.lit(1).cast("long")
-    return F.aggregate(
-        F.sequence(F.lit(0), F.lit(63)),
-        F.lit(0).cast("long"),
-        lambda v, b: F.when(bit(b), v.bitwiseOR(F.call_function("shiftleft", one, b))).otherwise(v),
+def margin(shingle_list: Column, bit: Column) -> Column:
+    """Weight of the shingles whose hash has the bit less that of the others. Its sign is the
+    bit of the SimHash."""
+    signed = lambda e: F.when(F.getbit(e["h"], bit) == 1, e["w"]).otherwise(-e["w"])
+    return F.aggregate(shingle_list, F.lit(0).cast("long"), lambda s, e: s + signed(e))
+
+
+def firm_bits(shingle_list: Column, weight: Column, threshold: float) -> Column:
+    """(bit, margin) of the SimHash bits that every set as similar as the threshold shares.
+
+    Of such a set and this one, the shingles that only one of them has weigh at most
+    (1 - threshold) / threshold of this one's weight, and no margin differs by more. Half a
+    letter is added against rounding.
+    """
+    margins = F.transform(
+        F.sequence(F.lit(0), F.lit(BITS - 1)),
+        lambda b: F.struct(b.alias("bit"), margin(shingle_list, b).alias("margin")),
     )
+    return F.filter(margins, lambda m: F.abs(m["margin"]) > weight * ((1 - threshold) / threshold) + 0.5)
 
 
 def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Items with words, shingles and fingerprint; and the shingles that windows start from.
+    """Items with words, shingles and firm bits; and the shingles that windows start from.
 
     A window as similar as the threshold shares at least that part of the item's weight.
     So of any shingles that weigh more than the rest of it, it has one: the item's rarest
@@ -70,13 +83,13 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
     against rounding: a shingle too many is no loss.
     """
     items = benchmark.select("item_id", words_of(text_or_empty()).alias("words")).filter(F.size("words") > 0)
-    items = items.select("item_id", "words", word_hashes(F.col("words")).alias("hashed"))
+    items = items.select("item_id", "words", F.size("words").alias("size"), word_hashes(F.col("words")).alias("hashed"))
+    items = items.select("item_id", "words", "size", runs(F.col("hashed"), shingle_size()).alias("hashes"))
     items = items.select(
-        "item_id",
-        F.size("words").alias("size"),
-        shingles(F.col("words"), F.col("hashed")).alias("item_shingles"),
-        simhash(F.col("hashed")).alias("item_print"),
+        "item_id", "size", F.array_distinct(weighted(F.col("words"), F.col("hashes"), shingle_size())).alias("item_shingles")
     )
+    items = items.select("*", weight_of(F.col("item_shingles")).alias("item_weight"))
+    items = items.select("*", firm_bits(F.col("item_shingles"), F.col("item_weight"), threshold).alias("firm"))
     parts = items.select("item_id", "size", F.explode("item_shingles").alias("s")).select("item_id", "size", "s.h", "s.w")
     rarity = parts.groupBy("h").agg(F.countDistinct("item_id").alias("items"))
     rarest = Window.partitionBy("item_id").orderBy("items", F.desc("w"), "h")
@@ -87,34 +100,21 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
         .withColumn("taken", F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("total", F.sum("w").over(whole))
         .filter(F.col("taken") <= F.col("total") * (1 - threshold) + 0.5)
-        .select("h", "size")
+        .select("h", "item_id", "size")
         .distinct()
     )
     return items, probes
 
 
-def _blocks(fingerprint: Column) -> Column:
-    part = lambda i: F.shiftrightunsigned(fingerprint, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    return F.array(*(part(i) for i in range(BLOCKS)))
-
-
-def _near_blocks() -> Column:
-    """Changes of one block by as many bits as the fullest block keeps below the radius:
-    of RADIUS differences over BLOCKS blocks, one block has at most their integer quotient."""
-    flips = RADIUS // BLOCKS
-    bits = [1 << b for b in range(BLOCK_BITS)]
-    masks = [sum(c) for n in range(flips + 1) for c in combinations(bits, n)]
-    return F.array(*(F.lit(m).cast("long") for m in masks))
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: float = 0.8) -> DataFrame:
     """(doc_id, k1, k2, item_id, similarity, start, size): the best window per document row
     and item, where it is as similar as `threshold` on weighted five-word shingles.
 
     Windows have the item's number of words, or all words of a shorter document. They are
     taken at every start from which they hold one of the item's probe shingles: one without
-    any is below the threshold. Windows and items meet over blocks of their SimHashes, which
-    finds all within RADIUS bits, and are then compared exactly.
+    any is below the threshold. Window and item meet by that shingle. They are compared
+    exactly where their SimHashes agree on the item's firm bits, which all pairs of the
+    threshold do: no pair is lost.
     Null and empty texts, and items without words, match nothing. Repeated rows share one
     (k1, k2). Extra columns are not read.
     """
@@ -123,10 +123,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
     texts = docs.select("doc_id", *row_key(), words_of(text_or_empty()).alias("words"))
-    # Items of fewer than five words are one shingle of that many words.
     short = [r[0] for r in items.filter(F.col("size") < SHINGLE).select("size").distinct().collect()]
     hashed = texts.select("k1", "k2", word_hashes(F.col("words")).alias("hashed"))
-    parts = [hashed.select("k1", "k2", F.posexplode(runs(F.col("hashed"), n)).alias("pos", "h")) for n in [SHINGLE, *short]]
+    parts = [hashed.select("k1", "k2", F.posexplode(runs(F.col("hashed"), F.lit(n))).alias("pos", "h")) for n in [SHINGLE, *short]]
     seen = reduce(DataFrame.union, parts)
     # The starts from which a window holds the hit, cut at multiples of CHUNK: hits of one
     # chunk become one run of starts, and a long run is many rows.
@@ -134,12 +133,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     low = F.col("chunk") * CHUNK
     chunks = (
         seen.join(probes, "h")
-        .select("k1", "k2", "size", from_.alias("from"), F.col("pos").alias("to"))
+        .select("k1", "k2", "item_id", "size", from_.alias("from"), F.col("pos").alias("to"))
         .select("*", F.explode(F.sequence(F.expr(f"from div {CHUNK}"), F.expr(f"to div {CHUNK}"))).alias("chunk"))
-        .groupBy("k1", "k2", "size", "chunk")
+        .groupBy("k1", "k2", "item_id", "size", "chunk")
         .agg(F.min(F.greatest("from", low)).alias("from"), F.max(F.least("to", low + (CHUNK - 1))).alias("to"))
     )
-    wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("size", "from", "to")).alias("wins"))
+    wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "size", "from", "to")).alias("wins"))
     wanted = scratch.stage(wanted, "windows")
     # The last window ends with the document.
     end = lambda w: F.greatest(F.size("words") - w["size"], F.lit(0))
@@ -148,6 +147,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         lambda w: F.struct(
             w["from"].alias("from"),
             F.least(w["to"], end(w)).alias("to"),
+            w["item_id"].alias("item_id"),
             w["size"].alias("size"),
             F.slice("words", w["from"] + 1, F.least(w["to"], end(w)) - w["from"] + w["size"]).alias("part"),
         ),
@@ -157,36 +157,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         .select("doc_id", "k1", "k2", F.explode(cut).alias("w"))
         .select("doc_id", "k1", "k2", "w.*")
         .distinct()
-    )
-    windows = (
-        stretches.select("*", F.explode(F.sequence(F.col("from"), F.col("to")).cast("array<int>")).alias("start"))
-        .withColumn("part", F.slice("part", F.col("start") - F.col("from").cast("int") + 1, F.col("size")))
         .select("*", word_hashes(F.col("part")).alias("hashed"))
+        .select("*", runs(F.col("hashed"), shingle_size()).alias("hashes"))
+    )
+    # With each shingle the place of the same one before it: a window's distinct shingles are
+    # those whose last one lies before its start.
+    hashes = F.col("hashes")
+    back = lambda h, i: F.array_position(F.reverse(F.slice(hashes, F.lit(1), i)), h)
+    last = F.transform(hashes, lambda h, i: F.when(back(h, i) > 0, i - back(h, i)).otherwise(-1).cast("int"))
+    marked = F.zip_with(
+        weighted(F.col("part"), hashes, shingle_size()),
+        last,
+        lambda e, before: F.struct(e["h"].alias("h"), e["w"].alias("w"), before.alias("before")),
     )
     # Staged with what the comparison reads many times, so that it is worked out once.
-    windows = windows.select(
-        "doc_id",
-        "k1",
-        "k2",
-        "start",
-        "size",
-        shingles(F.col("part"), F.col("hashed")).alias("shingles"),
-        simhash(F.col("hashed")).alias("print"),
+    stretches = scratch.stage(
+        stretches.select("doc_id", "k1", "k2", "item_id", "size", "from", "to", marked.alias("shingles")), "cut"
     )
-    windows = scratch.stage(windows.withColumn("weight", weight_of(F.col("shingles"))), "cut")
-    keys = windows.select("print", "size").distinct()
-    keys = keys.select("print", "size", F.posexplode(_blocks(F.col("print"))).alias("block", "value"))
-    index = items.select("item_id", "size", "item_print", F.posexplode(_blocks(F.col("item_print"))).alias("block", "own"))
-    index = index.select("*", F.explode(_near_blocks()).alias("flip")).select(
-        "item_id", "size", "item_print", "block", F.col("own").bitwiseXOR(F.col("flip")).alias("value")
+    own = F.transform(
+        F.sequence(F.lit(0), (F.col("to") - F.col("from")).cast("int")),
+        lambda d: F.struct(
+            (F.col("from").cast("int") + d).alias("start"),
+            F.filter(
+                F.slice("shingles", d + 1, F.col("size") - shingle_size() + 1), lambda e: e["before"] < d
+            ).alias("shingles"),
+        ),
     )
-    close = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS
-    met = keys.join(index, ["size", "block", "value"]).filter(close).select("print", "size", "item_id").distinct()
-    pairs = windows.join(met, ["print", "size"]).join(items.select("item_id", "item_shingles", weight_of(F.col("item_shingles")).alias("item_weight")), "item_id")
-    # Weighted Jaccard: the weight of the common shingles by that of all.
-    scored = pairs.withColumn("common", weight_of(F.array_intersect("shingles", "item_shingles"))).withColumn(
-        "similarity", F.try_divide(F.col("common"), F.col("weight") + F.col("item_weight") - F.col("common"))
+    windows = (
+        stretches.join(items.drop("size"), "item_id")
+        .select("doc_id", "k1", "k2", "item_id", "size", "item_shingles", "item_weight", "firm", F.explode(own).alias("w"))
+        .filter(F.forall("firm", lambda f: margin(F.col("w.shingles"), f["bit"]) * f["margin"] > 0))
     )
+    # Weighted Jaccard: the weight of the common shingles by that of all.
+    scored = windows.select(
+        "*",
+        F.col("w.start").alias("start"),
+        weight_of(F.col("w.shingles")).alias("weight"),
+        weight_of(
+            F.filter("w.shingles", lambda e: F.array_contains(F.col("item_shingles.h"), e["h"]))
+        ).alias("common"),
+    ).withColumn("similarity", F.try_divide(F.col("common"), F.col("weight") + F.col("item_weight") - F.col("common")))
     # The threshold is asked of the best window: asked of each, it would sink below the
     # comparison and do it twice.
     best = scored.groupBy("doc_id", "k1", "k2", "item_id").agg(
