@@ -128,3 +128,17 @@ def test_pairs_at_the_threshold_are_all_found(spark, tmp_path):
     got, want = found(spark, tmp_path, docs, items)
     assert want[150, 75] == 0.8 and len(want) > 100
     assert got == want
+
+
+def test_texts_under_one_item_id_are_items_of_their_own(spark):
+    rng = random.Random(4)
+    prose = lambda n, end: " ".join(f"w{rng.randrange(3000)}{end}" for _ in range(n))
+    short, long = prose(30, "x"), prose(60, "extraordinarilylong")
+    nulls = [prose(40, "y"), prose(40, "z")]
+    items = [(0, short), (0, long), (0, short), (None, nulls[0]), (None, nulls[1]), (1, prose(30, "u"))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [prose(20, "v") + " " + t + " " + prose(20, "v") for t in (short, long, *nulls)]
+    docs = spark.createDataFrame([*enumerate(texts), (9, prose(80, "v"))], "doc_id long, text string")
+    rows = decontam.leaks(docs, benchmark, Scratch(spark)).select("doc_id", "item_id", "similarity").collect()
+    assert sorted(rows, key=lambda r: r.doc_id) == [(0, 0, 1.0), (1, 0, 1.0), (2, None, 1.0), (3, None, 1.0)]
+    assert [r.doc_id for r in decontam.without_leaks(docs, benchmark, Scratch(spark)).collect()] == [9]

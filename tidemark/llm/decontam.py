@@ -76,31 +76,34 @@ def firm_bits(shingle_list: Column, weight: Column, threshold: float) -> Column:
 
 def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Items with words, shingles and firm bits; and the shingles that windows start from.
+    `item` names an item by item_id and text, of which several rows are one item.
 
     A window as similar as the threshold shares at least that part of the item's weight.
     So of any shingles that weigh more than the rest of it, it has one: the item's rarest
     are taken until what is left weighs less than the threshold. Half a letter is added
     against rounding: a shingle too many is no loss.
     """
-    items = benchmark.select("item_id", words_of(text_or_empty()).alias("words")).filter(F.size("words") > 0)
-    items = items.select("item_id", "words", F.size("words").alias("size"), word_hashes(F.col("words")).alias("hashed"))
-    items = items.select("item_id", "words", "size", runs(F.col("hashed"), shingle_size()).alias("hashes"))
+    benchmark = benchmark.select("item_id", F.struct(*row_key("item_id", "text")).alias("item"), text_or_empty().alias("text"))
+    benchmark = benchmark.dropDuplicates(["item"])
+    items = benchmark.select("item_id", "item", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    items = items.select("item_id", "item", "words", F.size("words").alias("size"), word_hashes(F.col("words")).alias("hashed"))
+    items = items.select("item_id", "item", "words", "size", runs(F.col("hashed"), shingle_size()).alias("hashes"))
     items = items.select(
-        "item_id", "size", F.array_distinct(weighted(F.col("words"), F.col("hashes"), shingle_size())).alias("item_shingles")
+        "item_id", "item", "size", F.array_distinct(weighted(F.col("words"), F.col("hashes"), shingle_size())).alias("item_shingles")
     )
     items = items.select("*", weight_of(F.col("item_shingles")).alias("item_weight"))
     items = items.select("*", firm_bits(F.col("item_shingles"), F.col("item_weight"), threshold).alias("firm"))
-    parts = items.select("item_id", "size", F.explode("item_shingles").alias("s")).select("item_id", "size", "s.h", "s.w")
-    rarity = parts.groupBy("h").agg(F.countDistinct("item_id").alias("items"))
-    rarest = Window.partitionBy("item_id").orderBy("items", F.desc("w"), "h")
+    parts = items.select("item", "size", F.explode("item_shingles").alias("s")).select("item", "size", "s.h", "s.w")
+    rarity = parts.groupBy("h").agg(F.countDistinct("item").alias("items"))
+    rarest = Window.partitionBy("item").orderBy("items", F.desc("w"), "h")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("item_id")
+    whole = Window.partitionBy("item")
     probes = (
         parts.join(rarity, "h")
         .withColumn("taken", F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("total", F.sum("w").over(whole))
         .filter(F.col("taken") <= F.col("total") * (1 - threshold) + 0.5)
-        .select("h", "item_id", "size")
+        .select("h", "item", "size")
         .distinct()
     )
     return items, probes
@@ -115,8 +118,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     any is below the threshold. Window and item meet by that shingle. They are compared
     exactly where their SimHashes agree on the item's firm bits, which all pairs of the
     threshold do: no pair is lost.
-    Null and empty texts, and items without words, match nothing. Repeated rows share one
-    (k1, k2). Extra columns are not read.
+    Null and empty texts, and items without words, match nothing. Different texts under one
+    item_id, also a null one, are items of their own and give a row each. Repeated rows share
+    one (k1, k2). Extra columns are not read.
     """
     items, probes = _items(benchmark, threshold)
     items, probes = scratch.stage(items, "items"), scratch.stage(probes, "probes")
@@ -133,12 +137,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     low = F.col("chunk") * CHUNK
     chunks = (
         seen.join(probes, "h")
-        .select("k1", "k2", "item_id", "size", from_.alias("from"), F.col("pos").alias("to"))
+        .select("k1", "k2", "item", "size", from_.alias("from"), F.col("pos").alias("to"))
         .select("*", F.explode(F.sequence(F.expr(f"from div {CHUNK}"), F.expr(f"to div {CHUNK}"))).alias("chunk"))
-        .groupBy("k1", "k2", "item_id", "size", "chunk")
+        .groupBy("k1", "k2", "item", "size", "chunk")
         .agg(F.min(F.greatest("from", low)).alias("from"), F.max(F.least("to", low + (CHUNK - 1))).alias("to"))
     )
-    wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("item_id", "size", "from", "to")).alias("wins"))
+    wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "size", "from", "to")).alias("wins"))
     wanted = scratch.stage(wanted, "windows")
     # The last window ends with the document.
     end = lambda w: F.greatest(F.size("words") - w["size"], F.lit(0))
@@ -147,7 +151,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         lambda w: F.struct(
             w["from"].alias("from"),
             F.least(w["to"], end(w)).alias("to"),
-            w["item_id"].alias("item_id"),
+            w["item"].alias("item"),
             w["size"].alias("size"),
             F.slice("words", w["from"] + 1, F.least(w["to"], end(w)) - w["from"] + w["size"]).alias("part"),
         ),
@@ -172,7 +176,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     )
     # Staged with what the comparison reads many times, so that it is worked out once.
     stretches = scratch.stage(
-        stretches.select("doc_id", "k1", "k2", "item_id", "size", "from", "to", marked.alias("shingles")), "cut"
+        stretches.select("doc_id", "k1", "k2", "item", "size", "from", "to", marked.alias("shingles")), "cut"
     )
     own = F.transform(
         F.sequence(F.lit(0), (F.col("to") - F.col("from")).cast("int")),
@@ -184,8 +188,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         ),
     )
     windows = (
-        stretches.join(items.drop("size"), "item_id")
-        .select("doc_id", "k1", "k2", "item_id", "size", "item_shingles", "item_weight", "firm", F.explode(own).alias("w"))
+        stretches.join(items.drop("size"), "item")
+        .select("doc_id", "k1", "k2", "item", "item_id", "size", "item_shingles", "item_weight", "firm", F.explode(own).alias("w"))
         .filter(F.forall("firm", lambda f: margin(F.col("w.shingles"), f["bit"]) * f["margin"] > 0))
     )
     # Weighted Jaccard: the weight of the common shingles by that of all.
@@ -199,7 +203,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     ).withColumn("similarity", F.try_divide(F.col("common"), F.col("weight") + F.col("item_weight") - F.col("common")))
     # The threshold is asked of the best window: asked of each, it would sink below the
     # comparison and do it twice.
-    best = scored.groupBy("doc_id", "k1", "k2", "item_id").agg(
+    best = scored.groupBy("doc_id", "k1", "k2", "item", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size")).alias("best")
     )
     return best.filter(F.col("best.similarity") >= threshold).select(
