@@ -67,3 +67,26 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     single = fp.edited_fingerprints(docs.filter("text = 'other'"), Scratch(spark)).first()
     assert single.near_next == 1
     assert fp.edited_fingerprints(docs.limit(0), Scratch(spark)).count() == 0
+
+
+def test_an_id_of_many_texts_spreads_over_groups(spark, monkeypatch):
+    from tidemark.llm.common import Scratch
+
+    rng = random.Random(2)
+    texts = [f"{i} " + prose(rng, rng.randrange(1, 40)) for i in range(400)]
+    rows = [(None, t) for t in texts[:200]] + [(7, t) for t in texts[200:]] + [(7, texts[200])] * 3 + [(9, "the last")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    lanes = fp.lanes
+    monkeypatch.setattr(fp, "lanes", lambda df, keys, text: seen.append((df, keys)) or lanes(df, keys, text))
+    got = fp.edited_fingerprints(docs, Scratch(spark)).collect()
+    first = spark.createDataFrame(rows, "k long, text string").select("k", F.min_by("text", F.xxhash64("text")).over(
+        fp.Window.partitionBy("k")).alias("first")).distinct()
+    first = {r.k: r.first for r in first.collect()}
+    follows = {None: first[7], 7: first[9], 9: first[None]}
+    edit = lambda k, t: t[: len(t) - len(t) // 2] + follows[k][: len(t) // 2]
+    want = sorted(((k or 0, len(t), hashlib.sha256(edit(k, t).encode()).hexdigest()) for k, t in rows))
+    assert sorted((r.doc_id or 0, r.n_chars, r.edited_sha256) for r in got) == want
+    # What rows meet in holds few different texts.
+    df, keys = seen[0]
+    assert df.groupBy(*keys[:-1]).agg(F.countDistinct("th").alias("n")).agg(F.max("n")).first()[0] < 100

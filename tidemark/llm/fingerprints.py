@@ -27,6 +27,7 @@ LOW = (1 << HALF) - 1
 PAIR = (1 << HALF) | 1
 ITEM_LANES = ITEM_HASHES * 64
 FIRST_ID = -(1 << 63)
+GROUP = 32
 
 
 def lanes(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -96,7 +97,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def successors(ids: DataFrame, scratch: Scratch) -> DataFrame:
-    """(k, need) with distinct k -> (k, need, next_k); the last k is followed by the first.
+    """Rows with distinct k -> the same with next_k; the last k is followed by the first.
 
     Range partitions keep the order, so only the first id of each partition has to be
     known elsewhere: one row per partition meets in one task.
@@ -111,7 +112,7 @@ def successors(ids: DataFrame, scratch: Scratch) -> DataFrame:
     return (
         placed.withColumn("inside", F.lead("k").over(inside))
         .join(after, "part")
-        .select("k", "need", F.coalesce("inside", "next_head").alias("next_k"))
+        .select(*ids.columns, F.coalesce("inside", "next_head").alias("next_k"))
     )
 
 
@@ -123,45 +124,68 @@ def edited_fingerprints(docs: DataFrame, scratch: Scratch) -> DataFrame:
     Null texts are empty texts. A null doc_id sorts before all ids. Rows that repeat an id
     have the same next document; of several rows with the next id the one with the smallest
     text hash counts. Texts are moved once by id and only the needed prefixes once more.
+    An id of many rows is dealt to groups of about GROUP rows by text hash (`salt`), which
+    rows meet in; only rows of equal id and text share a group whatever their number.
     """
     k = F.coalesce(F.col("doc_id").cast("long"), F.lit(FIRST_ID))
-    texts = docs.select(k.alias("k"), text_or_empty().alias("text")).repartition("k")
-    hashed = texts.select("k", "text", F.xxhash64("text").alias("th"))
-    needs = docs.select(k.alias("k"), F.expr("length(text) div 2").alias("half"))
-    asked = successors(needs.groupBy("k").agg(F.coalesce(F.max("half"), F.lit(0)).alias("need")), scratch)
-    asked = scratch.stage(asked.withColumnRenamed("k", "asks"), "successors")
-
-    smallest = F.row_number().over(Window.partitionBy("k").orderBy("th"))
-    prefixes = (
-        hashed.join(asked, hashed["k"] == asked["next_k"])
-        .select(F.col("asks").alias("k"), "th", F.expr("left(text, need)").alias("prefix"))
-        .withColumn("place", smallest)
+    rows = docs.select(k.alias("k"), text_or_empty().alias("text")).select("k", "text", F.xxhash64("text").alias("th"))
+    ids = rows.groupBy("k").agg(F.min("th").alias("first"), F.ceil(F.count("*") / GROUP).alias("groups"))
+    ids = scratch.stage(ids, "groups")
+    many = scratch.stage(ids.filter("groups > 1").select("k", "groups"), "many")
+    salted = rows.join(many, "k", "left").withColumn("salt", F.coalesce(F.pmod("th", "groups"), F.lit(0).cast("long")))
+    hashed = salted.select("k", "salt", "text", "th").repartition("k", "salt")
+    # What each group asks for: so many characters of the next id's first text.
+    needs = salted.groupBy("k", "salt").agg(F.max(F.expr("length(text) div 2")).alias("need"))
+    firsts = ids.select(
+        F.col("k").alias("next_k"), F.col("first").alias("next_th"), F.pmod("first", "groups").alias("next_salt")
+    )
+    after = successors(ids.select("k"), scratch).join(firsts, "next_k")
+    asked = scratch.stage(
+        needs.join(after, "k").select(
+            F.col("k").alias("asks"), F.col("salt").alias("asks_salt"), "need", "next_k", "next_salt", "next_th"
+        ),
+        "successors",
+    )
+    at_next = lambda df: (df["k"] == F.col("next_k")) & (df["salt"] == F.col("next_salt"))
+
+    # One row per first text, before several groups ask for it.
+    heads = asked.groupBy("next_k", "next_salt").agg(F.first("next_th").alias("next_th"), F.max("need").alias("most"))
+    one = F.row_number().over(Window.partitionBy("k", "salt").orderBy("th"))
+    heads = (
+        hashed.join(heads, at_next(hashed))
+        .filter(F.col("th").bitwiseXOR(F.col("next_th")) == 0)
+        .select("k", "salt", "th", F.expr("left(text, most)").alias("head"))
+        .withColumn("place", one)
         .filter("place = 1")
-        .select("k", "prefix")
+        .select("k", "salt", "head")
+    )
+    prefixes = heads.join(asked, at_next(heads)).select(
+        F.col("asks").alias("k"), F.col("asks_salt").alias("salt"), F.expr("left(head, need)").alias("prefix")
     )
     half = F.expr("length(text) div 2")
-    pairs = hashed.join(prefixes, "k").select(
+    pairs = hashed.join(prefixes, ["k", "salt"]).select(
         "k",
+        "salt",
         "th",
         F.length("text").cast("long").alias("n_chars"),
         F.concat(F.expr("left(text, length(text) - length(text) div 2)"), F.left("prefix", half)).alias("edited"),
     )
-    own = lanes(hashed, ["k", "th"], "text")
+    own = lanes(hashed, ["k", "salt", "th"], "text")
     following = (
-        own.withColumn("place", smallest)
-        .filter("place = 1")
-        .select(F.col("k").alias("next_k"), sketch(F.col("lanes")).alias("next_sketch"))
-        .join(asked, "next_k")
-        .select(F.col("asks").alias("k"), "next_sketch")
+        own.join(asked, at_next(own))
+        .filter(F.col("th").bitwiseXOR(F.col("next_th")) == 0)
+        .select(F.col("asks").alias("k"), F.col("asks_salt").alias("salt"), sketch(F.col("lanes")).alias("next_sketch"))
+    )
+    changed = lanes(pairs, ["k", "salt", "th"], "edited").select(
+        "k", "salt", F.col("th").alias("th2"), F.col("lanes").alias("edited_lanes")
     )
-    changed = lanes(pairs, ["k", "th"], "edited").select("k", F.col("th").alias("th2"), F.col("lanes").alias("edited_lanes"))
-    rows = pairs.select("k", F.col("th").alias("th3"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    # Equal on k and text hash; the hash is compared after the join on k, so that all stay
-    # partitioned by k.
-    both = own.join(changed, "k").filter(F.col("th").bitwiseXOR(F.col("th2")) == 0)
-    found = rows.join(both, "k").filter(F.col("th3").bitwiseXOR(F.col("th")) == 0)
+    rows = pairs.select("k", "salt", F.col("th").alias("th3"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    # Equal on k and text hash; the hash is compared after the join on the group, so that all
+    # stay partitioned by it. A group has few different texts.
+    both = own.join(changed, ["k", "salt"]).filter(F.col("th").bitwiseXOR(F.col("th2")) == 0)
+    found = rows.join(both, ["k", "salt"]).filter(F.col("th3").bitwiseXOR(F.col("th")) == 0)
     mine = sketch(F.col("lanes"))
-    return found.join(following, "k").select(
+    return found.join(following, ["k", "salt"]).select(
         F.when(F.col("k") != FIRST_ID, F.col("k")).alias("doc_id"),
         "n_chars",
         "edited_sha256",
