@@ -21,6 +21,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def stretch(chars: int, text: str = "text", key: str = "doc_id") -> Column:
+    """So many characters of the text, or all, from a place that the key's hash decides."""
+    places = F.greatest(F.length(text) - chars + 1, F.lit(1))
+    return F.substring(F.col(text), (F.pmod(F.xxhash64(key), places) + 1).cast("int"), F.lit(chars))
+
+
+def worked_out(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is worked out once, however often `then` uses it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def fresh(prefix: str) -> str:
     """A column name that no caller's column has."""
     return f"_{prefix}_{uuid.uuid4().hex[:8]}"
