@@ -142,3 +142,20 @@ def test_texts_under_one_item_id_are_items_of_their_own(spark):
     rows = decontam.leaks(docs, benchmark, Scratch(spark)).select("doc_id", "item_id", "similarity").collect()
     assert sorted(rows, key=lambda r: r.doc_id) == [(0, 0, 1.0), (1, 0, 1.0), (2, None, 1.0), (3, None, 1.0)]
     assert [r.doc_id for r in decontam.without_leaks(docs, benchmark, Scratch(spark)).collect()] == [9]
+
+
+def test_a_very_long_item(spark):
+    """20,000 words, once whole, once with a part changed: time grows with the length."""
+    import time
+
+    rng = random.Random(6)
+    words_ = [f"w{rng.randrange(5000)}x" for _ in range(20_000)]
+    changed = words_[:9000] + [f"v{i}y" for i in range(500)] + words_[9500:]
+    other = " ".join(f"w{rng.randrange(5000)}x" for _ in range(20_000))
+    texts = ["before it " + " ".join(words_) + " and after", " ".join(changed), other]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words_))], "item_id long, text string")
+    start = time.time()
+    got = {r.doc_id: round(r.similarity, 6) for r in decontam.leaks(docs, benchmark, Scratch(spark)).collect()}
+    assert time.time() - start < 100
+    assert got == {0: 1.0, 1: round(alike(changed, words_), 6)}

@@ -7,13 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch, fresh, read, text_or_empty
+from tidemark.llm.common import Scratch, fresh, read, text_or_empty, worked_out
 from tidemark.llm.simhash import row_key
 
 SHINGLE = 5
 BITS = 64
 BROADCAST_ROWS = 1_000_000
 CHUNK = 64
+NEVER = 2**31 - 1
 
 
 def words_of(text: Column) -> Column:
@@ -74,6 +75,104 @@ def firm_bits(shingle_list: Column, weight: Column, threshold: float) -> Column:
     return F.filter(margins, lambda m: F.abs(m["margin"]) > weight * ((1 - threshold) / threshold) + 0.5)
 
 
+def marked(shingles: Column, item_shingles: Column) -> Column:
+    """The shingles in their order with weight, whether the item has the same one, and the
+    places of the same one before and after it. Equal shingles are found by sorting, so the
+    time is that of a sort."""
+    plain = "array<struct<h:bigint,i:int,w:int>>"
+    own = F.transform(shingles, lambda e, i: F.struct(e["h"].alias("h"), i.alias("i"), e["w"].alias("w")))
+    item = F.transform(item_shingles, lambda e: F.struct(e["h"].alias("h"), F.lit(-1).alias("i"), e["w"].alias("w")))
+    both = F.array_sort(F.concat(item.cast(plain), own.cast(plain)))
+
+    def groups(ordered: Column) -> Column:
+        begins = lambda i: (i == 0) | (F.get(ordered, i)["h"] != F.get(ordered, i - 1)["h"])
+        starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), begins)
+
+        def members(found: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(found, k + 1), F.size(ordered))
+            return F.flatten(F.transform(found, lambda s, k: worked_out(F.slice(ordered, s + 1, end(k) - s), linked)))
+
+        return worked_out(starts, members)
+
+    def linked(group: Column) -> Column:
+        common = F.get(group, F.lit(0))["i"] == -1
+        links = F.transform(
+            group,
+            lambda e, k: F.struct(
+                e["i"].alias("i"),
+                e["h"].alias("h"),
+                e["w"].alias("w"),
+                common.alias("common"),
+                F.coalesce(F.when(k > 0, F.get(group, k - 1)["i"]), F.lit(-1)).alias("before"),
+                F.coalesce(F.get(group, k + 1)["i"], F.lit(NEVER)).alias("after"),
+            ),
+        )
+        return F.filter(links, lambda e: e["i"] >= 0)
+
+    return F.array_sort(worked_out(both, groups))
+
+
+def best_window() -> Column:
+    """(similarity, back) of the best window of a stretch whose SimHash agrees with the item's
+    firm bits; back is its start times -1, so that of equals the first is the greatest.
+
+    The window moves by one shingle at a time: the one that leaves takes its weight along
+    unless the window holds the same one again, the one that comes brings its own unless the
+    window has it. The margins of the firm bits move with them. So a step costs the same for
+    an item of any length.
+    """
+    marks, firm = F.col("marked"), F.col("firm")
+    length = (F.col("size") - shingle_size() + 1).cast("int")
+    long = lambda c: c.cast("long")
+    sign = lambda e, f: F.when(F.getbit(e["h"], f["bit"]) == 1, long(e["w"])).otherwise(-long(e["w"]))
+    first = F.filter(F.slice(marks, F.lit(1), length), lambda e: e["before"] < 0)
+
+    def starting(held: Column) -> Column:
+        total = lambda of: F.aggregate(held, F.lit(0).cast("long"), lambda s, e: s + of(e))
+        return F.struct(
+            total(lambda e: long(e["w"])).alias("weight"),
+            total(lambda e: F.when(e["common"], long(e["w"])).otherwise(F.lit(0).cast("long"))).alias("common"),
+            F.transform(firm, lambda f: total(lambda e: sign(e, f))).alias("margins"),
+            F.lit(None).cast("struct<similarity:double,back:int>").alias("best"),
+        )
+
+    def judged(weight: Column, common: Column, margins: Column, best: Column, d: Column) -> Column:
+        agrees = F.forall(F.zip_with(margins, firm, lambda m, f: m * f["margin"] > 0), lambda b: b)
+        similarity = F.try_divide(common, weight + F.col("item_weight") - common)
+        here = F.struct(similarity.alias("similarity"), (-(F.col("from").cast("int") + d)).alias("back"))
+        better = best.isNull() | (similarity > best["similarity"])
+        return F.struct(
+            weight.alias("weight"),
+            common.alias("common"),
+            margins.alias("margins"),
+            F.when(agrees & better, here).otherwise(best).alias("best"),
+        )
+
+    def step(state: Column, d: Column) -> Column:
+        out, into = F.get(marks, d - 1), F.get(marks, d + length - 1)
+        leaves = F.when(out["after"] >= d + length - 1, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+        comes = F.when(into["before"] < d, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
+
+        def moved(change: Column) -> Column:
+            less, more = change["leaves"], change["comes"]
+            shared = lambda e: F.when(e["common"], long(e["w"])).otherwise(F.lit(0).cast("long"))
+            margins = F.zip_with(state["margins"], firm, lambda m, f: m - less * sign(out, f) + more * sign(into, f))
+            return worked_out(
+                F.struct(
+                    (state["weight"] - less * long(out["w"]) + more * long(into["w"])).alias("weight"),
+                    (state["common"] - less * shared(out) + more * shared(into)).alias("common"),
+                    margins.alias("margins"),
+                ),
+                lambda now: judged(now["weight"], now["common"], now["margins"], state["best"], d),
+            )
+
+        return worked_out(F.struct(leaves.alias("leaves"), comes.alias("comes")), moved)
+
+    steps = F.filter(F.sequence(F.lit(0), (F.col("to") - F.col("from")).cast("int")), lambda d: d > 0)
+    seed = worked_out(worked_out(first, starting), lambda s: judged(s["weight"], s["common"], s["margins"], s["best"], F.lit(0)))
+    return F.aggregate(steps, seed, step, lambda s: s["best"])
+
+
 def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Items with words, shingles and firm bits; and the shingles that windows start from.
     `item` names an item by item_id and text, of which several rows are one item.
@@ -131,16 +230,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     hashed = texts.select("k1", "k2", word_hashes(F.col("words")).alias("hashed"))
     parts = [hashed.select("k1", "k2", F.posexplode(runs(F.col("hashed"), F.lit(n))).alias("pos", "h")) for n in [SHINGLE, *short]]
     seen = reduce(DataFrame.union, parts)
-    # The starts from which a window holds the hit, cut at multiples of CHUNK: hits of one
-    # chunk become one run of starts, and a long run is many rows.
+    # The starts from which a window holds the hit, cut into chunks: hits of one chunk become
+    # one run of starts, and a long run is many rows. A chunk has as many starts as the item
+    # has words, so that no word is in more than a few of an item's rows.
     from_ = F.greatest(F.col("pos") - F.greatest(F.col("size") - SHINGLE, F.lit(0)), F.lit(0))
-    low = F.col("chunk") * CHUNK
+    chunk = F.greatest(F.col("size"), F.lit(CHUNK))
+    low = F.col("chunk") * chunk
     chunks = (
         seen.join(probes, "h")
         .select("k1", "k2", "item", "size", from_.alias("from"), F.col("pos").alias("to"))
-        .select("*", F.explode(F.sequence(F.expr(f"from div {CHUNK}"), F.expr(f"to div {CHUNK}"))).alias("chunk"))
+        .select("*", F.explode(F.sequence(F.floor(F.col("from") / chunk), F.floor(F.col("to") / chunk))).alias("chunk"))
         .groupBy("k1", "k2", "item", "size", "chunk")
-        .agg(F.min(F.greatest("from", low)).alias("from"), F.max(F.least("to", low + (CHUNK - 1))).alias("to"))
+        .agg(F.min(F.greatest("from", low)).alias("from"), F.max(F.least("to", low + chunk - 1)).alias("to"))
     )
     wanted = chunks.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "size", "from", "to")).alias("wins"))
     wanted = scratch.stage(wanted, "windows")
@@ -164,47 +265,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
         .select("*", word_hashes(F.col("part")).alias("hashed"))
         .select("*", runs(F.col("hashed"), shingle_size()).alias("hashes"))
     )
-    # With each shingle the place of the same one before it: a window's distinct shingles are
-    # those whose last one lies before its start.
-    hashes = F.col("hashes")
-    back = lambda h, i: F.array_position(F.reverse(F.slice(hashes, F.lit(1), i)), h)
-    last = F.transform(hashes, lambda h, i: F.when(back(h, i) > 0, i - back(h, i)).otherwise(-1).cast("int"))
-    marked = F.zip_with(
-        weighted(F.col("part"), hashes, shingle_size()),
-        last,
-        lambda e, before: F.struct(e["h"].alias("h"), e["w"].alias("w"), before.alias("before")),
-    )
+    shingles = weighted(F.col("part"), F.col("hashes"), shingle_size())
     # Staged with what the comparison reads many times, so that it is worked out once.
     stretches = scratch.stage(
-        stretches.select("doc_id", "k1", "k2", "item", "size", "from", "to", marked.alias("shingles")), "cut"
-    )
-    own = F.transform(
-        F.sequence(F.lit(0), (F.col("to") - F.col("from")).cast("int")),
-        lambda d: F.struct(
-            (F.col("from").cast("int") + d).alias("start"),
-            F.filter(
-                F.slice("shingles", d + 1, F.col("size") - shingle_size() + 1), lambda e: e["before"] < d
-            ).alias("shingles"),
-        ),
-    )
-    windows = (
-        stretches.join(items.drop("size"), "item")
-        .select("doc_id", "k1", "k2", "item", "item_id", "size", "item_shingles", "item_weight", "firm", F.explode(own).alias("w"))
-        .filter(F.forall("firm", lambda f: margin(F.col("w.shingles"), f["bit"]) * f["margin"] > 0))
+        stretches.select("doc_id", "k1", "k2", "item", "size", "from", "to", shingles.alias("shingles"))
+        .join(items.drop("size"), "item")
+        .withColumn("marked", marked(F.col("shingles"), F.col("item_shingles"))),
+        "cut",
     )
-    # Weighted Jaccard: the weight of the common shingles by that of all.
-    scored = windows.select(
-        "*",
-        F.col("w.start").alias("start"),
-        weight_of(F.col("w.shingles")).alias("weight"),
-        weight_of(
-            F.filter("w.shingles", lambda e: F.array_contains(F.col("item_shingles.h"), e["h"]))
-        ).alias("common"),
-    ).withColumn("similarity", F.try_divide(F.col("common"), F.col("weight") + F.col("item_weight") - F.col("common")))
+    scored = stretches.select("doc_id", "k1", "k2", "item", "item_id", "size", best_window().alias("best"))
     # The threshold is asked of the best window: asked of each, it would sink below the
     # comparison and do it twice.
     best = scored.groupBy("doc_id", "k1", "k2", "item", "item_id").agg(
-        F.max(F.struct("similarity", (-F.col("start")).alias("back"), "size")).alias("best")
+        F.max(F.struct("best.similarity", "best.back", "size")).alias("best")
     )
     return best.filter(F.col("best.similarity") >= threshold).select(
         "doc_id", "k1", "k2", "item_id", "best.similarity", (-F.col("best.back")).alias("start"), "best.size"
