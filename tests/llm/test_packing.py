@@ -68,3 +68,50 @@ def test_ranks_of_one_length_and_an_empty_table(spark):
     got = packing.packed(docs, Scratch(spark), 8).collect()
     assert len({(r.sequence_id, r.offset) for r in got}) == len(got) == 100
     assert packing.packed(docs.limit(0), Scratch(spark)).count() == 0
+
+
+def brute_pack(histogram, limit):
+    """Shortest-pack-first piece by piece: longest first, each into the shortest pack with room."""
+    packs = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            fits = [p for p in packs if sum(p) + length <= limit and len(p) and p[-1] >= length]
+            before = [p for p in fits if p[-1] != length or sum(p) > length * len(p)]
+            yield_to = min(before or fits, key=sum, default=None)
+            if yield_to is None:
+                packs.append([length])
+            else:
+                yield_to.append(length)
+    return packs
+
+
+def test_as_few_sequences_as_piece_by_piece():
+    rng = random.Random(5)
+    for limit in (16, 64, 100):
+        for _ in range(10):
+            histogram = Counter(rng.randint(1, limit) for _ in range(200))
+            slots = packing.pack(dict(histogram), limit)
+            sequences = max(s[3] + s[2] - s[1] for s in slots)
+            tokens = sum(k * n for k, n in histogram.items())
+            assert -(-tokens // limit) <= sequences <= 1.03 * len(brute_pack(histogram, limit)) + 1
+
+
+def test_white_space_that_the_fast_encoder_gives_up_on(spark):
+    text = "start " + " " * 1_000_000 + " end"
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")
+    got = packing.packed(docs, Scratch(spark)).collect()
+    ids = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    whole = np.array([*ids, 0], dtype="<u4")
+    parts = sorted((r for r in got if r.doc_id == 1), key=lambda r: r.start)
+    assert sum(r.length for r in parts) == len(whole)
+    for r in parts:
+        assert r.ids_crc32 == zlib.crc32(whole[r.start : r.start + r.length].tobytes())
+
+
+def test_null_ids_spread_over_the_salts(spark):
+    docs = spark.createDataFrame([(None, "same text")] * 3000, "doc_id long, text string").repartition(4)
+    cut = packing.pieces(docs, 1024)
+    salts = cut.withColumn("salt", packing.F.pmod("turn", packing.F.lit(55))).groupBy("length", "salt").count()
+    assert max(r["count"] for r in salts.collect()) < 120
+    got = packing.packed(docs, Scratch(spark)).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == 3000

@@ -6,6 +6,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 from math import isqrt
 
 import numpy as np
@@ -18,6 +19,8 @@ from tidemark.llm.common import Scratch, read, text_or_empty
 
 # The vocabulary of byte_bpe_50k.json as ranks; ids are the same, encoding is six times faster.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+# The same for texts that the fast encoder gives up on (very long runs of white space).
+SAME_IDS = public_tokenizers.path("byte_bpe_50k.json")
 END_TEXT, END_TEXT_ID, STOP_ID = "<|endoftext|>", 50256, 0
 
 
@@ -32,21 +35,36 @@ def encoder(path: str):
     )
 
 
-def pieces(docs: DataFrame, limit: int, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): every document's ids, then the stop
-    id, cut every `limit` ids. Null texts are empty texts: one piece of the stop id."""
+@lru_cache(maxsize=2)
+def slow_encoder(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def ids_of(text: str, vocabulary: str, same_ids: str) -> np.ndarray:
+    try:
+        return encoder(vocabulary).encode_to_numpy(text, allowed_special="all")
+    except ValueError:
+        return np.array(slow_encoder(same_ids).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+
+def pieces(docs: DataFrame, limit: int, vocabulary: str = VOCABULARY, same_ids: str = SAME_IDS) -> DataFrame:
+    """(doc_id, start, length, ids_crc32, doc_tokens, turn): every document's ids, then the
+    stop id, cut every `limit` ids. Null texts are empty texts: one piece of the stop id.
+    `turn` numbers the pieces of a task."""
 
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "turn"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_to_numpy
+        turn = count()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.append(encode(text, allowed_special="all"), STOP_ID).astype("<u4")
+                ids = np.append(ids_of(text, vocabulary, same_ids), STOP_ID).astype("<u4")
                 for at in range(0, len(ids), limit):
                     part = ids[at : at + limit]
-                    rows.append((doc_id, at, len(part), zlib.crc32(part.tobytes()), len(ids)))
+                    rows.append((doc_id, at, len(part), zlib.crc32(part.tobytes()), len(ids), next(turn)))
             columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
             if columns:
                 yield pa.RecordBatch.from_arrays(columns, names)
@@ -98,7 +116,8 @@ def packed(docs: DataFrame, scratch: Scratch, limit: int = 1024, vocabulary: str
 
     A piece's rank among those of its length is the count in the salts before its own plus
     its place in its salt, so a length that a third of all rows share is no single group:
-    n pieces have some sqrt(n) salts.
+    n pieces have some sqrt(n) salts, dealt by the pieces' turns in their tasks, so that
+    repeated or null ids spread like others.
     The driver sees the histogram (at most `limit` rows), the tasks see the patterns
     (bounded by `limit` as well). Repeated rows are packed each on its own; an empty
     table gives no rows; only doc_id and text are read.
@@ -107,7 +126,7 @@ def packed(docs: DataFrame, scratch: Scratch, limit: int = 1024, vocabulary: str
     cut = scratch.stage(pieces(docs, limit, vocabulary), "pieces")
     # As many salts as a salt of one length can have rows: neither side grows faster.
     salts = isqrt(cut.count()) + 1
-    cut = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)))
+    cut = cut.withColumn("salt", F.pmod("turn", F.lit(salts)))
     counts = scratch.stage(cut.groupBy("length", "salt").agg(F.count("*").alias("n")), "counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = spark.createDataFrame(
@@ -115,7 +134,7 @@ def packed(docs: DataFrame, scratch: Scratch, limit: int = 1024, vocabulary: str
     )
     up_to = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "salt", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("before"))
-    place = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    place = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32", "doc_tokens", "turn")
     ranked = (
         cut.withColumn("place", F.row_number().over(place) - 1)
         .join(before, ["length", "salt"])
