@@ -7,23 +7,27 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import fresh, read
+from tidemark.llm.common import fresh, read, stretch
+from tidemark.operators.ranking import top_per_key
 
 UNKNOWN = "und"
-SYMBOLS = 64
+# The most frequent characters of the samples have a column in the table of moves, all others
+# a sorted list; characters that no sample has are code 0 and match nothing.
+COLUMNS = 64
 SEGMENT = 1024
 LANES = 4096
 
 
-def automaton(codes: list[int], symbols: int) -> np.ndarray:
-    """Suffix automaton of a code sequence as a (state, symbol) -> state table, -1: none.
+def automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Suffix automaton of a code sequence: per state, code -> state.
 
     Online construction: each code adds one state and at most one clone; every substring
     of the sequence, and nothing else, is a path from state 0.
@@ -54,11 +58,7 @@ def automaton(codes: list[int], symbols: int) -> np.ndarray:
                 target = clone
             link[new] = target
         last = new
-    table = np.full((len(moves), symbols), -1, dtype=np.int32)
-    for state, out in enumerate(moves):
-        for code, to in out.items():
-            table[state, code] = to
-    return table
+    return moves
 
 
 @dataclass(frozen=True)
@@ -78,24 +78,43 @@ class Model:
         common = Counter()
         for _, text in samples.texts:
             common.update(text)
-        chars = [c for c, _ in common.most_common(SYMBOLS - 1)]
-        self.codes = np.zeros(1 << 16, dtype=np.uint8)
-        for i, c in enumerate(chars):
-            if ord(c) < 1 << 16:
-                self.codes[ord(c)] = i + 1
+        self.codes = np.zeros(0x110000, dtype=np.int32)
+        for code, (c, _) in enumerate(sorted(common.items(), key=lambda e: (-e[1], e[0])), 1):
+            self.codes[ord(c)] = code
+        self.width = len(common) + 1
         self.langs = [lang for lang, _ in samples.texts]
-        none = np.empty((0, SYMBOLS), dtype=np.int32)
-        tables = [automaton(self.encode(text).tolist(), SYMBOLS) for _, text in samples.texts]
-        # One flat table: the automata one after the other, states numbered through.
-        starts = np.cumsum([0, *(len(t) for t in tables)])
-        self.roots = starts[:-1].astype(np.int32)
-        moves = [np.where(t < 0, -1, t + s) for t, s in zip(tables, starts)]
-        self.moves = np.concatenate([none, *moves]).astype(np.int32).ravel()
-        self.moves.setflags(write=False)
+        # Phrases get longer with the logarithm of the text learned from.
+        self.weights = np.array([log2(max(len(text), 2)) for _, text in samples.texts])
+        automata = [automaton(self.encode(text).tolist()) for _, text in samples.texts]
+        # The automata one after the other, states numbered through.
+        starts = np.cumsum([0, *(len(a) for a in automata)])
+        self.roots = starts[:-1].astype(np.int64)
+        self.moves = np.full((max(int(starts[-1]), 1), COLUMNS), -1, dtype=np.int32)
+        rare = []
+        for start, moves in zip(starts.tolist(), automata):
+            for state, out in enumerate(moves, start):
+                for code, to in out.items():
+                    if code < COLUMNS:
+                        self.moves[state, code] = to + start
+                    else:
+                        rare.append((state * self.width + code, to + start))
+        self.moves = self.moves.ravel()
+        rare.sort()
+        self.rare = np.array([r[0] for r in rare] or [-1], dtype=np.int64)
+        self.rare_moves = np.array([r[1] for r in rare] or [-1], dtype=np.int64)
 
     def encode(self, text: str) -> np.ndarray:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        return self.codes[np.minimum(points, (1 << 16) - 1)]
+        return self.codes[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
+
+    def _move(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Where these states, a row per code, go by it; -1: nowhere."""
+        to = self.moves[states * COLUMNS + np.where(codes < COLUMNS, codes, 0)[:, None]].astype(np.int64)
+        rare = np.flatnonzero(codes >= COLUMNS)
+        if len(rare):
+            wanted = states[rare] * self.width + codes[rare, None]
+            place = np.minimum(np.searchsorted(self.rare, wanted), len(self.rare) - 1)
+            to[rare] = np.where(self.rare[place] == wanted, self.rare_moves[place], -1)
+        return to
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """(text, language) -> phrases needed: the text is cut into longest matches.
@@ -125,18 +144,18 @@ class Model:
         for k, segment in enumerate(segments):
             block[: len(segment), k] = segment
         counts = np.zeros((len(segments), len(self.langs)), dtype=np.int64)
-        roots = np.broadcast_to(self.roots.astype(np.int64), counts.shape)
+        roots = np.broadcast_to(self.roots, counts.shape)
         states = roots.copy()
         live = len(segments)
         for step in range(sizes[0]):
             while sizes[live - 1] <= step:
                 live -= 1
-            codes, at, root = block[step, :live, None], states[:live], roots[:live]
-            to = self.moves[at * SYMBOLS + codes]
+            codes, at, root = block[step, :live], states[:live], roots[:live]
+            to = self._move(at, codes)
             miss = to < 0
             counts[:live] += miss | (at == root)  # a phrase begins with this character
             if miss.any():
-                again = self.moves[root * SYMBOLS + codes]
+                again = self._move(root, codes)
                 # A character that the language never has is a phrase of its own.
                 to = np.where(miss, np.where(again < 0, root, again), to)
             states[:live] = to
@@ -147,7 +166,7 @@ class Model:
         known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if known and self.langs:
-            counts = self.phrases([clean[i] for i in known])
+            counts = self.phrases([clean[i] for i in known]) * self.weights
             for i, row in zip(known, counts):
                 order = np.lexsort((np.arange(len(row)), row))
                 langs[i] = self.langs[order[0]]
@@ -162,18 +181,25 @@ def model_of(samples: Samples) -> Model:
 
 
 def learn(labelled: DataFrame, rows_per_lang: int = 64, chars_per_row: int = 500) -> Samples:
-    """Bounded sample of (doc_id, text, lang): per language the `rows_per_lang` rows of
-    lowest id hash, `chars_per_row` characters of each. Rows without lang, text or a letter
-    are not taken; ties of the hash go by id and text. At most a few hundred kilobytes
-    reach the driver for any size of the table."""
+    """Bounded sample of (doc_id, text, lang): per language the `rows_per_lang` ids of lowest
+    hash, and `chars_per_row` characters of one text of each, from a place that its id
+    decides. Rows without lang, text or a letter are not taken; repeated ids count once.
+
+    Estimates of the number of ids tell from which hash on none is needed, so few rows move,
+    and a few hundred kilobytes reach the driver for any size of the table.
+    """
     usable = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "head")
-    rows = (
-        usable.select("lang", "doc_id", F.substring("text", 1, chars_per_row).alias("head"))
-        .withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") <= rows_per_lang)
-        .collect()
-    )
+    ids = usable.groupBy("lang").agg(F.approx_count_distinct(F.coalesce(F.xxhash64("doc_id"), F.lit(0))).alias("ids"))
+    share = {r["lang"]: min(1.0, 4 * rows_per_lang / max(r["ids"], 1)) for r in ids.collect()}
+    if not share:
+        return Samples(())
+    spark = labelled.sparkSession
+    shares = spark.createDataFrame(list(share.items()), "lang string, share double")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    low = usable.join(F.broadcast(shares), "lang").filter(place <= F.col("share"))
+    heads = low.select("lang", "doc_id", stretch(chars_per_row).alias("head"))
+    once = heads.groupBy("lang", "doc_id").agg(F.min("head").alias("head"))
+    rows = top_per_key(once, ["lang"], [place, F.col("doc_id")], rows_per_lang, "place").collect()
     by_lang: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.place)):
         by_lang.setdefault(row.lang, []).append(normalised(row.head).strip())
@@ -183,9 +209,9 @@ def learn(labelled: DataFrame, rows_per_lang: int = 64, chars_per_row: int = 500
 def identify(docs: DataFrame, samples: Samples, keep: list[str], text: str = "text") -> DataFrame:
     """The `keep` columns with lang_pred and score, from the whole text alone.
 
-    Null texts and texts without a letter give `und` and 0; equal counts go to the
-    language first in the alphabet; score is 1 - fewest / second fewest phrases. The
-    samples travel with the task; each worker builds the automata once.
+    Null texts and texts without a letter give `und` and 0. Phrases are weighted by the
+    logarithm of the length learned from; equal sums go to the language first in the
+    alphabet; score is 1 - least / second least sum. The samples travel with the task; each worker builds the automata once.
     """
     body = fresh("text")
     out = StructType(list(docs.select(*keep).schema.fields)).add("lang_pred", "string").add("score", "double")
