@@ -58,3 +58,48 @@ def test_nothing_to_learn_from(spark):
     one_class = toxicity.fit(["a few words", "more of them"], [0, 0], {0: 2})
     assert (one_class.score(["a few words"], toxicity.Hits(one_class.terms)) < 0.3).all()
     assert toxicity.score(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_a_repeated_id_reaches_the_driver_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, shares: seen.append((texts, labels)) or "model")
+    docs = [(i, f"text {i}") for i in range(20)] + [(3, f"other {k}") for k in range(500)] + [(4, "text 4")] * 300
+    labels = [(i, i % 2) for i in range(20)] + [(3, 1)] * 50 + [(4, 1)]
+    toxicity.learn(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+        toxicity.F.lit(True),
+    )
+    texts, given = seen[0]
+    assert len(texts) == 21 and texts.count("text 4") == 2 and sorted(given).count(1) == 11
+
+
+def test_voters_against_plain_loops():
+    """Votes of a small corpus, worked out word by word."""
+    texts = ["bad bad good", "good good fine words here", "BAD! words 1", "fine", ""]
+    toxic = np.array([True, False, True, False, False])
+    hits = toxicity.Hits(("bad$", "fine$"))
+    counts, shapes = toxicity.counts_of(texts, hits)
+    assert counts.tolist() == [[t.lower().split().count("bad") + ("bad!" in t.lower().split()), t.lower().split().count("fine")] for t in texts]
+    votes = toxicity.votes_of(counts, shapes, toxic)
+    density = [2 / 3, 0, 1 / 2, 0, 0]
+    usual = sorted([2 / 3, 1 / 2])
+    usual = sum(usual) / 2
+    assert votes[:, 0].tolist() == [int(d >= usual / 2 and d > 0) for d in density]
+    assert votes[:, 2].tolist() == [-int(not any(w in t.lower() for w in ("bad", "fine"))) for t in texts]
+
+
+def test_the_classifier_has_the_least_loss():
+    """No small change of any weight makes the penalised loss smaller."""
+    rng = np.random.default_rng(4)
+    x, target, weight = rng.normal(size=(200, 4)), rng.random(200), rng.random(200) + 0.5
+    w, bias = toxicity.fit_linear(x, target, weight)
+
+    def loss(v):
+        z = x @ v[:-1] + v[-1]
+        return (weight * (np.logaddexp(0, z) - target * z)).sum() + 0.5 * (v[:-1] ** 2).sum() + 0.5e-6 * v[-1] ** 2
+
+    best = np.append(w, bias)
+    for k in range(len(best)):
+        for step in (-1e-3, 1e-3):
+            assert loss(best + step * np.eye(len(best))[k]) >= loss(best) - 1e-9

@@ -10,11 +10,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import fresh, read
+from tidemark.llm.common import fresh, read, stretch
+from tidemark.operators.ranking import first_per_key, top_per_key
 
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = range(4, 8)
@@ -218,19 +219,20 @@ def fit(texts: list[str], labels: list[int], shares: dict[int, int], most_terms:
 
 
 def learn(docs: DataFrame, labels: DataFrame, learn_from: Column, rows_per_class: int = 2000, chars_per_row: int = 5000) -> Model:
-    """Model from at most `rows_per_class` labelled rows per class, those of lowest id hash,
-    and `chars_per_row` characters of each; only these reach the driver. `learn_from` says
+    """Model from at most `rows_per_class` labelled ids per class, those of lowest hash, and
+    `chars_per_row` characters of one text of each, from a place that its id decides; only
+    these reach the driver. `learn_from` says
     which doc_ids may be used. Labels other than 0 and 1 and null texts are not used."""
     usable = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.filter(learn_from).distinct()
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= rows_per_class)
-    rows = (
-        docs.select("doc_id", F.substring("text", 1, chars_per_row).alias("head"))
-        .filter("head is not null")
+    picked = top_per_key(usable, ["toxic"], [F.xxhash64("doc_id"), F.col("doc_id")], rows_per_class)
+    found = (
+        docs.filter("text is not null")
         .join(F.broadcast(picked.select("doc_id", "toxic")), "doc_id")
-        .collect()
+        .select("doc_id", "toxic", stretch(chars_per_row).alias("head"))
     )
+    # One text per picked label, however often its doc_id comes.
+    rows = first_per_key(found, ["doc_id", "toxic"], [F.xxhash64("head"), F.col("head")]).collect()
     shares = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rows.sort(key=lambda r: (r.doc_id, r.toxic, r.head))
     return fit([r.head for r in rows], [r.toxic for r in rows], shares)
