@@ -29,11 +29,22 @@ def test_longest_rule_wins(spark):
         assert (r.rule, r.verdict) == brute(r.host, r.path, RULES)
     assert uf.judge(df.limit(0), Rules(())).count() == 0
     assert {r.verdict for r in uf.judge(df, Rules(())).collect()} == {"allow"}
-    ids = spark.createDataFrame([(i, u) for i, u in enumerate(urls())], "page_id long, url string")
+
+
+def test_a_rule_table_of_any_size_judges_every_row(spark):
+    """Repeated ids, null ids and repeated urls: each row has its own verdict."""
+    rows = [(i % 5 if i % 9 else None, u, "keep") for i, u in enumerate(urls() * 2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, rule string").repartition(3)
     table = spark.createDataFrame(RULES, "verdict string, host string, path string")
-    joined = {r.page_id: (r.rule, r.verdict) for r in uf.judge_by_join(ids, table).collect()}
-    for r in uf.judge(ids, Rules(tuple(RULES))).collect():
-        assert joined.get(r.page_id, (None, "allow")) == (r.rule, r.verdict)
+    columns = ["page_id", "url", "host", "path", "rule", "verdict"]
+    key = lambda r: tuple(map(repr, r))
+    want = sorted(map(tuple, uf.judge(df, Rules(tuple(RULES)), keep=["page_id", "url"]).select(columns).collect()), key=key)
+    got = uf.judge_by_join(df, table, keep=["page_id", "url"])
+    assert got.columns == columns
+    assert sorted(map(tuple, got.collect()), key=key) == want
+    none = uf.judge_by_join(df, table.limit(0), keep=["page_id"]).collect()
+    assert len(none) == len(rows) and {r.verdict for r in none} == {"allow"}
+    assert uf.judge_by_join(df.limit(0), table).count() == 0
 
 
 def test_equal_digests_are_told_apart(monkeypatch):

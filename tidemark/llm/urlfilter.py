@@ -124,25 +124,35 @@ def judge(urls: DataFrame, rules: Rules, url: str = "url", keep: list[str] | Non
     return split.mapInArrow(run, out)
 
 
-def judge_by_join(urls: DataFrame, rules: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
-    """(key, rule, verdict) of the urls that a rule fits, for a rule table (verdict, host,
-    path) of any size: urls and rules meet over the digest, then over the string."""
+def judge_by_join(urls: DataFrame, rules: DataFrame, url: str = "url", keep: list[str] | None = None) -> DataFrame:
+    """What `judge` gives, for a rule table (verdict, host, path) of any size.
+
+    Different (host, path) pairs and rules meet over the digest, then over the string; every
+    row, repeated or without an id, then gets the verdict of its own pair. Of several rules
+    with one host and path the last verdict in the alphabet counts. The lengths of rule
+    paths, of which there are few, reach the driver."""
+    names = ["host", "path", "rule", "verdict"]
+    keep = [c for c in urls.columns if c not in names] if keep is None else keep
     host, path = host_and_path(F.col(url))
-    sizes = [r[0] for r in rules.select(F.length("path")).distinct().collect()]
+    rows = urls.select(*keep, host.alias("host"), path.alias("path"))
+    sizes = [r[0] for r in rules.select(F.length("path")).distinct().collect() if r[0] is not None]
     labels = F.split("host", r"\.")
+    suffixes = F.transform(labels, lambda x, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
     probes = (
-        urls.select(F.col(key), host.alias("host"), path.alias("path"))
+        rows.select("host", "path")
         .distinct()
-        .select(key, "path", F.explode(F.transform(labels, lambda x, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))).alias("suffix"))
-        .select(key, "suffix", "path", F.explode(F.array(*(F.lit(s) for s in sizes))).alias("size"))
+        .select("host", "path", F.explode(suffixes).alias("suffix"))
+        .select("host", "path", "suffix", F.explode(F.array(*(F.lit(s) for s in sizes)).cast("array<int>")).alias("size"))
         .filter("size <= length(path)")
-        .select(key, F.col("suffix").alias("host"), F.expr("left(path, size)").alias("path"))
+        .select(F.struct("host", "path").alias("pair"), F.col("suffix").alias("host"), F.expr("left(path, size)").alias("path"))
         .withColumn("digest", F.xxhash64(F.concat("host", "path")))
     )
     own = rules.select("verdict", "host", "path", F.xxhash64(F.concat("host", "path")).alias("digest"))
     rank = F.struct(F.length("host") + F.length("path"), F.length("host"), F.concat("host", "path").alias("rule"), "verdict")
-    best = probes.join(own, ["digest", "host", "path"]).groupBy(key).agg(F.max(rank).alias("best"))
-    return best.select(key, "best.rule", "best.verdict")
+    best = probes.join(own, ["digest", "host", "path"]).groupBy("pair").agg(F.max(rank).alias("best"))
+    found = best.select("pair.host", "pair.path", "best.rule", "best.verdict")
+    judged = rows.join(found, ["host", "path"], "left")
+    return judged.select(*keep, "host", "path", "rule", F.coalesce("verdict", F.lit(OTHERWISE)).alias("verdict"))
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
