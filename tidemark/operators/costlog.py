@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.costs import cooldown_seconds, cost_accuracy, page_size_advice
-from tidemark.operators.ranking import running_totals, top_per_key
+from tidemark.operators.ranking import running_totals, totals_at_end, top_per_key
 
 HISTORY = 100
 
@@ -171,20 +171,32 @@ def with_advice(costs: DataFrame, base_page_size: Column) -> DataFrame:
     )
 
 
+def _throughput(entities: Column, throttled: Column) -> dict[str, Column]:
+    return {
+        "requests_made": F.lit(1).cast("bigint"),
+        "entities_so_far": entities.cast("bigint"),
+        "throttles_so_far": F.when(throttled, 1).otherwise(0).cast("bigint"),
+    }
+
+
+def throughput_at_end(
+    log: DataFrame, keys: Sequence[str], entities: Column, throttled: Column, start: DataFrame | None = None
+) -> DataFrame:
+    """The totals of `running_throughput` after the last request of every key."""
+    return totals_at_end(log, keys, _throughput(entities, throttled), start)
+
+
 def running_throughput(
-    log: DataFrame, keys: Sequence[str], order: Sequence[str], entities: Column, throttled: Column
+    log: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    entities: Column,
+    throttled: Column,
+    start: DataFrame | None = None,
 ) -> DataFrame:
-    """Requests, entities and throttles so far, per request, and the throttle rate."""
-    totals = running_totals(
-        log,
-        keys,
-        order,
-        {
-            "requests_made": F.lit(1).cast("bigint"),
-            "entities_so_far": entities.cast("bigint"),
-            "throttles_so_far": F.when(throttled, 1).otherwise(0).cast("bigint"),
-        },
-    )
+    """Requests, entities and throttles so far, per request, and the throttle rate; a log
+    goes on from `start`, what `throughput_at_end` gave for the part before."""
+    totals = running_totals(log, keys, order, _throughput(entities, throttled), start)
     return totals.withColumn(
         "throttle_rate",
         F.try_divide(F.col("throttles_so_far").cast("double"), F.col("requests_made")),

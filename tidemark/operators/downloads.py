@@ -68,6 +68,22 @@ def with_metadata(queue: DataFrame, attachments: DataFrame) -> DataFrame:
     )
 
 
+def pending_of_parents(
+    pending: DataFrame,
+    parents: DataFrame,
+    key: str,
+    parent_key: str,
+    parent_type: Column,
+    filters: DownloadFilters,
+) -> DataFrame:
+    """Pending items whose parent is of a wanted kind, without case; items of a parent that
+    does not exist fall out where kinds are asked for. Parents need no unique keys."""
+    if not filters.parent_types:
+        return pending
+    wanted = parents.where(filters.matches_parent_type(parent_type)).select(F.col(parent_key).alias(key))
+    return pending.join(wanted, key, "left_semi")
+
+
 def filter_work(work: DataFrame, filters: DownloadFilters) -> DataFrame:
     """Keep matching items; those without metadata fall out only if a filter needs it."""
     by_file = filters.matches_file_type(F.col("file_name")) & filters.matches_size(

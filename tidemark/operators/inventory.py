@@ -70,9 +70,13 @@ def write_inventory(inventory: DataFrame, path: str) -> None:
     """
     rows = inventory
     if folders_in(inventory.sparkSession, path):
-        stored = inventory.sparkSession.read.schema(inventory.schema).parquet(path)
-        touched = stored.join(inventory.select(*PARTS).distinct(), PARTS, "left_semi")
-        rows = upsert(touched.select(*inventory.columns), inventory, [*KEY, SNAPSHOT_ID], ["discovered_at"])
+        # One row per snapshot and kind: as literals they prune the stored partitions.
+        written = inventory.select(*PARTS).distinct().collect()
+        touched = reduce(
+            lambda a, b: a | b, [(F.col(PARTS[0]) == r[0]) & (F.col(PARTS[1]) == r[1]) for r in written], F.lit(False)
+        )
+        stored = inventory.sparkSession.read.schema(inventory.schema).parquet(path).where(touched)
+        rows = upsert(stored.select(*inventory.columns), inventory, [*KEY, SNAPSHOT_ID], ["discovered_at"])
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*PARTS).parquet(path)
 
@@ -96,6 +100,16 @@ def missing_types(requested: Sequence[str], included: Sequence[str]) -> list[str
     return sorted(set(requested) - set(included))
 
 
+def kinds_missing(snapshots: DataFrame, requested: DataFrame) -> DataFrame:
+    """(id, entity_type) for every requested kind that a snapshot does not list, for many
+    snapshots at once; `requested` is a short list of kinds, which travels with them."""
+    kinds = requested.agg(F.array_sort(F.collect_set("entity_type"))).first()[0]
+    listed = F.from_json("entities_included", "array<string>")
+    asked = F.array(*[F.lit(k) for k in kinds]).cast("array<string>")
+    missing = F.array_except(asked, F.coalesce(listed, F.array().cast("array<string>")))
+    return snapshots.select("id", F.explode(missing).alias("entity_type"))
+
+
 def snapshot_kinds(snapshots: DataFrame, snapshot_id: str, requested: Sequence[str] | None = None) -> list[str]:
     """Kinds to work on: those requested, else all of the snapshot (one row is read).
 

@@ -25,7 +25,7 @@ ATTACHMENT_SCHEMA = (
 )
 
 
-def _pending(as_of: str) -> list[Column]:
+def pending(as_of: str) -> list[Column]:
     return [
         F.lit("pending").alias("status"),
         F.lit(0).alias("attempt_count"),
@@ -36,7 +36,7 @@ def _pending(as_of: str) -> list[Column]:
 
 def queue_from_inventory(queue: DataFrame, inventory: DataFrame, as_of: str) -> DataFrame:
     """Queue every inventoried record that is not queued yet; known items keep their status."""
-    new = inventory.select(*EXTRACT_KEY, *_pending(as_of))
+    new = inventory.select(*EXTRACT_KEY, *pending(as_of))
     return insert_or_ignore(queue, new, EXTRACT_KEY, ["updated_at"])
 
 
@@ -50,7 +50,7 @@ def queue_attachments(
         parent_type.alias("parent_type"),
         parent_id.alias("parent_id"),
         F.lit(snapshot_id).alias("map_snapshot_id"),
-        *_pending(as_of),
+        *pending(as_of),
     )
     return insert_or_ignore(queue, new, ATTACHMENT_KEY, ["parent_type", "parent_id"])
 

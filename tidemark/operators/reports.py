@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,3 +123,20 @@ def time_shares(counts: DataFrame, seconds: float) -> DataFrame:
 def write_report(report: DataFrame, path: str) -> None:
     """JSON lines."""
     report.write.mode("overwrite").json(path)
+
+
+def top_parents(
+    parents: DataFrame, children: DataFrame, key: str, child_key: str, n: int = 10, count: str = "children"
+) -> DataFrame:
+    """The `n` parents with the most children, parents without any included; ties go to the
+    smaller key. Children are counted where they are read, so a parent that has a third of
+    all children moves as one row per task; the order is limited in every task as well."""
+    per_parent = children.groupBy(F.col(child_key).alias(key)).agg(F.count(F.lit(1)).alias(count))
+    counted = parents.join(per_parent, key, "left").na.fill(0, [count])
+    return counted.orderBy(F.desc(count), key).limit(n)
+
+
+def largest(rows: DataFrame, size: Column, ties: Sequence[str], n: int = 20, name: str = "size") -> DataFrame:
+    """The `n` rows of the greatest size, the size under `name`; unknown sizes come last.
+    Payloads stay behind: keep of `rows` what the report needs besides the size."""
+    return rows.withColumn(name, size).orderBy(F.desc_nulls_last(name), *ties).limit(n)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import audit
-from tidemark.plans.registry import Tables, key_text, query
+from tidemark.plans.registry import ORACLES, Tables, key_text, query
+from tidemark.session import scratch_path
 from tidemark.sources import introspection
 
 # A read list that leaves some columns out and asks for some that do not exist.
@@ -148,6 +149,10 @@ def field_inventory(spark: SparkSession, folder: str) -> DataFrame:
         "type_name", F.from_json("body", introspection.type_entry_schema()).alias("entry")
     )
     fields = introspection.field_inventory(entries.select("type_name", "entry.kind", "entry.fields"))
+    return _report(fields)
+
+
+def _report(fields: DataFrame) -> DataFrame:
     return fields.select(
         F.col("Type").alias("type_name"),
         F.col("Field").alias("field"),
@@ -157,6 +162,18 @@ def field_inventory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("field_csv", ORACLES["field_inventory"])
+def field_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The field report written as CSV in its order and read back."""
+    path = scratch_path(spark, "fields")
+    entries = _documents_of_types(Tables(spark, folder)).select(
+        "type_name", F.from_json("body", introspection.type_entry_schema()).alias("entry")
+    )
+    fields = introspection.field_inventory(entries.select("type_name", "entry.kind", "entry.fields"))
+    introspection.write_field_inventory(fields, path)
+    return _report(introspection.read_field_inventory(spark, path))
+
+
 @query(
     "kind_statistics",
     """

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import costlog
-from tidemark.operators.ranking import moving_average
+from tidemark.operators.ranking import average_folds, average_of, continued_folds, moving_average
 from tidemark.plans.packing import cost_log, event_pages
 from tidemark.plans.registry import Tables, epoch_seconds, query
 from tidemark.sources.pages import cost_envelopes
+from tidemark.session import scratch_path
+from tidemark.sources.keydirectory import page_in_order, write_in_order
 from tidemark.sources.tables import keyset_page, newest, offset_page
 
 COSTS = """
@@ -178,30 +180,51 @@ def metrics_summary(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(metrics, "avg_throttle_seconds", "cost_accuracy_percentage")
 
 
-@query(
-    "running_throughput",
-    """
-    SELECT user_id, event_id, count(*) OVER w AS requests_made,
-           CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) OVER w AS BIGINT) AS entities_so_far,
-           count(*) FILTER (event_type = 'error') OVER w AS throttles_so_far,
-           (count(*) FILTER (event_type = 'error') OVER w) / (count(*) OVER w) AS throttle_rate
-    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
-    """,
-)
-def running_throughput(spark: SparkSession, folder: str) -> DataFrame:
-    events = Tables(spark, folder).events.select(
+def _requests(t: Tables) -> DataFrame:
+    return t.events.select(
         "user_id",
         "ts",
         "event_id",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         (F.col("event_type") == "error").alias("throttled"),
     )
+
+
+THROUGHPUT = """
+    SELECT user_id, event_id, count(*) OVER w AS requests_made,
+           CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) OVER w AS BIGINT) AS entities_so_far,
+           count(*) FILTER (event_type = 'error') OVER w AS throttles_so_far,
+           (count(*) FILTER (event_type = 'error') OVER w) / (count(*) OVER w) AS throttle_rate
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+"""
+
+
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A log cut at one moment: what was there, and the batch that follows."""
+    cut = F.col("ts") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    return rows.where(cut), rows.where(~cut)
+
+
+@query("running_throughput", THROUGHPUT)
+def running_throughput(spark: SparkSession, folder: str) -> DataFrame:
+    events = _requests(Tables(spark, folder))
     rows = costlog.running_throughput(
         events, ["user_id"], ["ts", "event_id"], F.col("k"), F.col("throttled")
     )
     return rows.drop("ts", "k", "throttled")
 
 
+@query("throughput_continued", THROUGHPUT)
+def throughput_continued(spark: SparkSession, folder: str) -> DataFrame:
+    """The log in two batches; the second goes on from the totals of the first."""
+    k, throttled = F.col("k"), F.col("throttled")
+    first, second = _halves(_requests(Tables(spark, folder)))
+    known = costlog.throughput_at_end(first, ["user_id"], k, throttled)
+    parts = [(first, None), (second, known)]
+    rows = [costlog.running_throughput(p, ["user_id"], ["ts", "event_id"], k, throttled, s) for p, s in parts]
+    return rows[0].unionByName(rows[1]).drop("ts", "k", "throttled")
+
+
 def _ema_sql(alpha: float) -> str:
     rest = 1 - alpha
     return f"""
@@ -226,6 +249,19 @@ def ema_latency(spark: SparkSession, folder: str) -> DataFrame:
     return average(0.1).unionByName(average(0.01))
 
 
+@query("ema_continued", f"{_ema_sql(0.1)} UNION ALL {_ema_sql(0.01)}")
+def ema_continued(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from two batches: the second is added to what is stored of the first."""
+    first, second = _halves(Tables(spark, folder).events)
+
+    def average(alpha: float) -> DataFrame:
+        folds = [average_folds(p, ["event_type"], ["ts", "event_id"], "value", alpha) for p in (first, second)]
+        rows = average_of(continued_folds(*folds, ["event_type"], alpha), ["event_type"], alpha)
+        return rounded(rows, "moving_average").withColumn("alpha", F.lit(alpha))
+
+    return average(0.1).unionByName(average(0.01))
+
+
 ADVICE = f"""
   SELECT id, CASE WHEN requested_cost > 8000 THEN CAST(40 AS BIGINT)
               WHEN currently_available < 2000 THEN CAST(25 AS BIGINT) ELSE CAST(50 AS BIGINT) END AS page_size,
@@ -268,6 +304,23 @@ def keyset(spark: SparkSession, folder: str) -> DataFrame:
     return keyset_page(events, "event_id", 4000, 100)
 
 
+@query(
+    "keyset_page_stored",
+    "SELECT event_id, event_type FROM events WHERE event_id > 400 ORDER BY event_id LIMIT 300",
+)
+def keyset_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Three pages of a table stored in key order, each starting behind the last key."""
+    path, events = scratch_path(spark, "events-in-order"), Tables(spark, folder).events
+    rows = events.select("event_id", "event_type")
+    write_in_order(rows, path, "event_id", files=16)
+    pages, after = [], 400
+    for _ in range(3):
+        page = page_in_order(spark, path, rows.schema, "event_id", after, 100)
+        pages.append(page)
+        after = page.agg(F.max("event_id")).first()[0]
+    return pages[0].unionByName(pages[1]).unionByName(pages[2])
+
+
 @query(
     "offset_page",
     "SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 100 OFFSET 250",

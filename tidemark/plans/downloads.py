@@ -10,6 +10,8 @@ from tidemark.operators import downloads
 from tidemark.operators.downloads import DownloadFilters
 from tidemark.plans.pipelines import DownloadPass, download_pass
 from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, key_text, query
+from tidemark.session import scratch_path
+from tidemark.sources import files
 
 # Stands in for the hosts files may be fetched from.
 ALLOWED_DOMAINS = ["example.com", "example.org"]
@@ -177,6 +179,23 @@ def stored_names(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select("doc_id", "stored_name")
 
 
+@query(
+    "hashed_files",
+    """
+    SELECT source, octet_length(encode(body)) AS length, sha256(body) AS hash
+    FROM (SELECT source, string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id) AS body FROM documents GROUP BY 1)
+    """,
+)
+def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts written as one file per source; the larger files are hashed block by block."""
+    path, docs = scratch_path(spark, "files"), Tables(spark, folder).documents
+    lines = docs.select("source", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    in_files = lines.repartition("source").sortWithinPartitions("source", "doc_id")
+    in_files.select("source", "text").write.partitionBy("source").text(path)
+    found = files.hashed_files(spark, path, "*.txt", large=100_000, block=4096)
+    return found.select(F.regexp_extract("path", "source=([^/]*)/", 1).alias("source"), "length", "hash")
+
+
 HOST_SQL = "lower(regexp_extract(url, '^[^:/?#]*://([^/?#:]*)', 1))"
 
 

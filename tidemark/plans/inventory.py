@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from tidemark.functions.jsontext import count_at, count_map, total_of_counts
 from tidemark.functions.values import Node
 from tidemark.operators import inventory as inv
-from tidemark.operators.reports import map_report
+from tidemark.operators.reports import largest, map_report
+from tidemark.operators.reports import top_parents as top_parents_of
+from tidemark.operators.merge import upsert
+from tidemark.operators.snapshots import stored_diff, write_snapshot
 from tidemark.operators.specs import SPECS
 from tidemark.plans.packing import light_customers, light_orders
 from tidemark.plans.pipelines import MapPass, map_pass
 from tidemark.plans.mappers import NODES
 from tidemark.plans.registry import AS_OF, SNAPSHOT, Tables, iso_text, key_text, query
+from tidemark.session import scratch_path
+from tidemark.sources.tables import snapshot_named
 
 CUSTOMER_TOTALS = """
   SELECT c_custkey, c_mktsegment, count(o_orderkey) AS notes,
@@ -158,11 +163,9 @@ def map_report_query(spark: SparkSession, folder: str) -> DataFrame:
 )
 def largest_payloads(spark: SparkSession, folder: str) -> DataFrame:
     docs = Tables(spark, folder).documents
-    sized = docs.select(
-        "doc_id", F.col("source").alias("entity_type"), F.length("text").cast("bigint").alias("chars")
-    )
-    top = sized.orderBy(F.desc("chars"), "entity_type", "doc_id").limit(20)
-    return top.select(key_text("doc_id").alias("entity_id"), "entity_type", "chars")
+    payload = docs.select(key_text("doc_id").alias("entity_id"), "doc_id", F.col("source").alias("entity_type"), "text")
+    top = largest(payload, F.length("text").cast("bigint"), ["entity_type", "doc_id"], 20, "chars")
+    return top.select("entity_id", "entity_type", "chars")
 
 
 @query(
@@ -175,16 +178,7 @@ def largest_payloads(spark: SparkSession, folder: str) -> DataFrame:
 )
 def top_parents(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
-    per_customer = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n_orders")
-    )
-    return (
-        t.customer.select("c_custkey", "c_name")
-        .join(per_customer, "c_custkey", "left")
-        .na.fill(0, ["n_orders"])
-        .orderBy(F.desc("n_orders"), "c_custkey")
-        .limit(10)
-    )
+    return top_parents_of(t.customer.select("c_custkey", "c_name"), t.orders, "c_custkey", "o_custkey", 10, "n_orders")
 
 
 def _two_snapshots(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -229,6 +223,106 @@ def snapshot_diff_full(spark: SparkSession, folder: str) -> DataFrame:
     return inv.snapshot_diff(older, newer).select("entity_type", "entity_id", "change")
 
 
+@query(
+    "snapshot_diff_stored",
+    """
+    SELECT o_orderpriority AS entity_type, CAST(o_orderkey AS VARCHAR) AS entity_id,
+           CASE o_orderstatus WHEN 'O' THEN 'new' WHEN 'P' THEN 'deleted' ELSE 'changed' END AS change
+    FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority = '1-URGENT'
+    """,
+)
+def snapshot_diff_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, of snapshots stored with digests."""
+    path = scratch_path(spark, "snapshots")
+    for name, rows in zip(("old", "new"), _two_snapshots(Tables(spark, folder))):
+        write_snapshot(rows.withColumn(inv.SNAPSHOT_ID, F.lit(name)), path, name, buckets=16)
+    return stored_diff(spark, path, "old", "new").select("entity_type", "entity_id", "change")
+
+
+@query(
+    "inventory_rewritten",
+    """
+    SELECT 'clients' AS entity_type, CAST(c_custkey AS VARCHAR) AS entity_id, map_snapshot_id,
+           CASE WHEN map_snapshot_id = 'snapshot-1' THEN 'second' ELSE 'first' END AS discovered_at
+    FROM customer, (VALUES ('snapshot-0'), ('snapshot-1')) s(map_snapshot_id)
+    """,
+)
+def inventory_rewritten(spark: SparkSession, folder: str) -> DataFrame:
+    """Two snapshots are written, one of them a second time: it is replaced record by record."""
+    path, clients = scratch_path(spark, "inventory"), light_customers(Tables(spark, folder))
+    for snapshot_id, when in ((OTHER, "first"), (SNAPSHOT, "first"), (SNAPSHOT, "second")):
+        inv.write_inventory(inv.inventory_of_nodes(clients, SPECS["client"], snapshot_id, when), path)
+    stored = spark.read.parquet(path)
+    return stored.select("entity_type", "entity_id", inv.SNAPSHOT_ID, "discovered_at")
+
+
+def snapshots_of_segments(t: Tables) -> DataFrame:
+    """One snapshot per market segment, which lists the nations of its customers as kinds."""
+    kinds = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    listed = kinds.groupBy("c_mktsegment").agg(F.to_json(F.sort_array(F.collect_set("n_name"))).alias("entities_included"))
+    return listed.select(
+        F.lower("c_mktsegment").alias("id"),
+        F.concat(F.lit("map-"), "c_mktsegment").alias("label"),
+        "entities_included",
+    )
+
+
+SEGMENTS = """
+  SELECT lower(c_mktsegment) AS id, 'map-' || c_mktsegment AS label, list_sort(list(DISTINCT n_name)) AS kinds
+  FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_mktsegment
+"""
+
+
+@query(
+    "snapshot_lookup",
+    f"""
+    SELECT 'by id' AS asked, id, label FROM ({SEGMENTS}) WHERE id = 'building'
+    UNION ALL SELECT 'by label', id, label FROM ({SEGMENTS}) WHERE label = 'map-MACHINERY'
+    """,
+)
+def snapshot_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One snapshot by its id, one by its label, and one that is not there."""
+    snapshots = snapshots_of_segments(Tables(spark, folder))
+    frames = [
+        snapshot_named(snapshots, name).select(F.lit(asked).alias("asked"), "id", "label")
+        for asked, name in (("by id", "building"), ("by label", "map-MACHINERY"), ("unknown", "nowhere"))
+    ]
+    return inv.combine(frames)
+
+
+@query(
+    "snapshot_rows",
+    """
+    SELECT lower(c_mktsegment) AS id, 'map-20240201-000000' AS label, '["clients","quotes"]' AS entities_included,
+           '2024-02-01T00:00:00+00:00' AS created_at, '2024-02-01T00:00:00+00:00' AS pass1_cutoff
+    FROM customer GROUP BY c_mktsegment
+    """,
+)
+def snapshot_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot record per market segment, each upserted twice and kept once."""
+    segments = [r[0] for r in Tables(spark, folder).customer.select(F.lower("c_mktsegment")).distinct().collect()]
+    rows = [inv.snapshot_row(spark, s, AS_OF, ["clients", "quotes"]) for s in segments]
+    batch = inv.combine(rows).withColumn("seq", F.lit(1))
+    once = upsert(inv.combine(rows).limit(0), batch, ["id"], ["seq"])
+    return upsert(once, batch, ["id"], ["seq"]).select("id", "label", "entities_included", "created_at", "pass1_cutoff")
+
+
+@query(
+    "kinds_not_in_snapshot",
+    f"""
+    SELECT id, n_name AS entity_type FROM ({SEGMENTS}), nation
+    WHERE n_regionkey = 1 AND NOT list_contains(kinds, n_name)
+    UNION ALL SELECT id, 'NOWHERE' FROM ({SEGMENTS})
+    """,
+)
+def kinds_not_in_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations of one region, and one that does not exist, asked of every snapshot."""
+    t = Tables(spark, folder)
+    asked = t.nation.where("n_regionkey = 1").select(F.col("n_name").alias("entity_type"))
+    asked = asked.unionByName(spark.createDataFrame([("NOWHERE",)], "entity_type string"))
+    return inv.kinds_missing(snapshots_of_segments(t), asked).select("id", "entity_type")
+
+
 @query(
     "json_count_filter",
     """
@@ -257,6 +351,7 @@ def json_map_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OTHER = "snapshot-0"
 # Kinds without relations in the given tables, by the table they are packed from.
 PLAIN_KINDS = {
     "invoices": "orders",
@@ -278,6 +373,8 @@ def _map_pass(spark: SparkSession, folder: str) -> MapPass:
     kinds = {kind: (SPECS[kind], nodes(t)) for kind, nodes in NODES.items()}
     kinds["client"] = (SPECS["client"], light_customers(t))
     kinds["quote"] = (SPECS["quote"], light_orders(t))
+    # A kind that the source has no record of.
+    kinds["user"] = (SPECS["user"], NODES["user"](t).where("node is null"))
     return map_pass(spark, kinds, SNAPSHOT, AS_OF)
 
 
@@ -299,7 +396,8 @@ MAPPED = """
     FROM ({MAPPED}) GROUP BY 1
     """
     + "".join(
-        f" UNION ALL SELECT '{kind}', count(*), 0.0::DOUBLE, 0, 0 FROM {table}" for kind, table in PLAIN_KINDS.items()
+        f" UNION ALL SELECT '{kind}', {'count(*) - count(*)' if kind == 'users' else 'count(*)'}, 0.0::DOUBLE, 0, 0 FROM {table}"
+        for kind, table in PLAIN_KINDS.items()
     ),
 )
 def map_pass_density(spark: SparkSession, folder: str) -> DataFrame:

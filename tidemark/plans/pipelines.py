@@ -18,8 +18,9 @@ from tidemark.operators.mapping import REJECT_REASON, map_entities, split_mapped
 from tidemark.operators.merge import latest_per_key, patch, upsert
 from tidemark.operators.notes import inline_attachments
 from tidemark.operators.specs import LOAD_ORDER, EntitySpec
-from tidemark.session import folders_in, remove, stage
+from tidemark.session import has_file, move, remove, stage
 from tidemark.sources.pages import child_nodes
+from tidemark.sources.records import Record
 
 
 class MapPass(NamedTuple):
@@ -47,7 +48,7 @@ def map_pass(
     return MapPass(
         inventory.snapshot_row(spark, snapshot_id, as_of, types, label),
         rows,
-        inventory.density(rows),
+        inventory.density(rows, types=types),
         inventory.hotspots(rows),
     )
 
@@ -212,37 +213,99 @@ def load_in_order(
     return outcome
 
 
+RUN_SCHEMA = (
+    "table_name string, status string, delivered bigint, stored bigint, refused bigint, error string, updated_at string"
+)
+PENDING, RUNNING, COMPLETED, FAILED = "pending", "in_progress", "completed", "failed"
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in the place of a table. The old one is moved aside before and
+    removed after, so that a crash at any point leaves one whole table (see `recover`)."""
+    aside = f"{path}.old"
+    remove(spark, aside)
+    if has_file(spark, path, ""):
+        move(spark, path, aside)
+    move(spark, staged, path)
+    remove(spark, aside)
+
+
+def recover(spark: SparkSession, staged: str, path: str) -> None:
+    """After a crash inside `publish`: the staged table where it is whole, else the old one."""
+    if has_file(spark, path, ""):
+        return
+    if has_file(spark, staged, "_SUCCESS"):
+        move(spark, staged, path)
+    elif has_file(spark, f"{path}.old", ""):
+        move(spark, f"{path}.old", path)
+
+
+def run_state(spark: SparkSession, target: str, run_id: str, tables: Sequence[str]) -> DataFrame:
+    """One row per table of a run, at any time while it runs; tables not begun are pending."""
+    records = {t: _run_record(spark, target, run_id, t).values() for t in tables}
+    rows = [tuple(r or (t, PENDING, 0, 0, 0, "", None)) for t, r in records.items()]
+    return spark.createDataFrame(rows, RUN_SCHEMA)
+
+
+def _run_record(spark: SparkSession, target: str, run_id: str, table: str) -> Record:
+    return Record(spark, f"{target}/_runs/{run_id}/{table}", RUN_SCHEMA)
+
+
 def migrate(
-    spark: SparkSession, mapped: Mapping[str, Callable[[], DataFrame]], target: str
+    spark: SparkSession,
+    mapped: Mapping[str, Callable[[], DataFrame]],
+    target: str,
+    seq: Sequence[str],
+    run_id: str = "run",
+    clock: Callable[[], str] = lambda: "",
+    order: Sequence[str] = tuple(LOAD_ORDER),
 ) -> DataFrame:
-    """A whole run: every kind's mapped rows upserted by id below `target`, parents first.
-
-    `mapped` gives per table name the mapped rows with their reject reasons. A kind that
-    fails keeps its stored table and does not stop the others. One summary row per kind:
+    """A whole run: every table's mapped rows upserted by id below `target`, parents first.
+
+    `mapped` gives per table the mapped rows with their reject reasons and the columns `seq`,
+    which say which of several rows of an id is the newest; they are not stored. A table that
+    fails keeps what was stored and does not stop the others. The run keeps a record per
+    table that is written when it begins and when it ends. Called again with the same
+    `run_id`, a run leaves out what it has completed and goes on with the rest; a table that
+    was stopped halfway starts anew from the table stored before. One summary row per table:
     rows delivered, rows stored afterwards, rows refused, and the error, blank if none.
     """
-    counts: dict[str, tuple[int, int, int]] = {}
 
     def loader(name: str) -> Callable[[], None]:
-        def run() -> None:
+        record = _run_record(spark, target, run_id, name)
+        path, staged = f"{target}/{name}", f"{target}/_staged/{name}"
+
+        def load() -> None:
+            known = record.values()
+            if known and known[1] == COMPLETED:
+                return
+            recover(spark, staged, path)
+            record.put(name, RUNNING, 0, 0, 0, "", clock())
             rows = stage(mapped[name](), f"mapped-{name}")
             accepted = split_mapped(rows).accepted
-            known = [f for f in folders_in(spark, target) if f.rsplit("/", 1)[-1] == name]
-            stored = spark.read.parquet(known[0]) if known else spark.createDataFrame([], accepted.schema)
-            state = stage(upsert(stored, accepted, ["id"], ["id"]), f"state-{name}")
-            state.write.mode("overwrite").parquet(f"{target}/{name}")
-            delivered, kept = rows.count(), accepted.count()
-            counts[name] = (delivered, state.count(), delivered - kept)
-            for frame in (rows, state):
-                remove(spark, frame.inputFiles()[0].rsplit("/", 1)[0]) if frame.inputFiles() else None
+            columns = [c for c in accepted.columns if c not in seq]
+            there = has_file(spark, path, "")
+            stored = spark.read.parquet(path) if there else spark.createDataFrame([], accepted.select(*columns).schema)
+            upsert(stored, accepted, ["id"], seq).write.mode("overwrite").parquet(staged)
+            publish(spark, staged, path)
+            # One column is read here, and Parquet's own row counts below.
+            counts = rows.agg(F.count(F.lit(1)), F.count(REJECT_REASON)).first()
+            record.put(name, COMPLETED, counts[0], spark.read.parquet(path).count(), counts[1], "", clock())
+            for file in rows.inputFiles()[:1]:
+                remove(spark, file.rsplit("/", 1)[0])
+
+        def run() -> None:
+            try:
+                load()
+            except Exception as error:  # a table's failure is part of the record
+                record.put(name, FAILED, 0, 0, 0, str(error), clock())
+                raise
 
         return run
 
-    outcome = load_in_order({name: loader(name) for name in mapped})
-    rows = [(name, *counts.get(name, (0, 0, 0)), error) for name, error in outcome.items()]
-    return spark.createDataFrame(
-        rows, "table_name string, delivered bigint, stored bigint, refused bigint, error string"
-    )
+    load_in_order({name: loader(name) for name in mapped}, order)
+    state = run_state(spark, target, run_id, list(mapped))
+    return state.select("table_name", "delivered", "stored", "refused", "error")
 
 
 def reject_counts(mapped: DataFrame, kind: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import queues
+from tidemark.operators.downloads import DownloadFilters, pending_of_parents
 from tidemark.operators.mapping import map_attachments, map_entities
 from tidemark.operators.merge import evolve
 from tidemark.operators.specs import SPECS
@@ -371,10 +372,6 @@ def single_node(spark: SparkSession, folder: str) -> DataFrame:
 def pending_by_parent_type(spark: SparkSession, folder: str) -> DataFrame:
     """Open lines whose order is of a wanted kind; both filters reach the scans."""
     t = Tables(spark, folder)
-    parents = t.orders.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
-        F.col("o_orderkey").alias("l_orderkey")
-    )
-    pending = t.lineitem.where("l_linestatus = 'O'").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
-    )
-    return pending.join(parents, "l_orderkey", "left_semi")
+    pending = t.lineitem.where("l_linestatus = 'O'").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    wanted = DownloadFilters(parent_types=["1-urgent", "2-High"])
+    return pending_of_parents(pending, t.orders, "l_orderkey", "o_orderkey", F.col("o_orderpriority"), wanted)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.reports import event_page_files
-from tidemark.plans.registry import AS_OF, Tables, query, time_text
+from tidemark.operators import queues
+from tidemark.plans.registry import AS_OF, Tables, iso_text, key_text, query, time_text
 from tidemark.session import scratch_path
-from tidemark.streaming import feed, rates
+from tidemark.streaming import feed, outcomes, rates
+from tidemark.streaming.batches import read_live
 
 EVENT_KEY = ["user_id"]
 EVENT_SEQ = ["ts", "event_id"]
@@ -70,6 +72,84 @@ def stream_rate(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("window_start", time_text("window_start"))
 
 
+@query(
+    "stream_rate_folded",
+    """
+    SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
+           CAST(2 AS BIGINT) * count(*) AS requests
+    FROM events GROUP BY ALL
+    """,
+)
+def stream_rate_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per minute of two feeds; those of the first are added up to hours before the
+    second comes, a third start of the first finds nothing new, and all are read as hours."""
+    target, cursor = scratch_path(spark, "rates"), scratch_path(spark, "cursor")
+    source, schema = _event_files(spark, folder), Tables(spark, folder).events.schema
+
+    def count(checkpoint: str) -> None:
+        stream = feed.table_stream(spark, source, schema, files_per_batch=1)
+        timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+        rates.count_stream(timed, target, checkpoint, "ts", ["event_type"], "1 minute").awaitTermination()
+
+    count(cursor)
+    rates.fold_counts(spark, target, ["event_type"], "1 hour")
+    count(scratch_path(spark, "cursor"))
+    count(cursor)
+    counted = rates.rate_per_window(spark, target, ["event_type"], "1 hour")
+    return counted.withColumn("window_start", time_text("window_start"))
+
+
+ATTEMPTS = """
+  SELECT l_orderkey, {'l': l_linenumber, 'p': l_partkey, 's': l_suppkey} AS place, l_shipdate,
+         CASE l_returnflag WHEN 'R' THEN 'failed' WHEN 'A' THEN 'succeeded' ELSE 'claimed' END AS kind
+  FROM lineitem
+"""
+
+
+@query(
+    "stream_queue_state",
+    f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
+           CASE last WHEN 'failed' THEN 'failed' WHEN 'succeeded' THEN 'done'
+                WHEN 'claimed' THEN CASE WHEN last_at < TIMESTAMP '1996-01-01' THEN 'pending' ELSE 'in_progress' END
+                ELSE 'pending' END AS status,
+           CAST(coalesce(failures, 0) AS INTEGER) AS attempt_count,
+           CASE ended WHEN 'failed' THEN 'line ' || ended_line.l END AS last_error
+    FROM orders LEFT JOIN (
+      SELECT l_orderkey, count(*) FILTER (kind = 'failed') AS failures, arg_max(kind, place) AS last,
+             arg_max(l_shipdate, place) AS last_at,
+             arg_max(kind, place) FILTER (kind <> 'claimed') AS ended,
+             max(place) FILTER (kind <> 'claimed') AS ended_line
+      FROM ({ATTEMPTS}) GROUP BY 1) ON l_orderkey = o_orderkey
+    """,
+)
+def stream_queue_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as attempts at their order, in files without any order. The files come
+    twice, by two feeds with a fold between them, as a source does that delivers again."""
+    t, target = Tables(spark, folder), scratch_path(spark, "outcomes")
+    kind = F.when(F.col("l_returnflag") == "R", outcomes.FAILED).when(F.col("l_returnflag") == "A", outcomes.SUCCEEDED)
+    facts = t.lineitem.select(
+        key_text("l_orderkey").alias("entity_id"),
+        F.col("l_linenumber").alias("attempt"),
+        "l_partkey",
+        "l_suppkey",
+        kind.otherwise(outcomes.CLAIMED).alias("kind"),
+        F.concat(F.lit("line "), key_text("l_linenumber")).alias("error"),
+        iso_text("l_shipdate").alias("at"),
+    )
+    source = scratch_path(spark, "outcome-files")
+    key, order = ["entity_id"], ["attempt", "l_partkey", "l_suppkey"]
+    facts.repartition(5, F.xxhash64(*key, *order)).write.parquet(source)
+    for _ in range(2):
+        stream = feed.table_stream(spark, source, facts.schema, files_per_batch=1)
+        outcomes.outcome_stream(stream, target, scratch_path(spark, "cursor"), key, order).awaitTermination()
+        outcomes.fold_outcomes(spark, target, key, order)
+    queue = t.orders.select(key_text("o_orderkey").alias("entity_id"), *queues.pending(AS_OF))
+    year = 366 * 24 * 3600
+    state = outcomes.queue_state(spark, target, queue, key, order, "1997-01-01T00:00:00Z", year)
+    return state.select("entity_id", "status", "attempt_count", "last_error")
+
+
 @query("stream_new_only", "SELECT DISTINCT user_id, 'x' AS event_type FROM events")
 def stream_new_only(spark: SparkSession, folder: str) -> DataFrame:
     """Clients are stored when first seen: some before the feed, which are skipped, the rest
@@ -82,9 +162,9 @@ def stream_new_only(spark: SparkSession, folder: str) -> DataFrame:
     for _ in range(2):
         stream = feed.table_stream(spark, source, schema, files_per_batch=1).select("user_id", "event_type", "ts", "event_id")
         checkpoint = scratch_path(spark, "cursor")
-        feed.new_only_stream(stream, target, checkpoint, EVENT_KEY, EVENT_SEQ).awaitTermination()
+        feed.new_only_stream(stream, target, checkpoint, EVENT_KEY, EVENT_SEQ, buckets=4).awaitTermination()
         feed.compact(spark, target, EVENT_KEY, EVENT_SEQ)
-    return spark.read.parquet(target).select("user_id", F.lit("x").alias("event_type"))
+    return read_live(spark, target).select("user_id", F.lit("x").alias("event_type"))
 
 
 @query("stream_dedup", "SELECT DISTINCT event_id FROM events")
@@ -93,22 +173,34 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     target, checkpoint = scratch_path(spark, "dedup"), scratch_path(spark, "cursor")
     events = _event_stream(spark, folder).select("event_id", "ts")
     twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    feed.new_only_stream(twice, target, checkpoint, ["event_id"], ["ts", "copy"]).awaitTermination()
-    return spark.read.parquet(target).select("event_id")
+    feed.new_only_stream(twice, target, checkpoint, ["event_id"], ["ts", "copy"], buckets=4).awaitTermination()
+    return read_live(spark, target).select("event_id")
 
 
-@query(
-    "migration_state",
-    """
+STATE = """
     SELECT 'requests' AS entity_type, CAST(NULL AS VARCHAR) AS last_cursor,
            count(DISTINCT user_id) AS total_fetched, 'completed' AS sync_status,
            '2024-02-01T00:00:00+00:00' AS updated_at, '2024-02-01T00:00:00+00:00' AS last_sync_at
     FROM events
-    """,
-)
+"""
+
+
+@query("migration_state", STATE)
 def migration_state(spark: SparkSession, folder: str) -> DataFrame:
     target, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "cursor")
     events = _event_stream(spark, folder).select("user_id", "event_type", "ts", "event_id")
-    drained = feed.new_only_stream(events, target, checkpoint, EVENT_KEY, EVENT_SEQ)
+    drained = feed.new_only_stream(events, target, checkpoint, EVENT_KEY, EVENT_SEQ, buckets=4)
+    drained.awaitTermination()
+    return feed.migration_state("requests", read_live(spark, target), drained, AS_OF)
+
+
+@query("feed_record", STATE)
+def feed_record(spark: SparkSession, folder: str) -> DataFrame:
+    """The record that a feed keeps after every batch, once it is drained."""
+    target, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "cursor")
+    record = feed.FeedRecord(spark, scratch_path(spark, "record"), "requests", target, lambda: AS_OF)
+    events = _event_stream(spark, folder).select("user_id", "event_type", "ts", "event_id")
+    drained = feed.new_only_stream(events, target, checkpoint, EVENT_KEY, EVENT_SEQ, record.batch_done, buckets=4)
     drained.awaitTermination()
-    return feed.migration_state("requests", spark.read.parquet(target), drained, AS_OF)
+    record.finished(drained)
+    return record.read()

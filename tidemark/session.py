@@ -89,6 +89,57 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in system.listStatus(folder) if f.isDirectory()]
 
 
+def has_file(spark: SparkSession, path: str, name: str) -> bool:
+    """Whether a folder has a file of this name; for a blank name, whether it is there."""
+    folder, system = _folder(spark, f"{path.rstrip('/')}/{name}".rstrip("/"))
+    return system.exists(folder)
+
+
+def move(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder; its new parent is made where it is missing."""
+    folder, system = _folder(spark, old)
+    there, _ = _folder(spark, new)
+    system.mkdirs(there.getParent())
+    if not system.rename(folder, there):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text in a file, whole or not at all: it is written aside and renamed."""
+    target, system = _folder(spark, path)
+    aside, _ = _folder(spark, f"{target.getParent().toString()}/_{uuid.uuid4().hex}")
+    stream = system.create(aside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    system.delete(target, False)
+    if not system.rename(aside, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file, system = _folder(spark, path)
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Files of a folder, hidden ones left out; none where it does not exist."""
+    folder, system = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    found = [f.getPath() for f in system.listStatus(folder) if f.isFile()]
+    return [p.toString() for p in found if not p.getName().startswith(("_", "."))]
+
+
+def absolute(spark: SparkSession, path: str) -> str:
+    """The one spelling of a path: scheme, authority and no trailing slash."""
+    folder, system = _folder(spark, path)
+    return system.makeQualified(folder).toString()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     folder, system = _folder(spark, path)
     system.delete(folder, True)
