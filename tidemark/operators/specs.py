@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemark.functions.contacts import additional_values, contact_array, primary_value
 from tidemark.functions.jsontext import edge_nodes_json, json_or_empty_list
-from tidemark.functions.money import node_cents_rounded, node_cents_truncated, not_a_number
+from tidemark.functions.money import beyond_cents, node_cents_rounded, node_cents_truncated, not_a_number
 from tidemark.functions.timestamps import iso_normalized, iso_passthrough
 from tidemark.functions.values import Node
 
@@ -79,6 +80,16 @@ def _no_client_value(node: Node) -> dict[str, Column]:
     return {**_no_id(node), "missing client id": node.text_or_blank("client.id") == ""}
 
 
+def _in_cents(problems: Columns, *paths: str) -> Columns:
+    """The problems of a kind, and amounts that its cents cannot hold."""
+
+    def found(node: Node) -> dict[str, Column]:
+        beyond = reduce(lambda a, b: a | b, [beyond_cents(node, path) for path in paths])
+        return {**problems(node), "amount out of range": beyond}
+
+    return found
+
+
 def _client(node: Node) -> dict[str, Column]:
     emails = contact_array(node, "emails", "address")
     phones = contact_array(node, "phones", "number")
@@ -103,23 +114,33 @@ def _client(node: Node) -> dict[str, Column]:
     }
 
 
+INVOICE_AMOUNTS = {
+    "total_cents": "amounts.total",
+    "subtotal": "amounts.subtotal",
+    "tax_cents": "amounts.taxAmount",
+    "discount_cents": "amounts.discountAmount",
+    "deposit_cents": "amounts.depositAmount",
+}
+
+
 def _invoice(node: Node) -> dict[str, Column]:
     net = node.typed("invoiceNet", "bigint")
+    cents = {name: node_cents_truncated(node, path) for name, path in INVOICE_AMOUNTS.items()}
     return {
         "id": _id(node),
         "client_id": node.text("client.id"),
         "number": node.text("invoiceNumber"),
-        "total_cents": node_cents_truncated(node, "amounts.total"),
+        "total_cents": cents["total_cents"],
         "status": node.text("invoiceStatus"),
         "issued_at": _as_is(node, "issuedDate"),
         "due_date": _iso(node, "dueDate"),
-        "subtotal": node_cents_truncated(node, "amounts.subtotal"),
+        "subtotal": cents["subtotal"],
         "line_items": edge_nodes_json(node, "lineItems"),
         "subject": node.text_or_blank("subject"),
         "message": node.text_or_blank("message"),
-        "tax_cents": node_cents_truncated(node, "amounts.taxAmount"),
-        "discount_cents": node_cents_truncated(node, "amounts.discountAmount"),
-        "deposit_cents": node_cents_truncated(node, "amounts.depositAmount"),
+        "tax_cents": cents["tax_cents"],
+        "discount_cents": cents["discount_cents"],
+        "deposit_cents": cents["deposit_cents"],
         "invoice_net": F.coalesce(net, F.lit(0).cast("bigint")),
     }
 
@@ -351,16 +372,16 @@ _WITH_NOTES = {"relations": NOTE_RELATIONS}
 SPECS: dict[str, EntitySpec] = {
     spec.name: spec
     for spec in (
-        EntitySpec("client", "clients", _client, _no_id, **_WITH_NOTES),
-        EntitySpec("invoice", "invoices", _invoice, _no_client_value, **_WITH_NOTES),
+        EntitySpec("client", "clients", _client, _in_cents(_no_id, "balance"), **_WITH_NOTES),
+        EntitySpec("invoice", "invoices", _invoice, _in_cents(_no_client_value, *INVOICE_AMOUNTS.values()), **_WITH_NOTES),
         EntitySpec(
             "quote",
             "quotes",
             _quote,
-            _quote_problems,
+            _in_cents(_quote_problems, *QUOTE_AMOUNTS.values()),
             relations={"line_items": "lineItems", **NOTE_RELATIONS},
         ),
-        EntitySpec("job", "jobs", _job, _no_relation("client"), **_WITH_NOTES),
+        EntitySpec("job", "jobs", _job, _in_cents(_no_relation("client"), "total", "invoicedTotal"), **_WITH_NOTES),
         EntitySpec("property", "properties", _property, _no_relation("client")),
         EntitySpec("request", "requests", _request, _no_relation("client"), **_WITH_NOTES),
         EntitySpec("user", "users", _user, _no_id, updated_path="lastLoginAt"),
@@ -368,7 +389,7 @@ SPECS: dict[str, EntitySpec] = {
             "expense",
             "expenses",
             _expense,
-            _no_relation("linkedJob"),
+            _in_cents(_no_relation("linkedJob"), "total"),
             relations=NOTE_RELATIONS,
             sparse_relations=True,
         ),
@@ -388,7 +409,7 @@ SPECS: dict[str, EntitySpec] = {
             "product_service",
             "productsAndServices",
             _product_service,
-            _no_id,
+            _in_cents(_no_id, "defaultUnitCost", "internalUnitCost"),
             updated_path=None,
         ),
         EntitySpec("tax_rate", "taxRates", _tax_rate, _no_id, updated_path=None),

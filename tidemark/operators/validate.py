@@ -16,13 +16,10 @@ ISSUE_COLUMNS = ["severity", "category", "table", "field", "count"]
 
 @dataclass(frozen=True)
 class ForeignKey:
-    """`unique` says that a parent has one row per key; others are reduced to their keys."""
-
     child: str
     column: str
     parent: str
     parent_key: str = "id"
-    unique: bool = True
 
 
 # The checks of the business tables.
@@ -87,17 +84,10 @@ def _issues(counts: DataFrame, category: str) -> DataFrame:
     )
 
 
-def _orphans(tables: Mapping[str, DataFrame], rule: ForeignKey, blank_is_null: bool) -> DataFrame:
-    values = tables[rule.child].select(F.col(rule.column).alias("value"))
-    keys = tables[rule.parent].select(F.col(rule.parent_key).alias("value"))
-    keys = keys if rule.unique else keys.distinct()
-    if values.schema["value"].dataType != keys.schema["value"].dataType:
-        values, keys = (df.select(F.col("value").cast("string")) for df in (values, keys))
-    values = values.where("value is not null")
-    if blank_is_null:
-        values = values.where(F.col("value").cast("string") != "")
-    counts = values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(keys, "value", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))
+def _value_type(tables: Mapping[str, DataFrame], rules: Sequence[ForeignKey]) -> str:
+    """The type that all keys and references have; text where they differ."""
+    types = {tables[t].schema[c].dataType.simpleString() for r in rules for t, c in ((r.child, r.column), (r.parent, r.parent_key))}
+    return types.pop() if len(types) == 1 else "string"
 
 
 def foreign_key_orphans(
@@ -107,21 +97,38 @@ def foreign_key_orphans(
 ) -> DataFrame:
     """Orphan rows per rule, zeros included: (table, field, parent, count).
 
-    A rule reads one column on each side. References are counted per value before
-    the anti join, so a hot value moves as one row per map task and the join sees
-    each value once. Rules on absent tables are skipped.
+    One scan per table, one shuffle, no join of tables. A scan gives all keys and references
+    of a row, tagged with the parent they belong to; a (parent, value) that no key has is an
+    orphan. References are counted where they are read, so a hot value moves as one row per
+    task. Parents need no unique keys. Rules on absent tables are skipped.
     """
-    return _union(
-        [
-            _orphans(tables, rule, blank_is_null).select(
-                F.lit(rule.child).alias("table"),
-                F.lit(rule.column).alias("field"),
-                F.lit(f"{rule.parent}.{rule.parent_key}").alias("parent"),
-                "count",
-            )
-            for rule in rules
-            if rule.child in tables and rule.parent in tables
-        ]
+    rules = [r for r in rules if r.child in tables and r.parent in tables]
+    parents = list(dict.fromkeys((r.parent, r.parent_key) for r in rules))
+    # A rule has its own counter among those of its parent.
+    slots = [sum(q.parent == r.parent and q.parent_key == r.parent_key for q in rules[:i]) for i, r in enumerate(rules)]
+    tags = [parents.index((r.parent, r.parent_key)) for r in rules]
+    kind = _value_type(tables, rules)
+    is_key = -1
+
+    def entry(tag: int, slot: int, column: str) -> Column:
+        value = F.col(column).cast(kind)
+        if slot != is_key and blank_is_null:
+            value = F.when(F.col(column).cast("string") != "", value)
+        return F.struct(F.lit(tag).alias("tag"), F.lit(slot).alias("slot"), value.alias("value"))
+
+    frames = []
+    for name in dict.fromkeys([*(r.child for r in rules), *(p for p, _ in parents)]):
+        entries = [entry(t, s, r.column) for r, t, s in zip(rules, tags, slots) if r.child == name]
+        entries += [entry(tag, is_key, key) for tag, (parent, key) in enumerate(parents) if parent == name]
+        frames.append(tables[name].select(F.inline(F.array(*entries))).where("value is not null"))
+    counters = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(max(slots, default=0) + 1)]
+    values = _union(frames).groupBy("tag", "value").agg(F.max(F.col("slot") == is_key).alias("found"), *counters)
+    found = values.where(~F.col("found")).groupBy("tag").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(counters))])
+    pairs = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"n{i}").alias("orphans")) for i in range(len(counters))])
+    names = [(t, s, r.child, r.column, f"{r.parent}.{r.parent_key}") for r, t, s in zip(rules, tags, slots)]
+    listed = values.sparkSession.createDataFrame(names, "tag int, slot int, `table` string, field string, parent string")
+    return listed.join(found.select("tag", F.inline(pairs)), ["tag", "slot"], "left").select(
+        "table", "field", "parent", F.coalesce("orphans", F.lit(0)).alias("count")
     )
 
 
@@ -241,15 +248,23 @@ def completeness(
     compares one run with the whole inventory instead.
     """
     inventory, queue = of_snapshot(inventory, snapshot_id), of_snapshot(queue, snapshot_id)
-    by = ["entity_type"]
     if run_counts is None:
-        by = [*by, SNAPSHOT_ID]
-        run_counts = queue.groupBy(*by).agg(
-            F.count_if(F.col("status") == "done").alias("extracted"),
-            F.count_if(F.col("status") == "failed").alias("failed"),
+        # Both sides as rows of one grouping: what is expected, and how it went.
+        sides = [inventory.withColumn("_status", F.lit("expected")), queue.withColumn("_status", F.col("status"))]
+        status = F.col("_status")
+        both = (
+            _union([df.select("entity_type", SNAPSHOT_ID, "_status") for df in sides])
+            .groupBy("entity_type", SNAPSHOT_ID)
+            .agg(
+                F.count_if(status == "expected").alias("expected"),
+                F.count_if(status == "done").alias("extracted"),
+                F.count_if(status == "failed").alias("failed"),
+            )
+            .where("expected > 0")
         )
-    expected = inventory.groupBy(*by).agg(F.count(F.lit(1)).alias("expected"))
-    both = expected.join(run_counts, by, "left").na.fill(0, ["extracted", "failed"])
+    else:
+        expected = inventory.groupBy("entity_type").agg(F.count(F.lit(1)).alias("expected"))
+        both = expected.join(run_counts, "entity_type", "left").na.fill(0, ["extracted", "failed"])
     attempted = F.col("extracted") + F.col("failed")
     checks = F.array(
         F.struct(
@@ -295,24 +310,31 @@ def mapped_versus_extracted(
 ) -> DataFrame:
     """Mapped, extracted and failed records per kind.
 
-    Both sides are one row per record and snapshot before the join, which has no fan-out;
-    records of several snapshots are then one row again.
+    Records and their queue state are rows of one grouping. A record counts once however
+    often it is mapped, and its state where it is mapped in the same snapshot; over several
+    snapshots rows are dealt out by record, which serves both groupings.
     """
-    key = ["entity_type", "entity_id", SNAPSHOT_ID]
-    mapped = of_snapshot(inventory, snapshot_id).select(*key).distinct()
-    state = of_snapshot(queue, snapshot_id).groupBy(*key).agg(
-        F.count_if(F.col("status") == "done").alias("done"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-    )
-    records = mapped.join(state, key, "left")
+    record, key = ["entity_type", "entity_id"], ["entity_type", "entity_id", SNAPSHOT_ID]
+    mapped = of_snapshot(inventory, snapshot_id).select(*key, F.lit(True).alias("_mapped"), F.lit("").alias("status"))
+    state = of_snapshot(queue, snapshot_id).select(*key, F.lit(False).alias("_mapped"), "status")
+    rows = mapped.unionByName(state)
     if snapshot_id is None:
-        records = records.groupBy("entity_type", "entity_id").agg(
-            F.sum("done").alias("done"), F.sum("failed").alias("failed")
+        rows = rows.repartition(*record)
+    records = (
+        rows.groupBy(*key)
+        .agg(
+            F.max("_mapped").alias("_mapped"),
+            F.count_if(F.col("status") == "done").alias("done"),
+            F.count_if(F.col("status") == "failed").alias("failed"),
         )
+        .where("_mapped")
+    )
+    if snapshot_id is None:
+        records = records.groupBy(*record).agg(F.sum("done").alias("done"), F.sum("failed").alias("failed"))
     return records.groupBy("entity_type").agg(
         F.count(F.lit(1)).alias("mapped_count"),
-        F.coalesce(F.sum("done"), F.lit(0)).alias("extracted_count"),
-        F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_count"),
+        F.sum("done").alias("extracted_count"),
+        F.sum("failed").alias("failed_count"),
     )
 
 
