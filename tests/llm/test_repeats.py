@@ -67,8 +67,12 @@ def test_documents_match_brute_force(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, begin int").repartition(4)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     want = rows_of([(t or "").encode() for t in texts], 400)
-    got = {r[0]: tuple(r)[1:] for r in repeats.op8_repeats(spark, str(tmp_path)).collect()}
+    found = repeats.op8_repeats(spark, str(tmp_path)).collect()
+    got = {r[0]: tuple(r)[1:5] for r in found}
     assert [got[i] for i in range(len(texts))] == want
+    for r in found:
+        assert (r.n_kept, r.has_repeat) == (r.n_bytes - r.n_removed, int(r.n_removed > 0))
+        assert r.removed_share == (r.n_removed / r.n_bytes if r.n_bytes else 0.0)
     assert sum(w[1] for w in want) > 20000
 
 

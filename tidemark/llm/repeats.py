@@ -353,5 +353,10 @@ def removed(docs: DataFrame, scratch: Scratch, size: int = 400, gram: int = GRAM
 
 
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its bytes that are part of a repeated string of 400 bytes."""
-    return removed(read(spark, sf_dir, "documents"), Scratch(spark))
+    """Every document without its bytes that are part of a repeated string of 400 bytes; the
+    bytes left and the share removed are told beside the numbers they follow from."""
+    left = F.col("n_bytes") - F.col("n_removed")
+    share = F.coalesce(F.try_divide(F.col("n_removed").cast("double"), "n_bytes"), F.lit(0.0))
+    return removed(read(spark, sf_dir, "documents"), Scratch(spark)).select(
+        "*", left.alias("n_kept"), share.alias("removed_share"), (F.col("n_removed") > 0).cast("int").alias("has_repeat")
+    )
