@@ -90,6 +90,13 @@ def write_batch(rows: DataFrame, target: str, folder: Folder, by: Sequence[str]
     (writer.partitionBy(*by) if by else writer).parquet(folder_path(target, folder))
 
 
+def sweep(spark: SparkSession, target: str) -> None:
+    """Remove the folders that folds cover, once nothing reads them any more."""
+    hidden = {folder for covered in covers(spark, target).values() for folder in covered}
+    for folder in set(all_folders(spark, target)) & hidden:
+        remove(spark, folder_path(target, folder))
+
+
 def fold(
     spark: SparkSession,
     target: str,
@@ -108,9 +115,7 @@ def fold(
     of one fold to read them.
     """
     folds = covers(spark, target)
-    hidden = {folder for covered in folds.values() for folder in covered}
-    for folder in set(all_folders(spark, target)) & hidden:
-        remove(spark, folder_path(target, folder))
+    sweep(spark, target)
     folders = live_folders(spark, target) if folders is None else list(folders)
     if not folders:
         return None

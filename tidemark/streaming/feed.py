@@ -107,7 +107,8 @@ def current_state(
 
 
 def compact(spark: SparkSession, target: str, keys: Sequence[str], seq: Sequence[str]) -> None:
-    """Fold all batches into one folder. Run it while no feed of the target is running."""
+    """Fold all batches into one folder and remove the others, so that a plain read of the
+    target is right again too. Run it while no feed of the target is running."""
     index = KeyIndex.of(spark, target, keys)
     if index is not None:
         index.cover(target)
@@ -118,6 +119,7 @@ def compact(spark: SparkSession, target: str, keys: Sequence[str], seq: Sequence
     made = batches.fold(spark, target, newest)
     if index is not None and made is not None:
         index.know(made)
+    batches.sweep(spark, target)
 
 
 def new_only_stream(
