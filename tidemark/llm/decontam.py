@@ -45,6 +45,12 @@ def weighted(words: Column, hashes: Column, size: Column) -> Column:
     return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), letters(i).alias("w")))
 
 
+def once(shingle_list: Column) -> Column:
+    """The different shingles, by sorting: a set of structs would be compared pair by pair."""
+    differs = lambda o, k: (k == 0) | (F.get(o, k)["h"] != F.get(o, k - 1)["h"])
+    return worked_out(F.array_sort(shingle_list), lambda o: F.filter(o, lambda _, k: differs(o, k)))
+
+
 def shingle_size() -> Column:
     """Items of fewer than five words are one shingle of that many words."""
     return F.least(F.lit(SHINGLE), F.col("size"))
@@ -89,26 +95,26 @@ def marked(shingles: Column, item_shingles: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), begins)
 
         def members(found: Column) -> Column:
-            end = lambda k: F.coalesce(F.get(found, k + 1), F.size(ordered))
-            return F.flatten(F.transform(found, lambda s, k: worked_out(F.slice(ordered, s + 1, end(k) - s), linked)))
+            def linked(start: Column, number: Column) -> Column:
+                end = F.coalesce(F.get(found, number + 1), F.size(ordered))
+                common = F.get(ordered, start)["i"] == -1
+                place = lambda k, inside: F.when(inside, F.get(ordered, k)["i"])
+                return F.transform(
+                    F.sequence(start, end - 1),
+                    lambda k: F.struct(
+                        F.get(ordered, k)["i"].alias("i"),
+                        F.get(ordered, k)["h"].alias("h"),
+                        F.get(ordered, k)["w"].alias("w"),
+                        common.alias("common"),
+                        F.coalesce(place(k - 1, k > start), F.lit(-1)).alias("before"),
+                        F.coalesce(place(k + 1, k + 1 < end), F.lit(NEVER)).alias("after"),
+                    ),
+                )
+
+            return F.filter(F.flatten(F.transform(found, linked)), lambda e: e["i"] >= 0)
 
         return worked_out(starts, members)
 
-    def linked(group: Column) -> Column:
-        common = F.get(group, F.lit(0))["i"] == -1
-        links = F.transform(
-            group,
-            lambda e, k: F.struct(
-                e["i"].alias("i"),
-                e["h"].alias("h"),
-                e["w"].alias("w"),
-                common.alias("common"),
-                F.coalesce(F.when(k > 0, F.get(group, k - 1)["i"]), F.lit(-1)).alias("before"),
-                F.coalesce(F.get(group, k + 1)["i"], F.lit(NEVER)).alias("after"),
-            ),
-        )
-        return F.filter(links, lambda e: e["i"] >= 0)
-
     return F.array_sort(worked_out(both, groups))
 
 
@@ -173,31 +179,35 @@ def best_window() -> Column:
     return F.aggregate(steps, seed, step, lambda s: s["best"])
 
 
-def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Items with words, shingles and firm bits; and the shingles that windows start from.
-    `item` names an item by item_id and text, of which several rows are one item.
-
-    A window as similar as the threshold shares at least that part of the item's weight.
-    So of any shingles that weigh more than the rest of it, it has one: the item's rarest
-    are taken until what is left weighs less than the threshold. Half a letter is added
-    against rounding: a shingle too many is no loss.
-    """
+def _items(benchmark: DataFrame, threshold: float) -> DataFrame:
+    """Items with their size, shingles and firm bits. `item` names an item by item_id and
+    text, of which several rows are one item."""
     benchmark = benchmark.select("item_id", F.struct(*row_key("item_id", "text")).alias("item"), text_or_empty().alias("text"))
     benchmark = benchmark.dropDuplicates(["item"])
     items = benchmark.select("item_id", "item", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0)
     items = items.select("item_id", "item", "words", F.size("words").alias("size"), word_hashes(F.col("words")).alias("hashed"))
     items = items.select("item_id", "item", "words", "size", runs(F.col("hashed"), shingle_size()).alias("hashes"))
     items = items.select(
-        "item_id", "item", "size", F.array_distinct(weighted(F.col("words"), F.col("hashes"), shingle_size())).alias("item_shingles")
+        "item_id", "item", "size", once(weighted(F.col("words"), F.col("hashes"), shingle_size())).alias("item_shingles")
     )
     items = items.select("*", weight_of(F.col("item_shingles")).alias("item_weight"))
-    items = items.select("*", firm_bits(F.col("item_shingles"), F.col("item_weight"), threshold).alias("firm"))
+    return items.select("*", firm_bits(F.col("item_shingles"), F.col("item_weight"), threshold).alias("firm"))
+
+
+def _probes(items: DataFrame, threshold: float) -> DataFrame:
+    """The shingles that windows start from, out of stored items.
+
+    A window as similar as the threshold shares at least that part of the item's weight.
+    So of any shingles that weigh more than the rest of it, it has one: the item's rarest
+    are taken until what is left weighs less than the threshold. Half a letter is added
+    against rounding: a shingle too many is no loss.
+    """
     parts = items.select("item", "size", F.explode("item_shingles").alias("s")).select("item", "size", "s.h", "s.w")
     rarity = parts.groupBy("h").agg(F.countDistinct("item").alias("items"))
     rarest = Window.partitionBy("item").orderBy("items", F.desc("w"), "h")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("item")
-    probes = (
+    return (
         parts.join(rarity, "h")
         .withColumn("taken", F.coalesce(F.sum("w").over(before), F.lit(0)))
         .withColumn("total", F.sum("w").over(whole))
@@ -205,7 +215,6 @@ def _items(benchmark: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame
         .select("h", "item", "size")
         .distinct()
     )
-    return items, probes
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: float = 0.8) -> DataFrame:
@@ -221,8 +230,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: fl
     item_id, also a null one, are items of their own and give a row each. Repeated rows share
     one (k1, k2). Extra columns are not read.
     """
-    items, probes = _items(benchmark, threshold)
-    items, probes = scratch.stage(items, "items"), scratch.stage(probes, "probes")
+    items = scratch.stage(_items(benchmark, threshold), "items")
+    probes = scratch.stage(_probes(items, threshold), "probes")
     if probes.count() <= BROADCAST_ROWS:
         probes = F.broadcast(probes)
     texts = docs.select("doc_id", *row_key(), words_of(text_or_empty()).alias("words"))
