@@ -204,3 +204,54 @@ def test_a_map_pass_tells_of_kinds_without_records(spark):
     full = spark.createDataFrame([('{"id": "1"}',)], "text string").select(F.parse_json("text").alias("node"))
     done = map_pass(spark, {"client": (SPECS["client"], full), "user": (SPECS["user"], empty)}, "s", "2024-01-01")
     assert rows(done.density) == [("clients", 1, 0.0, 0, 0), ("users", 0, 0.0, 0, 0)]
+
+def one_file(spark, folder, name, df):
+    df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def lines(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.lit(3).cast("long").alias("l_suppkey"),
+        F.element_at(F.array(F.lit("R"), F.lit("A"), F.lit("N")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"), F.lit(0.01).alias("l_discount"), F.lit(2.0).alias("l_quantity"),
+        F.lit(10.5).alias("l_extendedprice"), F.to_timestamp(F.lit("1996-05-01")).alias("l_shipdate"),
+    )
+
+
+def test_nodes_of_one_row_group_are_mapped_by_all_cores(spark, tmp_path):
+    from tidemark.plans import packing
+    from tidemark.plans.registry import Tables
+    from tidemark.sources.tables import SCAN_PARTITIONS, spread
+
+    one_file(spark, tmp_path, "lineitem", lines(spark, 400))
+    cores = spark.sparkContext.defaultParallelism
+    for pack in (packing.visit_nodes, packing.expense_nodes):
+        nodes = pack(Tables(spark, str(tmp_path)))
+        assert nodes.count() == 400
+        assert nodes.select(F.spark_partition_id().alias("p")).distinct().count() >= cores
+    many = spark.range(100).repartition(2 * cores)
+    assert spread(many) is many
+    spark.conf.set(SCAN_PARTITIONS, "3")
+    assert spread(many).rdd.getNumPartitions() == 3
+    spark.conf.unset(SCAN_PARTITIONS)
+
+
+def test_the_first_load_of_a_table_joins_nothing(spark, tmp_path, monkeypatch):
+    from tidemark.plans import pipelines
+
+    planned = []
+
+    def noted(*given):
+        out = real(*given)
+        planned.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    real = pipelines.upsert
+    monkeypatch.setattr(pipelines, "upsert", noted)
+    mapped = spark.createDataFrame([("1", "a", 1, None), ("1", "b", 2, None), (None, "c", 1, None), ("3", "d", 1, "refused")], "id string, name string, seq int, reject_reason string")
+    for run in ("first", "second"):
+        state = pipelines.migrate(spark, {"users": lambda: mapped}, str(tmp_path / "load"), ["seq"], run)
+        stored = rows(spark.read.parquet(str(tmp_path / "load" / "users")))
+        if run == "first":
+            assert tuple(state.first()) == ("users", 4, 2, 1, "") and stored == rows(spark.createDataFrame([("1", "b"), (None, "c")], "id string, name string"))
+    assert "Join" not in planned[0] and "Join" in planned[1]
