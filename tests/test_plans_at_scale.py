@@ -209,6 +209,12 @@ def one_file(spark, folder, name, df):
     df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
 
 
+def parts(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("p_partkey"), F.lit("SMALL TIN").alias("p_type"), (F.col("id") % 20).cast("int").alias("p_size")
+    )
+
+
 def lines(spark, n):
     return spark.range(n).select(
         F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("id").alias("l_partkey"), F.lit(3).cast("long").alias("l_suppkey"),
@@ -218,6 +224,32 @@ def lines(spark, n):
     )
 
 
+def test_one_row_group_of_parts_is_worked_on_by_all_cores(spark, tmp_path):
+    from tidemark.plans.audits import field_inventory
+
+    one_file(spark, tmp_path, "part", parts(spark, 400))
+    fields = field_inventory(spark, str(tmp_path))
+    busy = fields.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert busy >= spark.sparkContext.defaultParallelism
+    assert fields.count() == 3 * 9 * 20 and {r.full_type for r in fields.collect()} == {"ID", "[SMALL TIN]!", "[" * 6 + "SMALL TIN" + "]!" * 6}
+
+
+def test_odd_levels_of_types(spark):
+    from tidemark.functions import typenames
+
+    cases = {
+        '{"kind": 3, "name": {"a": 1}}': ('{"a":1}', '{"a":1}'),
+        '{"kind": "LIST", "ofType": "text"}': ("[Unknown]", "Unknown"),
+        '{"kind": "LIST", "ofType": null, "name": ""}': ("[Unknown]", "Unknown"),
+        '{"kind": "LIST", "name": "\\"ofType\\"", "ofType": {"name": "A"}}': ("[A]", '"ofType"'),
+        '[{"kind": "LIST"}]': ("Unknown", "Unknown"),
+        '"text"': ("Unknown", "Unknown"),
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "t string").select("t", F.parse_json("t").alias("v"))
+    got = frame.select("t", typenames.type_text(F.col("v")), typenames.base_type(F.col("v"))).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == cases
+
+
 def test_nodes_of_one_row_group_are_mapped_by_all_cores(spark, tmp_path):
     from tidemark.plans import packing
     from tidemark.plans.registry import Tables

@@ -11,6 +11,7 @@ from tidemark.operators import audit
 from tidemark.plans.registry import ORACLES, Tables, key_text, query
 from tidemark.session import scratch_path
 from tidemark.sources import introspection
+from tidemark.sources.tables import spread
 
 # A read list that leaves some columns out and asks for some that do not exist.
 READ_FIELDS = {
@@ -132,7 +133,14 @@ def _documents_of_types(t: Tables) -> DataFrame:
     field = lambda name, kind_of: F.concat(F.lit(f'{{"name": "{name}", "type": '), kind_of, F.lit("}"))
     fields = F.concat_ws(", ", field("id", F.lit('{"kind": "SCALAR", "name": "ID"}')), field("sizes", once), field("deep", deep))
     entry = F.concat(F.lit('{"kind": "'), kind, F.lit('", "fields": ['), fields, F.lit("]}"))
-    return t.part.select(key_text("p_partkey").alias("type_name"), entry.alias("body"))
+    return spread(t.part).select(key_text("p_partkey").alias("type_name"), entry.alias("body"))
+
+
+def _entries_of_types(t: Tables) -> DataFrame:
+    """The documents parsed once each: a filter on the exploded entry stays behind the parse
+    and does not sink to the scan, where all rows may be in one task."""
+    entry = F.from_json("body", introspection.type_entry_schema())
+    return _documents_of_types(t).select("type_name", F.explode(F.array(entry)).alias("entry"))
 
 
 @query(
@@ -145,9 +153,7 @@ def _documents_of_types(t: Tables) -> DataFrame:
     """,
 )
 def field_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    entries = _documents_of_types(Tables(spark, folder)).select(
-        "type_name", F.from_json("body", introspection.type_entry_schema()).alias("entry")
-    )
+    entries = _entries_of_types(Tables(spark, folder))
     fields = introspection.field_inventory(entries.select("type_name", "entry.kind", "entry.fields"))
     return _report(fields)
 
@@ -166,9 +172,7 @@ def _report(fields: DataFrame) -> DataFrame:
 def field_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The field report written as CSV in its order and read back."""
     path = scratch_path(spark, "fields")
-    entries = _documents_of_types(Tables(spark, folder)).select(
-        "type_name", F.from_json("body", introspection.type_entry_schema()).alias("entry")
-    )
+    entries = _entries_of_types(Tables(spark, folder))
     fields = introspection.field_inventory(entries.select("type_name", "entry.kind", "entry.fields"))
     introspection.write_field_inventory(fields, path)
     return _report(introspection.read_field_inventory(spark, path))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.typenames import base_type, is_nullable, type_text
+from tidemark.functions.typenames import base_of_levels, is_nullable, levels, text_of_levels
 
 FIELD_INVENTORY_SCHEMA = (
     "Type string, Field string, `GraphQL Type` string, `Base Type` string, "
@@ -29,16 +29,17 @@ def read_introspection(spark: SparkSession, path: str) -> DataFrame:
 
 
 def field_inventory(types: DataFrame) -> DataFrame:
-    """One row per field of an object type."""
-    field = F.col("field")
+    """One row per field of an object type. A type is walked once for its text and its name."""
+    field, seen = F.col("field"), F.col("_levels")
     return (
         types.where("kind = 'OBJECT'")
         .select("type_name", "kind", F.explode("fields").alias("field"))
+        .withColumn("_levels", levels(field["type"]))
         .select(
             F.col("type_name").alias("Type"),
             field["name"].alias("Field"),
-            type_text(field["type"]).alias("GraphQL Type"),
-            base_type(field["type"]).alias("Base Type"),
+            text_of_levels(seen).alias("GraphQL Type"),
+            base_of_levels(seen).alias("Base Type"),
             F.when(is_nullable(field["type"]), "Yes").otherwise("No").alias("Nullable"),
             F.col("kind").alias("Kind"),
         )
