@@ -250,6 +250,25 @@ def test_odd_levels_of_types(spark):
     assert {r[0]: tuple(r)[1:] for r in got} == cases
 
 
+def test_a_field_list_is_worked_out_once(spark, tmp_path):
+    from tidemark.sources import introspection
+
+    asked = spark.sparkContext.accumulator(0)
+
+    def said(n):
+        asked.add(1)
+        return f"t{n}"
+
+    named = F.udf(said, "string").asNondeterministic()
+    fields = spark.range(60).repartition(3).select(
+        named("id").alias("Type"), F.lit("f").alias("Field"), *[F.lit("x").alias(c) for c in ("GraphQL Type", "Base Type", "Nullable", "Kind")]
+    )
+    introspection.write_field_inventory(fields, str(tmp_path / "csv"))
+    assert asked.value == 60
+    back = introspection.read_field_inventory(spark, str(tmp_path / "csv"))
+    assert sorted(r.Type for r in back.collect()) == sorted(f"t{n}" for n in range(60))
+
+
 def test_nodes_of_one_row_group_are_mapped_by_all_cores(spark, tmp_path):
     from tidemark.plans import packing
     from tidemark.plans.registry import Tables

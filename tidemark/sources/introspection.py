@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.typenames import base_of_levels, is_nullable, levels, text_of_levels
+from tidemark.session import remove, scratch_path
 
 FIELD_INVENTORY_SCHEMA = (
     "Type string, Field string, `GraphQL Type` string, `Base Type` string, "
@@ -51,5 +52,11 @@ def read_field_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_field_inventory(fields: DataFrame, path: str) -> None:
-    """CSV ordered by type and field; a field list is small, so one ordered write is fine."""
-    fields.orderBy("Type", "Field").write.mode("overwrite").option("header", True).csv(path)
+    """CSV ordered by type and field. The fields are worked out once, into scratch: an order
+    over a whole table reads its rows twice, once to find the ranges."""
+    spark = fields.sparkSession
+    worked_out = scratch_path(spark, "field-rows")
+    fields.write.parquet(worked_out)
+    rows = spark.read.schema(fields.schema).parquet(worked_out)
+    rows.orderBy("Type", "Field").write.mode("overwrite").option("header", True).csv(path)
+    remove(spark, worked_out)
