@@ -306,3 +306,25 @@ def test_the_first_load_of_a_table_joins_nothing(spark, tmp_path, monkeypatch):
         if run == "first":
             assert tuple(state.first()) == ("users", 4, 2, 1, "") and stored == rows(spark.createDataFrame([("1", "b"), (None, "c")], "id string, name string"))
     assert "Join" not in planned[0] and "Join" in planned[1]
+
+
+def test_feeds_of_outcomes_read_many_files_at_a_time(spark, tmp_path, monkeypatch):
+    from tidemark.plans import streams
+    from tidemark.streaming import outcomes
+
+    one_file(spark, tmp_path, "lineitem", lines(spark, 2000))
+    one_file(spark, tmp_path, "orders", spark.range(2100).select(F.col("id").alias("o_orderkey")))
+    asked, real = [], streams.feed.table_stream
+
+    def noted(session, path, schema, files_per_batch):
+        asked.append((len(session.read.schema(schema).parquet(path).inputFiles()), files_per_batch))
+        return real(session, path, schema, files_per_batch=files_per_batch)
+
+    monkeypatch.setattr(streams.feed, "table_stream", noted)
+    state = streams.stream_queue_state(spark, str(tmp_path))
+    cores = spark.sparkContext.defaultParallelism
+    assert asked == [(5 * cores, cores)] * 2
+    # What two folds left is one row per fact already: nothing is ranked again.
+    assert "Window" not in plan(state)
+    counted = {r.status: r.n for r in state.groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert counted == {"failed": 667, "done": 667, "in_progress": 666, "pending": 100}

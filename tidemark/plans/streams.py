@@ -139,9 +139,11 @@ def stream_queue_state(spark: SparkSession, folder: str) -> DataFrame:
     )
     source = scratch_path(spark, "outcome-files")
     key, order = ["entity_id"], ["attempt", "l_partkey", "l_suppkey"]
-    facts.repartition(5, F.xxhash64(*key, *order)).write.parquet(source)
+    # Five batches, each of as many files as there are cores to read them.
+    files = spark.sparkContext.defaultParallelism
+    facts.repartition(5 * files, F.xxhash64(*key, *order)).write.parquet(source)
     for _ in range(2):
-        stream = feed.table_stream(spark, source, facts.schema, files_per_batch=1)
+        stream = feed.table_stream(spark, source, facts.schema, files_per_batch=files)
         outcomes.outcome_stream(stream, target, scratch_path(spark, "cursor"), key, order).awaitTermination()
         outcomes.fold_outcomes(spark, target, key, order)
     queue = t.orders.select(key_text("o_orderkey").alias("entity_id"), *queues.pending(AS_OF))

@@ -86,7 +86,12 @@ def queue_state(
     as_of: str,
     ttl_seconds: int | None = None,
 ) -> DataFrame:
-    """The queue after everything its feed has stored."""
-    if not batches.live_folders(spark, target):
+    """The queue after everything its feed has stored. A fold holds every fact once, so
+    where it is all there is, its rows are taken as they are."""
+    folders = batches.live_folders(spark, target)
+    if not folders:
         return queue
-    return settled(batches.read_live(spark, target), queue, keys, seq, as_of, ttl_seconds)
+    rows = batches.read_folders(spark, target, folders)
+    if len(folders) == 1 and folders[0][0].startswith(f"{batches.FOLDED}-"):
+        rows = rows.drop(batches.FEED, batches.BATCH)
+    return settled(rows, queue, keys, seq, as_of, ttl_seconds)
