@@ -328,3 +328,12 @@ def test_feeds_of_outcomes_read_many_files_at_a_time(spark, tmp_path, monkeypatc
     assert "Window" not in plan(state)
     counted = {r.status: r.n for r in state.groupBy("status").agg(F.count("*").alias("n")).collect()}
     assert counted == {"failed": 667, "done": 667, "in_progress": 666, "pending": 100}
+
+
+def test_the_total_of_relations_needs_no_map(spark, nodes):
+    texts = ['{"id": "1", "notes": {"totalCount": 2}, "noteAttachments": {"totalCount": "3"}}', '{"id": "2", "notes": null}', '{"id": "3", "notes": 5, "noteAttachments": {"totalCount": "x"}}', '{"id": "4", "notes": []}', "null"]
+    for kind, spec in SPECS.items():
+        plain = inventory.inventory_of_nodes(nodes(*texts), spec, "s", "now")
+        told = inventory.inventory_of_nodes(nodes(*texts), spec, "s", "now", total=True)
+        assert rows(inventory.with_total(plain)) == rows(told.select(*inventory.with_total(plain).columns)), kind
+        assert "map_from_entries" not in plan(inventory.hotspots(told).select("entity_id", "total_relations"))

@@ -20,25 +20,37 @@ KEY = ["entity_type", "entity_id"]
 SNAPSHOT_ID = "map_snapshot_id"
 PARTS = [SNAPSHOT_ID, "entity_type"]
 RELATIONS = "estimated_relations_json"
+TOTAL = "total_relations"
+# What is read of a connection; NULL where there is no object.
+CONNECTION = "struct<totalCount: bigint>"
 
 
 def relation_counts(node: Node, spec: EntitySpec) -> Column:
     """Map of relation -> announced total of its connection."""
     if not spec.relations:
         return F.create_map().cast("map<string,bigint>")
-    zero = F.lit(0).cast("bigint")
     pairs = []
     for name, path in spec.relations.items():
-        count = F.coalesce(node.typed(f"{path}.totalCount", "bigint"), zero)
-        pair = F.struct(F.lit(name).alias("key"), count.alias("value"))
-        pairs.append(F.when(node.is_object(path), pair) if spec.sparse_relations else pair)
+        connection = node.typed(path, CONNECTION)
+        pair = F.struct(F.lit(name).alias("key"), _announced(connection).alias("value"))
+        pairs.append(F.when(connection.isNotNull(), pair) if spec.sparse_relations else pair)
     return F.map_from_entries(F.array_compact(F.array(*pairs)))
 
 
+def _announced(connection: Column) -> Column:
+    return F.coalesce(connection["totalCount"], F.lit(0).cast("bigint"))
+
+
+def relation_total(node: Node, spec: EntitySpec) -> Column:
+    """What `total_of_counts` makes of the relation counts, without a map in between."""
+    counts = [_announced(node.typed(path, CONNECTION)) for path in spec.relations.values()]
+    return reduce(lambda a, b: a + b, counts, F.lit(0).cast("bigint"))
+
+
 def inventory_of_nodes(
-    nodes: DataFrame, spec: EntitySpec, snapshot_id: str, as_of: str, node: str = "node"
+    nodes: DataFrame, spec: EntitySpec, snapshot_id: str, as_of: str, node: str = "node", total: bool = False
 ) -> DataFrame:
-    """Inventory rows of one record kind."""
+    """Inventory rows of one record kind, with the relations' total where asked for."""
     reader = Node(node)
     updated = reader.string(spec.updated_path) if spec.updated_path else F.lit(None).cast("string")
     columns = {
@@ -49,6 +61,8 @@ def inventory_of_nodes(
         "updated_at": updated,
         RELATIONS: F.to_json(relation_counts(reader, spec)),
     }
+    if total:
+        columns[TOTAL] = relation_total(reader, spec)
     return reader.select(nodes, [], columns)
 
 
@@ -126,7 +140,10 @@ def snapshot_kinds(snapshots: DataFrame, snapshot_id: str, requested: Sequence[s
 
 
 def with_total(inventory: DataFrame) -> DataFrame:
-    return inventory.withColumn("total_relations", total_of_counts(count_map(F.col(RELATIONS))))
+    """The relations' total read out of the stored counts, unless the rows have it."""
+    if TOTAL in inventory.columns:
+        return inventory
+    return inventory.withColumn(TOTAL, total_of_counts(count_map(F.col(RELATIONS))))
 
 
 def relation_inventory(inventory: DataFrame) -> DataFrame:
