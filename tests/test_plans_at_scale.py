@@ -205,6 +205,7 @@ def test_a_map_pass_tells_of_kinds_without_records(spark):
     done = map_pass(spark, {"client": (SPECS["client"], full), "user": (SPECS["user"], empty)}, "s", "2024-01-01")
     assert rows(done.density) == [("clients", 1, 0.0, 0, 0), ("users", 0, 0.0, 0, 0)]
 
+
 def one_file(spark, folder, name, df):
     df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
 
