@@ -101,3 +101,22 @@ def test_long_texts_null_ids_and_repeated_rows(spark, monkeypatch):
     got = repeats.removed(spark.createDataFrame(rows, schema), Scratch(spark)).collect()
     assert sorted(tuple(r)[1:] for r in got) == sorted(want)
     assert repeats.removed(spark.createDataFrame([], schema), Scratch(spark)).count() == 0
+
+
+def test_planted_passages_go_by_their_bytes_not_their_words(spark):
+    rng = random.Random(4)
+    words = {"ascii": [f"w{i}" for i in range(9000)], "wide": [f"é{i}ö" for i in range(9000)]}
+    prose = lambda kind, n: " ".join(rng.choice(words[kind]) for _ in range(n))
+    texts, sizes = [], []
+    for kind in words:
+        for n in range(51, 100, 4):
+            passage = "<" + prose(kind, n) + ">"
+            texts += [f"{prose(kind, 40)}{i}{passage}{i}{prose(kind, 40)}" for i in range(2)]
+            sizes += [len(passage.encode())] * 2
+        texts += [prose(kind, 300) for _ in range(10)]
+        sizes += [0] * 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in repeats.removed(docs, Scratch(spark)).collect()}
+    assert [got[i][1] for i in range(len(texts))] == [n if n >= 400 else 0 for n in sizes]
+    assert [got[i] for i in range(len(texts))] == rows_of([t.encode() for t in texts], 400)
+    assert any(0 < n < 400 for n in sizes) and any(n >= 400 for n in sizes)
