@@ -239,3 +239,40 @@ def test_labels_of_missing_parts(spark):
         records.display_id(F.lit("visit"), F.lit("7"), nothing, nothing),
     ).first()
     assert tuple(row) == ("Client: None Doe", "Invoice #None", "Visit #7")
+
+
+def test_the_fields_of_a_node_are_read_at_once(spark, nodes):
+    from tidemark.functions.values import variant_at
+    from tidemark.operators.mapping import map_entities
+    from tidemark.operators.specs import SPECS
+
+    frame = nodes(
+        '{"a": 1, "b": {"c": null, "d": {"e": "x"}}, "l": [{"n": {"id": 7}}, 5], "A": 3, "p": {"id": "q"}, "m": [1, 2]}',
+        '{"b": null, "l": [], "p": null}', '{"b": "t", "l": {"n": 1}, "p": {}, "m": [null]}',
+        '{"b": {"d": 3, "D": 4}, "l": [null], "p": [1]}', "[1, 2]", '"s"', "null", "{}", None,
+    )
+    paths = ["a", "B.x", "b.c", "b.d.e", "b.d", "l[0].n.id", "l[0].n", "l[1]", "p", "p.id", "p.id.z", "m", "m[0]", "x.y.z"]
+    reader = Node("node")
+    for path in paths:
+        reader.value(path)
+    read = reader.fields(frame, []).select(*[F.to_json(F.col(f"`node.{p}`")) for p in paths])
+    alone = frame.select(*[F.to_json(variant_at(F.col("node"), p)) for p in paths])
+    assert [tuple(r) for r in read.collect()] == [tuple(r) for r in alone.collect()]
+    # A path that a node lacks is not looked for: that costs an exception each time.
+    for kind in ("visit", "expense", "job"):
+        plan = map_entities(frame, SPECS[kind])._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("AS node.:below#") == 1 and ", $.id" not in plan and ", $.title" not in plan
+
+
+def test_texts_are_read_out_of_what_is_no_number(spark, nodes):
+    frame = nodes('{"v": "1,234.5"}', '{"v": 7}', '{"v": 2.5}', '{"v": true}', '{"v": null}', '{"v": [1]}', "{}", '{"v": ""}', '{"v": "1e17"}')
+    reader = Node("node")
+    columns = {
+        "words": reader.words("v"), "cents": money.node_cents_truncated(reader, "v"),
+        "beyond": money.beyond_cents(reader, "v"), "filled": reader.truthy("v"), "lacks": reader.lacks("v"),
+    }
+    assert [tuple(r) for r in reader.select(frame, [], columns).collect()] == [
+        ("1,234.5", 123450, False, True, False), (None, 700, False, True, False), (None, 250, False, True, False),
+        (None, 100, False, True, False), (None, 0, False, False, False), (None, 0, False, True, False),
+        (None, 0, False, False, True), ("", 0, False, False, True), ("1e17", 0, True, True, False),
+    ]
